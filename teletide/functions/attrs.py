@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from teletide.model import RESERVED
@@ -9,6 +11,11 @@ from teletide.model import RESERVED
 SERVICE_KEYS = ("service", "service.name")
 
 
+def columns(names: Iterable[str]) -> list[Column]:
+    """Columns by name, quoted because promoted keys may hold dots."""
+    return [F.col(f"`{n}`") for n in names]
+
+
 def json_text(json: Column, key: str) -> Column:
     """Text of one top-level key of a JSON object; NULL when absent or JSON null."""
     if "'" in key:  # cannot be written inside a bracket-quoted JSON path
@@ -30,7 +37,7 @@ def attr(df: DataFrame, key: str) -> Column:
     if key in SERVICE_KEYS:
         return F.col("service")
     if key in promoted_keys(df):
-        return F.col(f"`{key}`")
+        return columns([key])[0]
     return json_text(F.col("attributes"), key)
 
 

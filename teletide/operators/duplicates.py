@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from teletide.functions.attrs import columns
+
 ERROR_ON_READ = "error_on_read"
 LAST_WINS = "last_wins"
 REJECT = "reject"
@@ -50,9 +52,9 @@ def reject_duplicates(points: DataFrame, arrival: list[str], existing: DataFrame
     keys = [*(keys or SERIES), time]
     rest = [c for c in points.columns if c not in keys and c not in arrival]
     first = points.groupBy(*keys).agg(
-        F.min_by(F.struct(*arrival, *rest), F.struct(*arrival)).alias("first"),
+        F.min_by(F.struct(*arrival, *columns(rest)), F.struct(*arrival)).alias("first"),
         F.count("*").alias("copies"))
-    offered = first.select(*keys, *[F.col(f"first.{c}").alias(c) for c in [*arrival, *rest]], "copies")
+    offered = first.select(*keys, *[F.col("first")[c].alias(c) for c in [*arrival, *rest]], "copies")
     if existing is None:
         return offered.withColumn("stored", F.lit(False))
     known = existing.groupBy(*keys).agg(F.lit(True).alias("stored"))

@@ -28,7 +28,7 @@ class MetricQuery:
     start: int = 0
     end: int = 0
     group_by: list[str] = field(default_factory=list)
-    duplicates: str = duplicates.LAST_WINS
+    duplicates: str = duplicates.ERROR_ON_READ
 
 
 @dataclass(frozen=True)

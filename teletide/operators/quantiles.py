@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from teletide.functions import times
+from teletide.session import materialize_small
 
 # Logarithmic bins per doubling of the value, then the width of a fine bin.
 _BINS_PER_OCTAVE = 256
@@ -33,8 +34,8 @@ def exact_quantiles(
     ``quantiles`` names the output columns; ``extra`` holds further aggregates that can be added up
     (they are computed per bin and summed). Built-in ``percentile`` gathers every distinct value of a
     group in one buffer. Here the rows are first only counted per logarithmic bin, which gives the
-    bins that hold a wanted rank; the second pass looks at the rows of these bins alone, in fine bins
-    of fixed width and finally value by value. Each window therefore sees at most the bins of a
+    bins that hold a wanted rank (this pass runs at once, to learn how many they are); the second pass
+    looks at the rows of these bins alone, in fine bins of fixed width and finally value by value. Each window therefore sees at most the bins of a
     group, the fine bins of a bin, or the values of a fine bin.
     Group columns must not be NULL.
     """
@@ -54,6 +55,9 @@ def exact_quantiles(
     coarse = coarse.withColumn("_ranks", F.filter(
         F.array_distinct(ranks), lambda r: (r >= F.col("_base")) & (r < F.col("_base") + F.col("_n"))))
     wanted = coarse.where(F.size("_ranks") > 0).select(*group, "_bin", "_base", "_total", *extra)
+    # A few bins per group. When they fit, the second pass filters in the scan's own tasks.
+    wanted, fits = materialize_small(wanted, "quantile-bins")
+    wanted = F.broadcast(wanted) if fits else wanted
 
     # Second pass: only rows of the wanted bins, counted per value.
     values = binned.select(*group, "_bin", F.col(value).alias("_v")).join(

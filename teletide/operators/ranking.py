@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from teletide.functions.attrs import columns
+
 
 def with_position(
     df: DataFrame,
@@ -44,4 +46,5 @@ def with_position(
     keys = [*group, *levels]
     ranked = rows.withColumn(
         "_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return ranked.join(offsets, keys).withColumn(name, F.col("_rank") + F.col("_offset")).select(*df.columns, name)
+    placed = ranked.join(offsets, keys).withColumn(name, F.col("_rank") + F.col("_offset"))
+    return placed.select(*columns(df.columns), name)

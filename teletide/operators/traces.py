@@ -7,13 +7,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from teletide.functions import times
-from teletide.functions.attrs import group_columns
+from teletide.functions.attrs import columns, group_columns
 from teletide.model import NS_PER_SECOND
 from teletide.operators import predicates
 from teletide.operators.predicates import AttrFilter
 from teletide.operators.quantiles import exact_quantiles
 from teletide.operators.ranking import with_position
-from teletide.session import materialize
+from teletide.session import materialize, materialize_small
 
 LATENCIES = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
 SPANS_PER_LIST = 10_000
@@ -104,17 +104,27 @@ def get_trace(spans: DataFrame, trace_id: str) -> DataFrame:
         "start_time", "span_id")
 
 
+def _traces_of(matching: DataFrame) -> tuple[DataFrame, bool]:
+    """Ids of the traces of some spans, and whether they can be broadcast."""
+    return materialize_small(matching.select("trace_id").distinct(), "trace-ids")
+
+
 def search_traces(spans: DataFrame, q: TraceQuery) -> DataFrame:
     """Summaries of the traces in which one span meets ``q``, newest first.
 
-    One pass: the predicate is aggregated along with the summary, so each trace crosses the network
-    as one partial row per task and no second scan or join is needed. The summary covers the whole
-    trace; its root is the earliest span without a parent.
+    The summary covers the whole trace; its root is the earliest span without a parent. The matching
+    trace ids are found first, with the predicates pushed to the scan. If they are few, only their
+    spans are summarised; if not, the predicate is aggregated along with the summary of all traces,
+    which moves one partial row per trace and task and needs no join.
     """
+    ids, few = _traces_of(filter_spans(spans, q))
+    if few:
+        rows = spans.join(F.broadcast(ids), "trace_id", "left_semi").withColumn("_hit", F.lit(True))
+    else:
+        rows = spans.withColumn("_hit", F.coalesce(span_condition(spans, q), F.lit(False)))
     is_root = F.col("parent_span_id").isNull() | (F.col("parent_span_id") == "")
     root = F.min(F.when(is_root, F.struct("start_time", "span_id", "service", "name")))
-    summary = spans.withColumn("_hit", F.coalesce(span_condition(spans, q), F.lit(False))).groupBy(
-        "trace_id").agg(
+    summary = rows.groupBy("trace_id").agg(
         root.alias("root"),
         F.min("start_time").alias("start_time"),
         F.max(F.col("start_time") + F.col("duration_ns")).alias("end_time"),
@@ -130,12 +140,15 @@ def search_traces(spans: DataFrame, q: TraceQuery) -> DataFrame:
 
 def spanset_match(spans: DataFrame, q: TraceQuery, start: int = 0, end: int = 0) -> DataFrame:
     """Spans selected by ``q`` in traces that begin in [start, end): ``trace_id``, ``span_id``."""
-    selected = spans.where(span_condition(spans, q)).select("trace_id", "span_id", "start_time")
-    if start or end:
-        begins = spans.groupBy("trace_id").agg(F.min("start_time").alias("begin"))
-        begins = times.in_range(begins, "begin", start, end)
-        selected = selected.join(begins, "trace_id", "left_semi")
-    return selected
+    selected = filter_spans(spans, q)
+    if not start and not end:
+        return selected.select("trace_id", "span_id", "start_time")
+    # No span starts before its trace does.
+    selected = times.in_range(selected, "start_time", start).select("trace_id", "span_id", "start_time")
+    ids, few = _traces_of(selected)
+    candidates = spans.join(F.broadcast(ids), "trace_id", "left_semi") if few else spans
+    begins = candidates.groupBy("trace_id").agg(F.min("start_time").alias("begin"))
+    return selected.join(times.in_range(begins, "begin", start, end), "trace_id", "left_semi")
 
 
 def spanset_lists(matches: DataFrame) -> DataFrame:
@@ -164,8 +177,9 @@ def unique_spans(spans: DataFrame) -> DataFrame:
     """One row per (trace, span); of repeats the first by start, then by the other columns."""
     order = ["start_time", "duration_ns", "name", "service", "status_code", "parent_span_id"]
     rest = [c for c in spans.columns if c not in ("trace_id", "span_id", *order)]
-    first = spans.groupBy("trace_id", "span_id").agg(F.min(F.struct(*order, *rest)).alias("s"))
-    return first.select("trace_id", "span_id", "s.*").select(*spans.columns)
+    first = spans.groupBy("trace_id", "span_id").agg(
+        F.min(F.struct(*order, *columns(rest))).alias("s"))
+    return first.select("trace_id", "span_id", "s.*").select(*columns(spans.columns))
 
 
 def trace_forest(spans: DataFrame, max_rounds: int = 64) -> DataFrame:
@@ -176,12 +190,12 @@ def trace_forest(spans: DataFrame, max_rounds: int = 64) -> DataFrame:
     unresolved span jumps as far as its current ancestor has already jumped, so ``k`` rounds resolve
     depth ``2^k`` and only unresolved spans take part. Each round is written out before the next.
     """
-    columns = ["trace_id", "span_id", "parent_span_id", "start_time", "name", "service"]
-    nodes = unique_spans(spans.select(*columns, "duration_ns", "status_code")).select(*columns)
+    kept = ["trace_id", "span_id", "parent_span_id", "start_time", "name", "service"]
+    nodes = unique_spans(spans.select(*kept, "duration_ns", "status_code")).select(*kept)
     known = nodes.select("trace_id", F.col("span_id").alias("parent_span_id"),
                          F.lit(True).alias("has_parent"))
     linked = materialize(nodes.join(known, ["trace_id", "parent_span_id"], "left").select(
-        *columns, F.coalesce("has_parent", F.lit(False)).alias("has_parent")), "forest-nodes")
+        *kept, F.coalesce("has_parent", F.lit(False)).alias("has_parent")), "forest-nodes")
 
     pointer = ["trace_id", "span_id", "up", "dist", "root"]
     done = [linked.where(~F.col("has_parent")).select(
@@ -220,7 +234,7 @@ def trace_forest(spans: DataFrame, max_rounds: int = 64) -> DataFrame:
         group=["trace_id", "_siblings"], name="sibling_rank")
     placed = ranked.join(resolved, ["trace_id", "span_id"], "left")
     return placed.select(
-        *columns, "root_span_id", "depth", "sibling_rank",
+        *kept, "root_span_id", "depth", "sibling_rank",
         F.col("depth").isNull().alias("in_cycle"))
 
 
@@ -240,7 +254,7 @@ def logs_without_trace(logs: DataFrame, spans: DataFrame) -> DataFrame:
     """
     traced = logs.where(F.col("trace_id").isNotNull()).join(
         spans.select("trace_id").distinct(), "trace_id", "left_anti")
-    return logs.where(F.col("trace_id").isNull()).unionByName(traced.select(*logs.columns))
+    return logs.where(F.col("trace_id").isNull()).unionByName(traced)
 
 
 def exemplar_spans(exemplars: DataFrame, spans: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from teletide.plans.registry import joined, on, query
 from teletide.sources import warehouse
 
 CLICKS = "events.click.value"
+LAST_WINS = duplicates.LAST_WINS
 
 
 # --- Points, ranges, instants ----------------------------------------------------------------------
@@ -43,18 +44,18 @@ def _rounded(df: DataFrame, column: str = "v") -> DataFrame:
 query("gauge_range", f"""
     SELECT point_time - point_time % {NS_PER_HOUR} AS bucket, round(avg(value), 6) AS v
     FROM gauge_clean WHERE metric = '{CLICKS}' GROUP BY ALL""")(
-    on("metrics_gauge", lambda df: _rounded(M.metric_range(df, MetricQuery(CLICKS, NS_PER_HOUR)))))
+    on("metrics_gauge", lambda df: _rounded(M.metric_range(df, MetricQuery(CLICKS, NS_PER_HOUR, duplicates=LAST_WINS)))))
 query("gauge_range_by", f"""
     SELECT point_time - point_time % {NS_PER_DAY} AS bucket,
            json_extract_string(attributes, '$.host') AS g0, service AS g1, round(avg(value), 6) AS v
     FROM gauge_clean WHERE metric = '{CLICKS}' GROUP BY ALL""")(
     on("metrics_gauge", lambda df: _rounded(M.metric_range(
-        df, MetricQuery(CLICKS, NS_PER_DAY, group_by=["host", "service.name"])))))
+        df, MetricQuery(CLICKS, NS_PER_DAY, group_by=["host", "service.name"], duplicates=LAST_WINS)))))
 query("gauge_range_all_points", f"""
     SELECT point_time - point_time % {NS_PER_HOUR} AS bucket, round(avg(value), 6) AS v
     FROM metrics_gauge WHERE metric = '{CLICKS}' GROUP BY ALL""")(
     on("metrics_gauge", lambda df: _rounded(M.metric_range(
-        df, MetricQuery(CLICKS, NS_PER_HOUR, duplicates=duplicates.ERROR_ON_READ)))))
+        df, MetricQuery(CLICKS, NS_PER_HOUR)))))
 query("sum_range", f"""
     SELECT point_time - point_time % {NS_PER_DAY} AS bucket, service AS g0, round(sum(value), 6) AS v
     FROM metrics_sum WHERE metric = 'events.total' GROUP BY ALL""")(
@@ -68,7 +69,7 @@ query("metric_instant", f"""
            max(bucket) AS timestamp, round(arg_max(v, bucket), 6) AS value
     FROM b GROUP BY host, service""")(
     on("metrics_gauge", lambda df: _rounded(M.metric_instant(
-        df, MetricQuery(CLICKS, NS_PER_HOUR, group_by=["service", "host"])), "value")))
+        df, MetricQuery(CLICKS, NS_PER_HOUR, group_by=["service", "host"], duplicates=LAST_WINS)), "value")))
 
 
 # --- Histograms ------------------------------------------------------------------------------------

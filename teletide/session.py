@@ -5,7 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType
+
+# Largest table handed to every executor, counted as 32 bytes per row and column plus the texts.
+BROADCAST_BYTES = 64 << 20
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -49,3 +53,12 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize_small(df: DataFrame, purpose: str) -> tuple[DataFrame, bool]:
+    """Materialize ``df`` and tell whether its measured size allows a broadcast."""
+    stored = materialize(df, purpose)
+    texts = [F.coalesce(F.sum(F.length(F.col(f"`{f.name}`"))), F.lit(0))
+             for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    rows, *lengths = stored.agg(F.count("*"), *texts).first()
+    return stored, rows * 32 * len(df.columns) + sum(lengths) <= BROADCAST_BYTES
