@@ -29,8 +29,9 @@ def start(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 
 
 def tail_poll(logs: DataFrame, watermark: int, limit: int = 0, **filters) -> DataFrame:
-    """Rows that arrived after ``watermark``, in arrival order. Feed back the largest arrival seen."""
-    return query_logs(logs, LogQuery(
+    """Rows that arrived after ``watermark``, in arrival order. Feed back the largest arrival seen;
+    start with 0. Rows without an arrival time are left out of the very first poll too."""
+    return query_logs(tail_stream(logs), LogQuery(
         observed_after=watermark, order_by=OBSERVED_TIME, limit=limit, **filters))
 
 
