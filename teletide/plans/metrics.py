@@ -19,9 +19,10 @@ LAST_WINS = duplicates.LAST_WINS
 
 query("metric_points", f"""
     SELECT point_time, metric, service, attributes, temporality, is_monotonic, value FROM metrics_gauge
-    WHERE metric = '{CLICKS}' AND json_extract_string(attributes, '$.host') = 'h3' AND service = 'svc-1'""")(
+    WHERE metric = '{CLICKS}' AND json_extract_string(attributes, '$.host') = 'h3'
+      AND json_extract_string(attributes, '$.rack') = '0' AND service LIKE 'svc-%'""")(
     on("metrics_gauge", lambda df: M.metric_points(
-        df, PointsQuery(CLICKS, filters={"host": "h3", "service.name": "svc-1"}))))
+        df, PointsQuery(CLICKS, filters={"host": "h3", "rack": "0"}))))
 query("sum_points", """
     SELECT point_time, metric, service, attributes, temporality, is_monotonic, value FROM metrics_sum
     WHERE metric = 'events.total'""")(
