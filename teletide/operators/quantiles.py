@@ -22,6 +22,39 @@ def _ranks(q: float, total: Column) -> tuple[Column, Column]:
     return F.floor(at), F.ceil(at)
 
 
+# Rows a group may have for its values to be gathered in one buffer.
+SPLIT_ABOVE = 20_000
+
+
+def group_quantiles(
+    df: DataFrame,
+    group: list[str],
+    value: str,
+    quantiles: dict[str, float],
+    extra: dict[str, Column] | None = None,
+    split_above: int = SPLIT_ABOVE,
+) -> DataFrame:
+    """Exact quantiles per group: built-in ``percentile`` for the groups known to be small,
+    ``exact_quantiles`` for the rest. Arguments and result are those of ``exact_quantiles``."""
+    sizes = df.groupBy(*group).agg(F.count("*").alias("_n")).where(F.col("_n") > split_above)
+    large, fits = materialize_small(sizes.select(*group), "large-groups")
+    columns = [*group, "count", *(extra or {}), *quantiles]
+    if large.isEmpty():
+        return _gathered(df, group, value, quantiles, extra or {}).select(*columns)
+    large = F.broadcast(large) if fits else large
+    small = _gathered(df.join(large, group, "left_anti"), group, value, quantiles, extra or {})
+    split = exact_quantiles(df.join(large, group, "left_semi"), group, value, quantiles, extra)
+    return small.select(*columns).unionByName(split.select(*columns))
+
+
+def _gathered(df: DataFrame, group: list[str], value: str, quantiles: dict[str, float],
+              extra: dict[str, Column]) -> DataFrame:
+    qs = F.percentile(value, list(quantiles.values()))
+    return df.groupBy(*group).agg(
+        F.count("*").alias("count"), *[c.alias(n) for n, c in extra.items()], qs.alias("_qs")).select(
+        "*", *[F.get("_qs", i).alias(n) for i, n in enumerate(quantiles)])
+
+
 def exact_quantiles(
     df: DataFrame,
     group: list[str],

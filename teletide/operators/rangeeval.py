@@ -3,7 +3,12 @@
 For each step ``t = start, start + step, ... end`` a function looks at the window ``(t - range, t]``.
 The grid is cut into cells of width ``gcd(step, range)`` whose edges fall on every window edge, so a
 window is an exact union of cells. Samples are summarised per (series, cell) first, which a partial
-aggregation does before the shuffle, and only those summaries are spread over the steps they reach.
+aggregation does before the shuffle.
+
+A window is then described by its earliest and its newest cell: with running totals over the cells of
+a series, counts and growth are differences between the two. Each cell is the newest for a stretch of
+steps, up to the one where its successor takes over, and the earliest for another. So the work grows
+with the cells and the result, however many steps a window spans.
 """
 
 from __future__ import annotations
@@ -55,17 +60,44 @@ class Grid:
         """Number of the cell holding ``ts``; cell c ends at ``start + c * width``, inclusive."""
         return times.ceil_div(ts - F.lit(self.start), self.width(window))
 
-    def over_steps(self, cells: DataFrame, window: int) -> DataFrame:
-        """Repeat each cell for every step whose window covers it; adds ``ts``."""
+    def reaching(self, cells: DataFrame, window: int) -> DataFrame:
+        """Cells that lie in some window, with the first and last step (``_from``, ``_to``) they reach."""
         width = self.width(window)
         per_step, per_window = self.step // width, window // width
         first = F.greatest(times.ceil_div(F.col("cell"), per_step), F.lit(0))
-        last = F.least(times.floor_div(F.col("cell") + F.lit(per_window - 1), per_step),
-                       F.lit(self.last))
-        reaching = cells.where(first <= last)
-        steps = F.explode(F.sequence(first, last)).alias("_step")
-        return reaching.select("*", steps).withColumn(
-            "ts", F.lit(self.start) + F.col("_step") * F.lit(self.step)).drop("_step")
+        last = F.least(times.floor_div(F.col("cell") + F.lit(per_window - 1), per_step), F.lit(self.last))
+        return cells.withColumns({"_from": first, "_to": last}).where("_from <= _to")
+
+    def newest(self, cells: DataFrame, series: str) -> DataFrame:
+        """Each reaching cell at the steps (``ts``) whose window it is the newest of."""
+        following = F.lead("_from").over(Window.partitionBy(series).orderBy("cell"))
+        return self._at(cells, F.col("_from"), F.least(F.col("_to"), following - 1))
+
+    def earliest(self, cells: DataFrame, series: str) -> DataFrame:
+        """Each reaching cell at the steps whose window it is the earliest of."""
+        preceding = F.lag("_to").over(Window.partitionBy(series).orderBy("cell"))
+        return self._at(cells, F.greatest(F.col("_from"), preceding + 1), F.col("_to"))
+
+    def _at(self, cells: DataFrame, first: Column, last: Column) -> DataFrame:
+        stretch = cells.withColumns({"_first": first, "_last": last}).where("_first <= _last")
+        steps = stretch.select("*", F.explode(F.sequence("_first", "_last")).alias("_step"))
+        return steps.withColumn("ts", F.lit(self.start) + F.col("_step") * F.lit(self.step))
+
+
+def _totals(column: str, series: str) -> Column:
+    """Running total over the cells of a series."""
+    return F.sum(column).over(Window.partitionBy(series).orderBy("cell").rowsBetween(
+        Window.unboundedPreceding, 0))
+
+
+def _ends(grid: Grid, cells: DataFrame, series: str, first: dict[str, Column],
+          last: dict[str, Column]) -> DataFrame:
+    """Per series and step, ``first`` taken from the earliest cell and ``last`` from the newest."""
+    early = grid.earliest(cells, series).select(series, "ts", *[c.alias(n) for n, c in first.items()])
+    late = grid.newest(cells, series).select(series, "ts", *[c.alias(n) for n, c in last.items()])
+    both = early.unionByName(late, allowMissingColumns=True)
+    # One row of each kind per step, so any aggregate that skips NULL joins them.
+    return both.groupBy(series, "ts").agg(*[F.max(n).alias(n) for n in [*first, *last]])
 
 
 def named(metric: str) -> Column:
@@ -110,9 +142,8 @@ def instant_selector(points: DataFrame, metric: str, grid: Grid, lookback: int =
     """Newest sample at most ``lookback`` old at every step: ``labels``, ``ts``, ``value``."""
     samples = _samples(points, metric, grid, lookback, policy)
     cells = samples.groupBy("labels", grid.cell(F.col("point_time"), lookback).alias("cell")).agg(
-        F.max("point_time").alias("at"), F.max_by("value", "point_time").alias("value"))
-    return grid.over_steps(cells, lookback).groupBy("labels", "ts").agg(
-        F.max_by("value", "at").alias("value"))
+        F.max_by("value", "point_time").alias("value"))
+    return grid.newest(grid.reaching(cells, lookback), "labels").select("labels", "ts", "value")
 
 
 def _counter_delta(now: Column, before: Column) -> Column:
@@ -126,27 +157,38 @@ def _counter_windows(points: DataFrame, metric: str, grid: Grid, window: int, po
     Growth inside a cell comes from a window over (series, cell); growth between neighbouring cells
     is added on the summaries. A long or busy series is thus cut at the cell edges.
     """
-    samples = _samples(points, metric, grid, window, policy).withColumn(
-        "cell", grid.cell(F.col("point_time"), window))
+    value = F.col("value")
+    bad = F.isnan(value) | (F.abs(value) == float("inf"))
+    # Running totals must stay finite, so such samples are counted and left out of the growth.
+    samples = _samples(points, metric, grid, window, policy).withColumns({
+        "cell": grid.cell(F.col("point_time"), window),
+        "bad": bad.cast("int"), "value": F.when(~bad, value)})
     inside = Window.partitionBy("labels", "cell").orderBy("point_time")
     before = F.lag("value").over(inside)
     samples = samples.withColumn("delta", _counter_delta(F.col("value"), before))
     cells = samples.groupBy("labels", "cell").agg(
         F.count("*").alias("n"),
-        F.sum("delta").alias("grown"),
+        F.sum("bad").alias("bad"),
+        F.coalesce(F.sum("delta"), F.lit(0.0)).alias("grown"),
         F.min("point_time").alias("first_at"),
         F.min_by("value", "point_time").alias("first_value"),
         F.max("point_time").alias("last_at"),
         F.max_by("value", "point_time").alias("last_value"))
+    cells = grid.reaching(cells, window)
     previous = F.lag("last_value").over(Window.partitionBy("labels").orderBy("cell"))
-    cells = cells.withColumn("crossed", _counter_delta(F.col("first_value"), previous))
-    return grid.over_steps(cells, window).groupBy("labels", "ts").agg(
-        F.sum("n").alias("n"),
-        # What the first cell of the window grew on entry happened before the window.
-        (F.sum(F.col("grown") + F.col("crossed")) - F.min_by("crossed", "first_at")).alias("growth"),
-        F.min("first_at").alias("first_at"),
-        F.min_by("first_value", "first_at").alias("first_value"),
-        F.max("last_at").alias("last_at"))
+    crossed = F.coalesce(_counter_delta(F.col("first_value"), previous), F.lit(0.0))
+    cells = cells.withColumn("gain", F.col("grown") + crossed)
+    cells = cells.withColumns({f"{c}_upto": _totals(c, "labels") for c in ("n", "bad", "gain")})
+    ends = _ends(grid, cells, "labels", first={
+        "first_at": F.col("first_at"), "first_value": F.col("first_value"),
+        # The first cell counts from its own first sample on.
+        "n_before": F.col("n_upto") - F.col("n"), "bad_before": F.col("bad_upto") - F.col("bad"),
+        "gain_before": F.col("gain_upto") - F.col("grown"),
+    }, last={"last_at": F.col("last_at"), "n_last": F.col("n_upto"), "bad_last": F.col("bad_upto"),
+             "gain_last": F.col("gain_upto")})
+    growth = F.when(F.col("bad_last") > F.col("bad_before"), float("nan")).otherwise(
+        F.col("gain_last") - F.col("gain_before"))
+    return ends.withColumns({"n": F.col("n_last") - F.col("n_before"), "growth": growth})
 
 
 def increase(points: DataFrame, metric: str, window: int, grid: Grid,
@@ -217,9 +259,11 @@ def count_over_time(logs: DataFrame, window: int, grid: Grid, service: str = "",
         grid.reachable(F.col("time"), window))
     cells = rows.groupBy(F.coalesce("service", F.lit("")).alias("g0"),
                          grid.cell(F.col("time"), window).alias("cell")).agg(F.count("*").alias("n"))
-    counts = grid.over_steps(cells, window).groupBy("g0", "ts").agg(
-        F.sum("n").cast("double").alias("value"))
-    return counts.select(labels_json(["service"]).alias("labels"), "ts", "value")
+    cells = grid.reaching(cells, window).withColumn("upto", _totals("n", "g0"))
+    ends = _ends(grid, cells, "g0", first={"before": F.col("upto") - F.col("n")},
+                 last={"upto": F.col("upto")})
+    count = (F.col("upto") - F.col("before")).cast("double")
+    return ends.select(labels_json(["service"]).alias("labels"), "ts", count.alias("value"))
 
 
 def log_rate(logs: DataFrame, window: int, grid: Grid, service: str = "",

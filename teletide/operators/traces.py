@@ -11,7 +11,7 @@ from teletide.functions.attrs import columns, group_columns
 from teletide.model import NS_PER_SECOND
 from teletide.operators import predicates
 from teletide.operators.predicates import AttrFilter
-from teletide.operators.quantiles import exact_quantiles
+from teletide.operators.quantiles import SPLIT_ABOVE, group_quantiles
 from teletide.operators.ranking import with_position
 from teletide.session import materialize, materialize_small
 
@@ -77,11 +77,12 @@ def _red_rows(spans: DataFrame, q: SpanMetricsQuery) -> DataFrame:
         "duration_ns", (F.col("status_code") == "ERROR").alias("failed"))
 
 
-def span_metrics(spans: DataFrame, q: SpanMetricsQuery) -> DataFrame:
-    """Calls, errors and exact latency percentiles per step and label set."""
+def span_metrics(spans: DataFrame, q: SpanMetricsQuery, split_above: int = SPLIT_ABOVE) -> DataFrame:
+    """Calls, errors and exact latency percentiles per step and label set. Groups of more than
+    ``split_above`` spans are worked on in parts."""
     groups = ["bucket", *[f"g{i}" for i in range(len(q.group_by))]]
-    red = exact_quantiles(_red_rows(spans, q), groups, "duration_ns", LATENCIES,
-                          {"errors": F.count_if("failed")})
+    red = group_quantiles(_red_rows(spans, q), groups, "duration_ns", LATENCIES,
+                          {"errors": F.count_if("failed")}, split_above)
     return red.withColumnRenamed("count", "calls")
 
 
@@ -174,7 +175,10 @@ def spans_of(spans: DataFrame, matches: DataFrame) -> DataFrame:
 
 
 def unique_spans(spans: DataFrame) -> DataFrame:
-    """One row per (trace, span); of repeats the first by start, then by the other columns."""
+    """One row per (trace, span); of repeats the first by start, then by the other columns.
+
+    An aggregate rather than a numbered window, so that repeats shrink before the shuffle.
+    """
     order = ["start_time", "duration_ns", "name", "service", "status_code", "parent_span_id"]
     rest = [c for c in spans.columns if c not in ("trace_id", "span_id", *order)]
     first = spans.groupBy("trace_id", "span_id").agg(
@@ -191,11 +195,12 @@ def trace_forest(spans: DataFrame, max_rounds: int = 64) -> DataFrame:
     depth ``2^k`` and only unresolved spans take part. Each round is written out before the next.
     """
     kept = ["trace_id", "span_id", "parent_span_id", "start_time", "name", "service"]
-    nodes = unique_spans(spans.select(*kept, "duration_ns", "status_code")).select(*kept)
+    nodes = materialize(unique_spans(spans.select(*kept, "duration_ns", "status_code")).select(*kept),
+                        "forest-nodes")
     known = nodes.select("trace_id", F.col("span_id").alias("parent_span_id"),
                          F.lit(True).alias("has_parent"))
     linked = materialize(nodes.join(known, ["trace_id", "parent_span_id"], "left").select(
-        *kept, F.coalesce("has_parent", F.lit(False)).alias("has_parent")), "forest-nodes")
+        *kept, F.coalesce("has_parent", F.lit(False)).alias("has_parent")), "forest-links")
 
     pointer = ["trace_id", "span_id", "up", "dist", "root"]
     done = [linked.where(~F.col("has_parent")).select(
@@ -259,8 +264,10 @@ def logs_without_trace(logs: DataFrame, spans: DataFrame) -> DataFrame:
 
 def exemplar_spans(exemplars: DataFrame, spans: DataFrame) -> DataFrame:
     """Each exemplar with the span it points to."""
-    target = unique_spans(spans).select(
+    linked = exemplars.where(F.col("trace_id").isNotNull() & F.col("span_id").isNotNull())
+    wanted, few = materialize_small(linked.select("trace_id", "span_id").distinct(), "span-ids")
+    wanted = F.broadcast(wanted) if few else wanted
+    target = unique_spans(spans.join(wanted, ["trace_id", "span_id"], "left_semi")).select(
         "trace_id", "span_id", F.col("name").alias("span_name"), F.col("service").alias("span_service"),
         "start_time", "duration_ns", "status_code")
-    linked = exemplars.where(F.col("trace_id").isNotNull() & F.col("span_id").isNotNull())
     return linked.join(target, ["trace_id", "span_id"])

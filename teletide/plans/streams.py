@@ -51,7 +51,7 @@ def tail_stream(spark: SparkSession, root: str) -> DataFrame:
                         "FROM metrics_gauge GROUP BY ALL")
 def stream_reject(spark: SparkSession, root: str) -> DataFrame:
     points = warehouse.gauge_from_events(warehouse.stream(spark, root, "events"))
-    kept = guard.reject_stream(points, ["value"], arrival=["value"], recent=1 << 24)
+    kept = guard.reject_stream(points, ["value"], arrival=["value"], recent=1 << 24, shards=8)
     return _drained(kept, "reject")
 
 

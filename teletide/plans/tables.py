@@ -205,6 +205,20 @@ def retain_days_stored(spark: SparkSession, root: str) -> DataFrame:
         F.count("*").alias("rows"))
 
 
+@query("retain_bytes", f"""
+    SELECT time - time % {NS_PER_DAY} AS day, count(*) AS rows FROM logs
+    WHERE time >= {NOW - 10 * NS_PER_DAY} GROUP BY ALL""")
+def retain_bytes(spark: SparkSession, root: str) -> DataFrame:
+    """A budget that holds exactly the newest ten of thirty days."""
+    path = _written(spark, root, "budget")
+    newest = maintenance.data_files(spark, path).where(F.col("day") >= times.to_day(F.lit(NOW - 10 * NS_PER_DAY)))
+    budget = newest.agg(F.sum("bytes")).first()[0]
+    maintenance.enforce_retention(spark, path, NOW, max_bytes=budget)
+    stored = tables.read_table(spark, "logs", path)
+    return stored.groupBy(times.bucket(F.col("time"), NS_PER_DAY).alias("day")).agg(
+        F.count("*").alias("rows"))
+
+
 query("table_stats", " UNION ALL ".join(
     f"SELECT '{t}' AS \"table\", count(*) AS rows, min({c}) AS min_time, max({c}) AS max_time FROM {t}"
     for t, c in [("logs", "time"), ("spans", "start_time")] + [

@@ -61,6 +61,10 @@ def _red(df: DataFrame) -> DataFrame:
 
 query("span_red", _red_sql(where="kind = 'SERVER'"))(
     on("spans", lambda df: _red(T.span_metrics(df, SpanMetricsQuery(MONTH, kind="SERVER")))))
+query("span_red_split", _red_sql("name"))(  # every group large enough is worked on in parts
+    on("spans", lambda df: _red(T.span_metrics(
+        df.withColumn("attributes", F.to_json(F.struct("name"))),
+        SpanMetricsQuery(MONTH, group_by=["name"]), split_above=50))))
 query("span_red_by_service", _red_sql("service"))(
     on("spans", lambda df: _red(T.span_metrics(df, SpanMetricsQuery(MONTH, group_by=["service.name"])))))
 query("span_red_by_attribute",

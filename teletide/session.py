@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -29,6 +30,11 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@functools.cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="teletide-")
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for intermediate tables and streaming checkpoints.
 
@@ -39,8 +45,7 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="teletide-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_base()
     return f"{base.rstrip('/')}/teletide/{purpose}-{uuid.uuid4().hex}"
 
 

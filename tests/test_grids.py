@@ -111,3 +111,21 @@ def test_count_over_an_hour(logs):
     rows = counted.collect()
     assert sum(r["value"] for r in rows) == 3.0
     assert {r["labels"] for r in rows} == {'{"service":"checkout"}'}
+
+
+def test_a_sample_that_is_no_number_spoils_only_its_windows(gauge):
+    values = [1.0, 2.0, float("nan"), 4.0, 5.0, 6.0, float("inf"), 8.0, 9.0]
+    df = gauge([{"metric": "c", "value": v, "point_time": BASE + i * 10} for i, v in enumerate(values)])
+    counted = R._counter_windows(df, "c", Grid(BASE + 10, BASE + 80, 10), 20, "error_on_read").orderBy("ts").collect()
+    assert [r["growth"] if r["growth"] == r["growth"] else None for r in counted] == [
+        1.0, None, None, 1.0, 1.0, None, None, 1.0]
+
+
+def test_a_window_far_wider_than_the_step(gauge, logs):
+    # 100,000 steps per window: each sample is placed by stretches, not step by step and window by window.
+    df = gauge([{"metric": "c", "value": float(i), "point_time": BASE + i * 1000} for i in range(4)])
+    grid = Grid(BASE, BASE + 20_000, 1)
+    got = series(R.instant_selector(df, "c", grid, lookback=100_000))
+    assert len(got) == 20_001 and got[BASE + 999] == 0.0 and got[BASE + 1000] == 1.0 and got[grid.end] == 3.0
+    counts = series(R.count_over_time(logs([{"service": "s", "time": BASE + i * 1000} for i in range(4)]), 100_000, grid))
+    assert len(counts) == 20_001 and counts[grid.end] == 4.0 and counts[BASE + 2500] == 3.0
