@@ -26,6 +26,8 @@ from teletide.operators.logs import LogQuery, filter_logs, query_logs
 
 LOOKBACK = 5 * NS_PER_MINUTE
 DEFAULT_LINES = 1000
+# Samples of one series within a cell are sorted together, so counter cells are kept this short.
+COUNTER_CELL = 10 * NS_PER_MINUTE
 
 
 @dataclass(frozen=True)
@@ -47,22 +49,27 @@ class Grid:
         """Index of the last step."""
         return (self.end - self.start) // self.step
 
-    def width(self, window: int) -> int:
+    def width(self, window: int, at_most: int | None = None) -> int:
+        """Cell width: the common divisor of step and range, or a part of it up to ``at_most``."""
         if window <= 0:
             raise ValueError("the range must be positive")
-        return gcd(self.step, window)
+        widest = gcd(self.step, window)
+        if at_most is None or widest <= at_most:
+            return widest
+        fewest = -(-widest // at_most)
+        parts = (k for k in range(fewest, 1000 * fewest) if widest % k == 0)
+        return widest // next(parts, 1)
 
     def reachable(self, ts: Column, window: int) -> Column:
         """Samples that some window of the grid covers."""
         return (ts > self.start - window) & (ts <= self.start + self.last * self.step)
 
-    def cell(self, ts: Column, window: int) -> Column:
+    def cell(self, ts: Column, width: int) -> Column:
         """Number of the cell holding ``ts``; cell c ends at ``start + c * width``, inclusive."""
-        return times.ceil_div(ts - F.lit(self.start), self.width(window))
+        return times.ceil_div(ts - F.lit(self.start), width)
 
-    def reaching(self, cells: DataFrame, window: int) -> DataFrame:
+    def reaching(self, cells: DataFrame, window: int, width: int) -> DataFrame:
         """Cells that lie in some window, with the first and last step (``_from``, ``_to``) they reach."""
-        width = self.width(window)
         per_step, per_window = self.step // width, window // width
         first = F.greatest(times.ceil_div(F.col("cell"), per_step), F.lit(0))
         last = F.least(times.floor_div(F.col("cell") + F.lit(per_window - 1), per_step), F.lit(self.last))
@@ -141,9 +148,10 @@ def instant_selector(points: DataFrame, metric: str, grid: Grid, lookback: int =
                      policy: str = duplicates.ERROR_ON_READ) -> DataFrame:
     """Newest sample at most ``lookback`` old at every step: ``labels``, ``ts``, ``value``."""
     samples = _samples(points, metric, grid, lookback, policy)
-    cells = samples.groupBy("labels", grid.cell(F.col("point_time"), lookback).alias("cell")).agg(
+    width = grid.width(lookback)
+    cells = samples.groupBy("labels", grid.cell(F.col("point_time"), width).alias("cell")).agg(
         F.max_by("value", "point_time").alias("value"))
-    return grid.newest(grid.reaching(cells, lookback), "labels").select("labels", "ts", "value")
+    return grid.newest(grid.reaching(cells, lookback, width), "labels").select("labels", "ts", "value")
 
 
 def _counter_delta(now: Column, before: Column) -> Column:
@@ -157,11 +165,12 @@ def _counter_windows(points: DataFrame, metric: str, grid: Grid, window: int, po
     Growth inside a cell comes from a window over (series, cell); growth between neighbouring cells
     is added on the summaries. A long or busy series is thus cut at the cell edges.
     """
+    width = grid.width(window, COUNTER_CELL)
     value = F.col("value")
     bad = F.isnan(value) | (F.abs(value) == float("inf"))
     # Running totals must stay finite, so such samples are counted and left out of the growth.
     samples = _samples(points, metric, grid, window, policy).withColumns({
-        "cell": grid.cell(F.col("point_time"), window),
+        "cell": grid.cell(F.col("point_time"), width),
         "bad": bad.cast("int"), "value": F.when(~bad, value)})
     inside = Window.partitionBy("labels", "cell").orderBy("point_time")
     before = F.lag("value").over(inside)
@@ -174,7 +183,7 @@ def _counter_windows(points: DataFrame, metric: str, grid: Grid, window: int, po
         F.min_by("value", "point_time").alias("first_value"),
         F.max("point_time").alias("last_at"),
         F.max_by("value", "point_time").alias("last_value"))
-    cells = grid.reaching(cells, window)
+    cells = grid.reaching(cells, window, width)
     previous = F.lag("last_value").over(Window.partitionBy("labels").orderBy("cell"))
     crossed = F.coalesce(_counter_delta(F.col("first_value"), previous), F.lit(0.0))
     cells = cells.withColumn("gain", F.col("grown") + crossed)
@@ -257,9 +266,10 @@ def count_over_time(logs: DataFrame, window: int, grid: Grid, service: str = "",
     rows = filter_logs(logs, LogQuery(service=service, contains=contains))
     rows = times.in_range(rows, "time", grid.start - window + 1, grid.end + 1).where(
         grid.reachable(F.col("time"), window))
+    width = grid.width(window)
     cells = rows.groupBy(F.coalesce("service", F.lit("")).alias("g0"),
-                         grid.cell(F.col("time"), window).alias("cell")).agg(F.count("*").alias("n"))
-    cells = grid.reaching(cells, window).withColumn("upto", _totals("n", "g0"))
+                         grid.cell(F.col("time"), width).alias("cell")).agg(F.count("*").alias("n"))
+    cells = grid.reaching(cells, window, width).withColumn("upto", _totals("n", "g0"))
     ends = _ends(grid, cells, "g0", first={"before": F.col("upto") - F.col("n")},
                  last={"upto": F.col("upto")})
     count = (F.col("upto") - F.col("before")).cast("double")

@@ -28,8 +28,8 @@ def _labels(metric: str) -> str:
             "json_extract_string(attributes, '$.host') || '\",\"service\":\"' || service || '\"}'")
 
 
-def _rounded(df: DataFrame) -> DataFrame:
-    return df.withColumn("value", F.round("value", 6))
+def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    return df.withColumn("value", F.round("value", digits))
 
 
 query("prom_series_key", f"SELECT DISTINCT {_labels('metric')} AS labels FROM metrics_gauge")(
@@ -72,10 +72,10 @@ def _increase_sql(grid: Grid, window: int, divisor: str, digits: int = 6) -> str
 
 query("prom_increase", _increase_sql(HOURLY, 6 * NS_PER_HOUR, "1"))(
     on("metrics_sum", lambda df: _rounded(R.increase(df, "events.total", 6 * NS_PER_HOUR, HOURLY))))
-query("prom_rate", _increase_sql(HOURLY, 6 * NS_PER_HOUR, str(6 * 3600.0)))(
-    on("metrics_sum", lambda df: _rounded(R.rate(df, "events_total", 6 * NS_PER_HOUR, HOURLY))))
-query("prom_rate_odd", _increase_sql(ODD, 10 * NS_PER_HOUR, str(10 * 3600.0)))(
-    on("metrics_sum", lambda df: _rounded(R.rate(df, "events_total", 10 * NS_PER_HOUR, ODD))))
+query("prom_rate", _increase_sql(HOURLY, 6 * NS_PER_HOUR, str(6 * 3600.0), 10))(
+    on("metrics_sum", lambda df: _rounded(R.rate(df, "events_total", 6 * NS_PER_HOUR, HOURLY), 10)))
+query("prom_rate_odd", _increase_sql(ODD, 10 * NS_PER_HOUR, str(10 * 3600.0), 10))(
+    on("metrics_sum", lambda df: _rounded(R.rate(df, "events_total", 10 * NS_PER_HOUR, ODD), 10)))
 query("prom_sum_by", f"""
     SELECT '{{"service":"' || json_extract_string(labels, '$.service') || '"}}' AS labels, ts,
            round(sum(value), 4) AS value

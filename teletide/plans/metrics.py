@@ -39,26 +39,26 @@ query("histogram_points", """
 
 
 def _rounded(df: DataFrame, column: str = "v") -> DataFrame:
-    return df.withColumn(column, F.round(column, 6))
+    return df.withColumn(column, F.round(column, 9))
 
 
 query("gauge_range", f"""
-    SELECT point_time - point_time % {NS_PER_HOUR} AS bucket, round(avg(value), 6) AS v
+    SELECT point_time - point_time % {NS_PER_HOUR} AS bucket, round(avg(value), 9) AS v
     FROM gauge_clean WHERE metric = '{CLICKS}' GROUP BY ALL""")(
     on("metrics_gauge", lambda df: _rounded(M.metric_range(df, MetricQuery(CLICKS, NS_PER_HOUR, duplicates=LAST_WINS)))))
 query("gauge_range_by", f"""
     SELECT point_time - point_time % {NS_PER_DAY} AS bucket,
-           json_extract_string(attributes, '$.host') AS g0, service AS g1, round(avg(value), 6) AS v
+           json_extract_string(attributes, '$.host') AS g0, service AS g1, round(avg(value), 9) AS v
     FROM gauge_clean WHERE metric = '{CLICKS}' GROUP BY ALL""")(
     on("metrics_gauge", lambda df: _rounded(M.metric_range(
         df, MetricQuery(CLICKS, NS_PER_DAY, group_by=["host", "service.name"], duplicates=LAST_WINS)))))
 query("gauge_range_all_points", f"""
-    SELECT point_time - point_time % {NS_PER_HOUR} AS bucket, round(avg(value), 6) AS v
+    SELECT point_time - point_time % {NS_PER_HOUR} AS bucket, round(avg(value), 9) AS v
     FROM metrics_gauge WHERE metric = '{CLICKS}' GROUP BY ALL""")(
     on("metrics_gauge", lambda df: _rounded(M.metric_range(
         df, MetricQuery(CLICKS, NS_PER_HOUR)))))
 query("sum_range", f"""
-    SELECT point_time - point_time % {NS_PER_DAY} AS bucket, service AS g0, round(sum(value), 6) AS v
+    SELECT point_time - point_time % {NS_PER_DAY} AS bucket, service AS g0, round(sum(value), 9) AS v
     FROM metrics_sum WHERE metric = 'events.total' GROUP BY ALL""")(
     on("metrics_sum", lambda df: _rounded(M.metric_range(
         df, MetricQuery("events.total", NS_PER_DAY, sum=True, group_by=["service"])))))
@@ -67,7 +67,7 @@ query("metric_instant", f"""
                       point_time - point_time % {NS_PER_HOUR} AS bucket, avg(value) AS v
                FROM gauge_clean WHERE metric = '{CLICKS}' GROUP BY ALL)
     SELECT '{{"host":"' || host || '","service":"' || service || '"}}' AS labels,
-           max(bucket) AS timestamp, round(arg_max(v, bucket), 6) AS value
+           max(bucket) AS timestamp, round(arg_max(v, bucket), 9) AS value
     FROM b GROUP BY host, service""")(
     on("metrics_gauge", lambda df: _rounded(M.metric_instant(
         df, MetricQuery(CLICKS, NS_PER_HOUR, group_by=["service", "host"], duplicates=LAST_WINS)), "value")))

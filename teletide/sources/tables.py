@@ -36,12 +36,13 @@ def with_day(df: DataFrame, name: str) -> DataFrame:
 
 def write_table(df: DataFrame, name: str, path: str, codec: str = "zstd", level: int | None = None,
                 promote_keys: list[str] | None = None, with_series: bool = False,
-                mode: str = "append") -> None:
+                files: int | None = None, mode: str = "append") -> None:
     """Append rows to a table folder, one partition per UTC day.
 
     Rows are ranged by day and time first, so that files cover narrow time spans (which prunes row
     groups later), a busy day is spread over several tasks and a quiet one does not leave a file per
-    task. ``with_series`` stores the identity of metric series in a column of its own.
+    task. ``files`` sets the number of ranges, by default the session's shuffle partitions with small
+    ones merged. ``with_series`` stores the identity of metric series in a column of its own.
     """
     if codec not in CODECS:
         raise ValueError(f"unknown codec {codec!r}")
@@ -50,7 +51,8 @@ def write_table(df: DataFrame, name: str, path: str, codec: str = "zstd", level:
         rows = rows.withColumn(
             "series", series_key(F.col("service"), F.col("metric"), F.col("attributes")))
     time = time_column(name)
-    writer = rows.repartitionByRange("day", time).sortWithinPartitions("day", time).write
+    ranges = [files, "day", time] if files else ["day", time]
+    writer = rows.repartitionByRange(*ranges).sortWithinPartitions("day", time).write
     if codec == "zstd" and level is not None:
         writer = writer.option("parquet.compression.codec.zstd.level", str(level))
     writer.mode(mode).partitionBy("day").option("compression", codec).parquet(path)

@@ -129,3 +129,12 @@ def test_a_window_far_wider_than_the_step(gauge, logs):
     assert len(got) == 20_001 and got[BASE + 999] == 0.0 and got[BASE + 1000] == 1.0 and got[grid.end] == 3.0
     counts = series(R.count_over_time(logs([{"service": "s", "time": BASE + i * 1000} for i in range(4)]), 100_000, grid))
     assert len(counts) == 20_001 and counts[grid.end] == 4.0 and counts[BASE + 2500] == 3.0
+
+
+def test_cell_widths_divide_step_and_range():
+    grid = Grid(0, 10**18, 3600 * SECOND)
+    assert grid.width(6 * 3600 * SECOND) == 3600 * SECOND
+    assert grid.width(6 * 3600 * SECOND, R.COUNTER_CELL) == 600 * SECOND
+    assert grid.width(5400 * SECOND, R.COUNTER_CELL) == 600 * SECOND
+    assert Grid(0, 10, 7).width(21, 3) == 1
+    assert Grid(0, 10, 10**9 + 7).width(10**9 + 7, 10**9) == 10**9 + 7  # a prime has no fitting part
