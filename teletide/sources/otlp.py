@@ -138,12 +138,9 @@ def _id(text: Column) -> Column:
 
 
 def _enum(text: Column, names: list[str], prefix: str) -> Column:
-    """Name of an enumeration value given as its number or its full name."""
-    short = F.lower(F.regexp_replace(text, f"^{prefix}", ""))
-    value = F.lit(names[0])
-    for number, name in enumerate(names):
-        value = F.when((text == str(number)) | (short == name.lower()), name).otherwise(value)
-    return value
+    """Name of an enumeration value given as its number or its full name; the first one if unknown."""
+    spelled = [F.lit(x) for i, n in enumerate(names) for x in (str(i), n, prefix + n.upper(), n)]
+    return F.coalesce(F.try_element_at(F.create_map(*spelled), text), F.lit(names[0]))
 
 
 def _resource(df: DataFrame, lists: str, inner: str) -> DataFrame:
