@@ -15,6 +15,8 @@ from teletide.operators.ranking import with_position
 
 TIME = "time"
 OBSERVED_TIME = "observed_time"
+# Up to this many rows the head of an order is merged in one task; beyond it positions are counted.
+MERGED_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -73,9 +75,18 @@ def order_columns(q: LogQuery) -> list[Column]:
 
 def query_logs(logs: DataFrame, q: LogQuery) -> DataFrame:
     """Matching rows in order. With a limit Spark keeps only the best rows of each partition."""
-    extra = [c for c in q.tie_break if c in logs.columns]
-    rows = filter_logs(logs, q).select(*LOG_COLUMNS, *extra).orderBy(*order_columns(q))
-    return rows.limit(q.limit) if q.limit > 0 else rows
+    return _slice(logs, q, 0, q.limit)
+
+
+def _slice(logs: DataFrame, q: LogQuery, after: int, limit: int) -> DataFrame:
+    """``limit`` rows (0: all) of the ordered result behind the first ``after``."""
+    order = order_columns(q)
+    if 0 < limit and after + limit > MERGED_ROWS:
+        placed = positions(logs, q, "_rn").where(
+            (F.col("_rn") > after) & (F.col("_rn") <= after + limit))
+        return placed.select(*LOG_COLUMNS, *q.tie_break).orderBy(*order)
+    rows = filter_logs(logs, q).select(*LOG_COLUMNS, *q.tie_break).orderBy(*order)
+    return rows.offset(after).limit(limit) if limit > 0 else rows
 
 
 def positions(logs: DataFrame, q: LogQuery, name: str = "rn") -> DataFrame:
@@ -139,9 +150,7 @@ def log_page(logs: DataFrame, q: LogQuery, after: int = 0) -> LogPage:
     if q.limit <= 0:
         raise ValueError("a page needs a limit")
     seen = Observation()
-    extra = [c for c in q.tie_break if c in logs.columns]
-    rows = filter_logs(logs, q).select(*LOG_COLUMNS, *extra).orderBy(*order_columns(q)).offset(
-        after).limit(q.limit).observe(seen, F.count(F.lit(1)).alias("returned"))
+    rows = _slice(logs, q, after, q.limit).observe(seen, F.count(F.lit(1)).alias("returned"))
     return LogPage(rows, seen, after, q.limit)
 
 

@@ -107,7 +107,9 @@ def test_attribute_predicates(logs):
     assert run(attr_regex={"m": "OS|X"}) == "b"
 
 
-def test_pages_concatenate_to_the_order(logs):
+@pytest.mark.parametrize("merged_rows", [L.MERGED_ROWS, 5])
+def test_pages_concatenate_to_the_order(logs, merged_rows, monkeypatch):
+    monkeypatch.setattr(L, "MERGED_ROWS", merged_rows)  # later pages are cut out by position
     df = logs([{"body": f"r{i}"} for i in range(10)])
     q, after, pages = LogQuery(limit=4), 0, []
     while after is not None:
