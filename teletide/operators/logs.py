@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from teletide.functions import text, times
 from teletide.functions.attrs import group_columns, labels_json
-from teletide.model import LOG_COLUMNS, NS_PER_MINUTE
+from teletide.model import LOG_COLUMNS, NS_PER_MINUTE, NS_PER_SECOND
 from teletide.operators import predicates
 from teletide.operators.predicates import AttrFilter
 from teletide.operators.ranking import with_position
@@ -95,20 +95,17 @@ def positions(logs: DataFrame, q: LogQuery, name: str = "rn") -> DataFrame:
     Needs one numeric tie-break column; see ``ranking.with_position`` for how the order is split.
     """
     sign = -1 if q.backward else 1
-    tie = F.col(q.tie_break[0]) * sign
+    tie, time = F.col(q.tie_break[0]) * sign, F.col("time") * sign
     if _axis(q) == TIME:
-        key = F.col("time") * sign
-        order, digits = [key, tie], []
+        blocks, key, order = [], time, [time, tie]
     else:
         # Rows without an arrival time form a second block, ordered by event time.
-        unplaced = F.col("observed_time").isNull()
         key = F.coalesce("observed_time", "time") * sign
-        order, digits = [unplaced, key, F.col("time") * sign, tie], [unplaced]
-    digits = [*digits, times.floor_div(key, NS_PER_MINUTE), key]
-    if _axis(q) != TIME:
-        digits.append(F.col("time") * sign)
-    digits.append(times.floor_div(tie, 1 << 16))
-    return with_position(filter_logs(logs, q), order, digits, name=name)
+        blocks = [F.col("observed_time").isNull()]
+        order = [*blocks, key, time, tie]
+    digits = [*blocks, times.floor_div(key, NS_PER_MINUTE), times.floor_div(key, NS_PER_SECOND // 100)]
+    fine = [key, time, times.floor_div(tie, 1 << 16)]
+    return with_position(filter_logs(logs, q), order, digits, name=name, fine=fine)
 
 
 def count_logs(logs: DataFrame, q: LogQuery) -> DataFrame:

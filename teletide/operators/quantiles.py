@@ -13,7 +13,9 @@ _FINE_WIDTH = 1 << 16
 
 
 def _coarse_bin(value: Column) -> Column:
-    return F.floor(F.log2(value.cast("double") + 1) * _BINS_PER_OCTAVE)
+    """Grows with the value; negative values (clock skew) get the mirrored bins below zero."""
+    size = F.floor(F.log2(F.abs(value).cast("double") + 1) * _BINS_PER_OCTAVE)
+    return F.when(value >= 0, size).otherwise(-size - 1)
 
 
 def _ranks(q: float, total: Column) -> tuple[Column, Column]:
@@ -62,20 +64,20 @@ def exact_quantiles(
     quantiles: dict[str, float],
     extra: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Interpolated quantiles of a non-negative integer column, one output row per group.
+    """Interpolated quantiles of an integer column, one output row per group with any value.
 
     ``quantiles`` names the output columns; ``extra`` holds further aggregates that can be added up
     (they are computed per bin and summed). Built-in ``percentile`` gathers every distinct value of a
     group in one buffer. Here the rows are first only counted per logarithmic bin, which gives the
     bins that hold a wanted rank (this pass runs at once, to learn how many they are); the second pass
-    looks at the rows of these bins alone, in fine bins of fixed width and finally value by value. Each window therefore sees at most the bins of a
-    group, the fine bins of a bin, or the values of a fine bin.
-    Group columns must not be NULL.
+    looks at the rows of these bins alone, in fine bins of fixed width and finally value by value. Each
+    window therefore sees at most the bins of a group, the fine bins of a bin, or the values of a fine
+    bin. Group columns must not be NULL.
     """
-    extra = extra or {}
+    extra = {"count": F.count("*"), **(extra or {})}
     binned = df.withColumn("_bin", _coarse_bin(F.col(value)))
     coarse = binned.groupBy(*group, "_bin").agg(
-        F.count("*").alias("_n"), *[c.alias(n) for n, c in extra.items()])
+        F.count(value).alias("_n"), *[c.alias(n) for n, c in extra.items()])
     per_group = Window.partitionBy(*group)
     coarse = coarse.withColumns({
         "_base": F.coalesce(F.sum("_n").over(per_group.orderBy("_bin").rowsBetween(
@@ -123,5 +125,5 @@ def exact_quantiles(
         return low.cast("double") + (high - low) * (at_rank - F.floor(at_rank))
 
     return picked.select(
-        *group, F.col("_total").alias("count"), *extra,
+        *group, *extra,
         *[interpolated(i, q).alias(name) for i, (name, q) in enumerate(quantiles.items())])

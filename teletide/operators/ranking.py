@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from teletide.functions.attrs import columns
+from teletide.session import materialize, materialize_small
+
+# Rows of one cell that may be sorted together.
+HOT_CELL = 1_000_000
 
 
 def with_position(
@@ -13,38 +17,54 @@ def with_position(
     digits: list[Column],
     group: list[str] | tuple[str, ...] = (),
     name: str = "rn",
+    fine: list[Column] | None = None,
 ) -> DataFrame:
     """Add the 1-based position of each row within its group under ``order``.
 
-    ``digits`` are coarse-to-fine keys that never decrease along ``order``, such as the minute, then
-    the instant, then the high part of the record id. Rows are counted per finest cell (a partial
-    aggregation), the counts are summed up level by level, and only the rows of one cell are sorted
-    together. So a hot group or a hot instant is spread over its cells. Without a group the coarsest
-    digit is summed up in one task, so it must take few values (the minutes of a retention period).
-    Group and digit columns must not be NULL.
-    """
-    group = list(group)
-    levels = [f"_d{i}" for i in range(len(digits))]
-    rows = df.withColumns(dict(zip(levels, digits)))
-    cells = rows.groupBy(*group, *levels).agg(F.count("*").alias("_n"))
+    ``digits`` are coarse-to-fine keys that never decrease along ``order``, such as the minute and
+    then the hundredth of a second. Rows are counted per finest cell (a partial aggregation), the
+    counts are summed up level by level, and only the rows of one cell are sorted together. So a hot
+    group is spread over its cells.
 
-    # Positions before a cell: what precedes it inside its parent cell, plus the parent's own offset.
-    offsets = None
-    for depth in range(len(levels)):
-        parent, here = [*group, *levels[:depth]], [*group, *levels[: depth + 1]]
-        counts = cells if depth == len(levels) - 1 else cells.groupBy(*here).agg(
-            F.sum("_n").alias("_n"))
-        before = Window.partitionBy(*parent).orderBy(levels[depth]).rowsBetween(
-            Window.unboundedPreceding, -1)
-        counts = counts.select(
-            *here, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-        if offsets is not None:
-            counts = counts.join(offsets, parent).withColumn(
-                "_before", F.col("_before") + F.col("_offset"))
-        offsets = counts.select(*here, F.col("_before").alias("_offset"))
+    ``fine`` continues the digits, down to parts of the tie-break, for cells that turn out to hold more
+    than ``HOT_CELL`` rows, such as one instant shared by a large share of all rows; the counts are
+    then taken at once. Without a group the coarsest digit is summed up in one task, so it must take
+    few values (the minutes of a retention period). Group and digit columns must not be NULL.
+    """
+    keys = [*group, *[f"_d{i}" for i in range(len(digits))]]
+    rows = df.withColumns(dict(zip(keys[len(group):], digits)))
+    cells = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+    if fine:
+        cells = materialize(cells, "cells")
+        hot, fits = materialize_small(cells.where(F.col("_n") > HOT_CELL).select(*keys), "hot-cells")
+        if not hot.isEmpty():
+            hot = hot.withColumn("_hot", F.lit(True))
+            rows = rows.join(F.broadcast(hot) if fits else hot, keys, "left")
+            finer = [f"_f{i}" for i in range(len(fine))]
+            rows = rows.withColumns(
+                {f: F.when(F.col("_hot"), d).otherwise(0) for f, d in zip(finer, fine)})
+            keys = [*keys, *finer]
+            cells = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
 
-    keys = [*group, *levels]
+    offsets = _offsets(cells, keys, len(group))
     ranked = rows.withColumn(
         "_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     placed = ranked.join(offsets, keys).withColumn(name, F.col("_rank") + F.col("_offset"))
     return placed.select(*columns(df.columns), name)
+
+
+def _offsets(cells: DataFrame, keys: list[str], groups: int) -> DataFrame:
+    """Rows of the group that lie before each cell: those before it inside its parent cell, plus the
+    parent's own offset."""
+    offsets = None
+    for depth in range(groups, len(keys)):
+        parent, here = keys[:depth], keys[: depth + 1]
+        counts = cells if here == keys else cells.groupBy(*here).agg(F.sum("_n").alias("_n"))
+        before = Window.partitionBy(*parent).orderBy(keys[depth]).rowsBetween(
+            Window.unboundedPreceding, -1)
+        inside = counts.select(*here, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+        if offsets is not None:
+            inside = inside.join(offsets.withColumnRenamed("_offset", "_above"), parent).select(
+                *here, (F.col("_offset") + F.col("_above")).alias("_offset"))
+        offsets = inside
+    return offsets

@@ -16,10 +16,6 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import BASE, MINUTE, SECOND
-from teletide.operators import logs as L
+from teletide.operators import logs as L, ranking
 from teletide.operators.logs import LogQuery
 from teletide.operators.rangeeval import log_lines
 from teletide.streaming.jobs import tail_poll
@@ -44,9 +44,11 @@ def test_arrival_axis(two_clocks):
     assert run(observed_after=BASE + 10 * SECOND) == ["late"]
 
 
+@pytest.mark.parametrize("hot_cell", [ranking.HOT_CELL, 2])
 @pytest.mark.parametrize("backward", [False, True])
 @pytest.mark.parametrize("axis", ["time", "observed_time"])
-def test_positions_follow_the_order(logs, axis, backward):
+def test_positions_follow_the_order(logs, axis, backward, hot_cell, monkeypatch):
+    monkeypatch.setattr(ranking, "HOT_CELL", hot_cell)  # with and without finer cells
     # Many equal instants, a block without arrival time, ids on both sides of a digit border.
     rows = [{"body": str(i), "record_id": i * 9973, "time": BASE + (i % 7) * MINUTE // 3,
              "observed_time": None if i % 3 == 0 else BASE + (i % 5) * SECOND} for i in range(60)]

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from teletide.operators import duplicates as D, logs as L, traces as T
+from teletide.operators import duplicates as D, logs as L, ranking, traces as T
 from teletide.operators.logs import LogQuery
 from teletide.operators.rangeeval import Grid, count_over_time, increase
 from teletide.operators.traces import SpanMetricsQuery, TraceQuery
@@ -24,20 +24,23 @@ def hot_logs(spark, n=300_000):
         i.alias("record_id"))
 
 
-def test_positions_with_a_hot_instant(spark):
+def test_positions_with_a_hot_instant(spark, monkeypatch):
     n = 300_000
+    monkeypatch.setattr(ranking, "HOT_CELL", 50_000)
     df = L.positions(hot_logs(spark, n), LogQuery())
     got = df.agg(F.count("*"), F.countDistinct("rn"), F.min("rn"), F.max("rn")).first()
     assert tuple(got) == (n, n, 1, n)
     # Rows of the hot instant come first, in id order.
     wrong = df.where((F.col("time") == BASE) & (F.col("rn") != F.floor(F.col("record_id") / 3) + 1))
     assert wrong.count() == 0
+    # The hot instant was sorted in several parts.
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "_f2" in plan
 
 
-def test_hot_instant_is_split_into_several_sort_cells(spark):
-    from teletide.functions import times
-    cells = hot_logs(spark).groupBy("time", times.floor_div(F.col("record_id"), 1 << 16)).count()
-    assert cells.agg(F.max("count")).first()[0] <= 1 << 16
+def test_positions_without_hot_cells_take_the_short_plan(spark):
+    df = L.positions(hot_logs(spark, 3_000), LogQuery())
+    assert "_f0" not in df._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_grid_reads_with_a_hot_series(spark):

@@ -64,6 +64,13 @@ def test_red(spans):
     assert T.span_metrics(df, SpanMetricsQuery(MINUTE, status="UNSET")).collect() == []
 
 
+def test_missing_durations_count_as_calls_only(spans):
+    df = spans([{"duration_ns": None}, {"duration_ns": 4}, {"duration_ns": 8}, {"duration_ns": None}])
+    for split_above in (0, 100):
+        (row,) = T.span_metrics(df, SpanMetricsQuery(MINUTE), split_above).collect()
+        assert (row["calls"], row["p50"]) == (4, 6.0)
+
+
 def reference_quantile(values, q):
     at = (len(values) - 1) * q
     low, high = int(at), min(int(at) + 1, len(values) - 1)
@@ -77,6 +84,7 @@ def test_exact_quantiles_agree_with_sorting(spark, seed):
         "one": [17], "two": [0, 10], "equal": [5_000_000] * 50,
         "spread": [rng.randint(0, 10 ** rng.randint(0, 15)) for _ in range(200)],
         "close": [10**12 + rng.randint(0, 200_000) for _ in range(100)],
+        "skewed clocks": [rng.randint(-10**9, 10**6) for _ in range(150)],
         "border": [2**k + d for k in range(1, 50) for d in (-1, 0, 1)],
     }
     df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "g string, v bigint")
