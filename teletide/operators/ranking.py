@@ -28,14 +28,16 @@ def with_position(
 
     ``fine`` continues the digits, down to parts of the tie-break, for cells that turn out to hold more
     than ``HOT_CELL`` rows, such as one instant shared by a large share of all rows; the counts are
-    then taken at once. Without a group the coarsest digit is summed up in one task, so it must take
-    few values (the minutes of a retention period). Group and digit columns must not be NULL.
+    then taken at once. With a group and no digits the cells are the groups themselves, and as long as
+    none is hot a plain window does. Without a group the coarsest digit is summed up in one task, so it
+    must take few values (the minutes of a retention period). Group and digit columns must not be NULL.
     """
     keys = [*group, *[f"_d{i}" for i in range(len(digits))]]
     rows = df.withColumns(dict(zip(keys[len(group):], digits)))
     cells = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
     if fine:
-        cells = materialize(cells, "cells")
+        if digits:
+            cells = materialize(cells, "cells")
         hot, fits = materialize_small(cells.where(F.col("_n") > HOT_CELL).select(*keys), "hot-cells")
         if not hot.isEmpty():
             hot = hot.withColumn("_hot", F.lit(True))
@@ -46,9 +48,11 @@ def with_position(
             keys = [*keys, *finer]
             cells = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
 
-    offsets = _offsets(cells, keys, len(group))
     ranked = rows.withColumn(
         "_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    if keys == list(group):
+        return ranked.select(*columns(df.columns), F.col("_rank").cast("bigint").alias(name))
+    offsets = _offsets(cells, keys, len(group))
     placed = ranked.join(offsets, keys).withColumn(name, F.col("_rank") + F.col("_offset"))
     return placed.select(*columns(df.columns), name)
 

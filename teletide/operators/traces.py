@@ -152,14 +152,19 @@ def spanset_match(spans: DataFrame, q: TraceQuery, start: int = 0, end: int = 0)
     return selected.join(times.in_range(begins, "begin", start, end), "trace_id", "left_semi")
 
 
+def _instants() -> list[Column]:
+    """How the spans of a hot group are cut up along their start."""
+    return [times.floor_div(F.col("start_time"), NS_PER_SECOND), F.col("start_time")]
+
+
 def spanset_lists(matches: DataFrame) -> DataFrame:
     """One row per trace with its selected span ids, by start.
 
     A trace with more than ``SPANS_PER_LIST`` selected spans takes several rows numbered by ``part``.
     """
+    matches = materialize(matches.select("trace_id", "span_id", "start_time"), "matches")
     ranked = with_position(
-        matches, [F.col("start_time"), F.col("span_id")],
-        [times.floor_div(F.col("start_time"), NS_PER_SECOND)], group=["trace_id"])
+        matches, [F.col("start_time"), F.col("span_id")], [], group=["trace_id"], fine=_instants())
     part = times.floor_div(F.col("rn") - 1, SPANS_PER_LIST).alias("part")
     entry = F.array_sort(F.collect_list(F.struct("rn", "span_id")))
     return ranked.groupBy("trace_id", part).agg(entry.alias("e")).select(
@@ -234,9 +239,8 @@ def trace_forest(spans: DataFrame, max_rounds: int = 64) -> DataFrame:
                                F.col("root").alias("root_span_id"))
     siblings = F.when(F.col("has_parent"), F.col("parent_span_id")).otherwise("")
     ranked = with_position(
-        linked.withColumn("_siblings", siblings), [F.col("start_time"), F.col("span_id")],
-        [times.floor_div(F.col("start_time"), NS_PER_SECOND)],
-        group=["trace_id", "_siblings"], name="sibling_rank")
+        linked.withColumn("_siblings", siblings), [F.col("start_time"), F.col("span_id")], [],
+        group=["trace_id", "_siblings"], name="sibling_rank", fine=_instants())
     placed = ranked.join(resolved, ["trace_id", "span_id"], "left")
     return placed.select(
         *kept, "root_span_id", "depth", "sibling_rank",

@@ -1,5 +1,6 @@
 """One key holding a large share of the rows: results stay whole and work is split."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from teletide.operators import duplicates as D, logs as L, ranking, traces as T
@@ -75,7 +76,9 @@ def test_one_instant_repeated_for_a_third_of_the_points(spark):
     assert plan.index("Exchange") < plan.index("partial_max")
 
 
-def test_hot_service_and_hot_trace(spark):
+@pytest.mark.parametrize("hot_cell", [ranking.HOT_CELL, 10_000])
+def test_hot_service_and_hot_trace(spark, hot_cell, monkeypatch):
+    monkeypatch.setattr(ranking, "HOT_CELL", hot_cell)  # the hot trace whole, and in parts
     n = 150_000
     i = F.col("id")
     spans = spark.range(n).select(

@@ -16,7 +16,9 @@ def span(id_, parent=None, **more):
     return {"span_id": id_, "parent_span_id": parent, **more}
 
 
-def test_forest_shape(spans):
+@pytest.mark.parametrize("hot_cell", [1_000_000, 1])
+def test_forest_shape(spans, hot_cell, monkeypatch):
+    monkeypatch.setattr("teletide.operators.ranking.HOT_CELL", hot_cell)
     rows = [span("gc", "A", start_time=300), span("B", "root", start_time=250),
             span("orphan", "missing", start_time=400), span("A", "root", start_time=200),
             span("root", None, start_time=100)]
@@ -143,7 +145,9 @@ def test_spanset_window_is_on_the_trace_start(spans):
     assert ids(0, 140) == {"b"}
 
 
-def test_spanset_lists_split_a_huge_trace(spans, monkeypatch):
+@pytest.mark.parametrize("hot_cell", [1_000_000, 3])
+def test_spanset_lists_split_a_huge_trace(spans, hot_cell, monkeypatch):
+    monkeypatch.setattr("teletide.operators.ranking.HOT_CELL", hot_cell)
     monkeypatch.setattr(T, "SPANS_PER_LIST", 4)
     df = spans([span(f"{i:02d}", start_time=BASE + (i % 3) * SECOND) for i in range(10)]
                + [span("z", trace_id="2" * 32)])
