@@ -31,6 +31,7 @@ STAR_ROUNDS, PAIRS_PER_ROW = 4, 8
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LEVEL_BITS = 6
+_SIGN = np.uint64(1 << 63)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -114,7 +115,8 @@ def _rows(docs: DataFrame, n: int, percent: int, levels: np.ndarray) -> DataFram
                 order = (levels[(grams & np.uint64(SKETCH - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(64 - _LEVEL_BITS)
                          | grams >> np.uint64(_LEVEL_BITS))
                 keep = prefix_size(len(grams), percent)
-                prefixes.append((np.partition(order, keep - 1)[:keep] if keep else order).view(np.int64))
+                first_ones = np.partition(order, keep - 1)[:keep] if keep else order
+                prefixes.append((first_ones ^ _SIGN).view(np.int64))  # signed numbers of the same order
             return pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()),
                  pa.array(prefixes, pa.list_(pa.int64()))], names=["doc_id", "n", "s1", "s2", "prefix"])
@@ -139,11 +141,31 @@ def _can_link(a: str, b: str, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) whose sets reach the similarity, by their exact overlap."""
-    pairs = materialize(pairs.distinct(), "pairs")
+def _among(df: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose documents the pairs name."""
     ids, small = materialize_small(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "pair-ids")
-    sets = materialize(_full_sets(docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi"), n), "sets")
+    return df.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
+
+
+def _possible(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """The pairs that their prefixes do not rule out.
+
+    Up to the smaller of their last n-grams both prefixes are complete, so what the sets share there is
+    counted; beyond it they share at most what is left of the smaller rest.
+    """
+    some = _among(rows.select("doc_id", "n", "prefix"), pairs)
+    both = (pairs.join(some.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("prefix").alias("y")), "b")
+            .join(some.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("prefix").alias("x")), "a"))
+    upto = F.least(F.array_max("x"), F.array_max("y"))
+    within = [F.size(F.filter(c, lambda g: g <= F.col("upto"))) for c in ("x", "y")]
+    most = F.size(F.array_intersect("x", "y")) + F.least(F.col("na") - within[0], F.col("nb") - within[1])
+    return both.withColumn("upto", upto).where(most * (100 + percent) >= (F.col("na") + F.col("nb")) * percent).select("a", "b")
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) whose sets reach the similarity, by their exact overlap."""
+    pairs = materialize(_possible(pairs, rows, percent).distinct(), "pairs")
+    sets = materialize(_full_sets(_among(docs, pairs), n), "sets")
     both = (pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("y")), "b")
             .join(sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("x")), "a"))
     overlap = F.size(F.array_intersect("x", "y"))
@@ -176,24 +198,24 @@ def links(docs: DataFrame, rows: DataFrame, mean: float, n: int, percent: int) -
                          .select("s1", "s2", "a", F.col("doc_id").alias("b")).distinct(), "copies")
     alone = rows.where("n > 0 and doc_id is not null").join(
         copies.select("s1", "s2", F.col("b").alias("doc_id")), ["s1", "s2", "doc_id"], "left_anti")
-    entries = alone.select("doc_id", "n", F.explode("prefix").alias("g"))
     # A column that the sketch takes for a long one is dealt to several cells; their first rows meet again.
-    rate = F.pow(F.lit(2.0), F.shiftrightunsigned("g", 64 - _LEVEL_BITS) / 2) - mean
-    cells = F.greatest(F.lit(1), F.ceil(rate * SKETCH_SHARE / CELL_ROWS))
-    entries = entries.withColumn("cells", cells).withColumn("cell", F.pmod(F.xxhash64("doc_id"), F.col("cells")))
+    level = F.shiftright("g", 64 - _LEVEL_BITS) + 2 ** (_LEVEL_BITS - 1)
+    cells = F.greatest(F.lit(1), F.ceil((F.pow(F.lit(2.0), level / 2) - mean) * SKETCH_SHARE / CELL_ROWS))
+    entries = (alone.select("doc_id", "n", F.explode("prefix").alias("g"))
+               .withColumn("cell", F.pmod(F.xxhash64("doc_id"), cells)))
     run = Window.partitionBy("g", "cell").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing)
-    shared = materialize(entries.select("g", "doc_id", "n", "cells", F.first("doc_id").over(run).alias("lead"),
-                                        F.first("n").over(run).alias("lead_n"), F.count("*").over(run).alias("held"))
-                         .where("held > 1 or cells > 1").drop("held"), "columns")
+    led = entries.select("g", "doc_id", "n", F.first("doc_id").over(run).alias("lead"), F.first("n").over(run).alias("lead_n"),
+                         F.count("*").over(run).alias("held")).withColumn("cells", cells)
+    shared = materialize(led.where("held > 1 or cells > 1"), "columns")
     heads = Window.partitionBy("g").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing)
     met = (shared.where("doc_id = lead and cells > 1")
            .select(F.first("doc_id").over(heads).alias("lead"), F.first("n").over(heads).alias("lead_n"), "doc_id", "n"))
     stars = shared.select("lead", "lead_n", "doc_id", "n").unionByName(met)
     tested = _ordered(stars.where(_can_link("lead_n", "n", percent)), "lead", "doc_id")
-    found = _verified(tested, docs, n, percent)
-    shared = shared.select("g", "doc_id", "n").distinct()
+    found = _verified(tested, rows, docs, n, percent)
+    shared = shared.where("held > 2 or cells > 1").select("g", "doc_id", "n")  # of two rows, the one pair is tested
     for k in range(STAR_ROUNDS):
         mixed = _labelled(shared, found)
         held, pairs = _pairs_left(mixed)
@@ -213,7 +235,7 @@ def links(docs: DataFrame, rows: DataFrame, mean: float, n: int, percent: int) -
                             "lead_doc_id", "doc_id")
         left = left.distinct().join(tested, ["a", "b"], "left_anti")
         left = materialize(left, "left")
-        found = materialize(found.union(_verified(left, docs, n, percent)), "links")
+        found = materialize(found.union(_verified(left, rows, docs, n, percent)), "links")
         if last:
             break
         tested = materialize(tested.union(left), "tested")
