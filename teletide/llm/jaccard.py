@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -156,10 +157,24 @@ def _possible(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     some = _among(rows.select("doc_id", "n", "prefix"), pairs)
     both = (pairs.join(some.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("prefix").alias("y")), "b")
             .join(some.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("prefix").alias("x")), "a"))
-    upto = F.least(F.array_max("x"), F.array_max("y"))
-    within = [F.size(F.filter(c, lambda g: g <= F.col("upto"))) for c in ("x", "y")]
-    most = F.size(F.array_intersect("x", "y")) + F.least(F.col("na") - within[0], F.col("nb") - within[1])
-    return both.withColumn("upto", upto).where(most * (100 + percent) >= (F.col("na") + F.col("nb")) * percent).select("a", "b")
+
+    def bounded(batches):
+        for batch in batches:
+            x, y = batch.column("x"), batch.column("y")
+            left, right = x.flatten().to_numpy(), y.flatten().to_numpy()
+            ends = [np.cumsum(np.concatenate([[0], pc.list_value_length(c).to_numpy()])).tolist() for c in (x, y)]
+            most = []
+            for i in range(batch.num_rows):
+                p, q = left[ends[0][i]:ends[0][i + 1]], right[ends[1][i]:ends[1][i + 1]]
+                upto = min(p.max(), q.max())
+                p, q = p[p <= upto], q[q <= upto]
+                most.append((len(p), len(q), len(np.intersect1d(p, q, assume_unique=True))))
+            inside = np.array(most, np.int64).reshape(-1, 3)
+            na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
+            bound = inside[:, 2] + np.minimum(na - inside[:, 0], nb - inside[:, 1])
+            keep = pa.array(bound * (100 + percent) >= (na + nb) * percent)
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
+    return both.mapInArrow(bounded, "a long, b long")
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
