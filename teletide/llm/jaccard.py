@@ -8,14 +8,14 @@ its transpose counts overlaps. It is taken in blocks of columns, and sizes bound
   the first ``n - ceil(n * percent / 100) + 1``. Rare n-grams come first, so frequent ones hardly take part.
 * Rows of a column are compared with one of them, which links most of a group of near copies in one step;
   the pairs left are those whose rows are still in different components.
-* Pairs whose sizes rule the similarity out are discarded before their overlaps are counted in full.
+* Pairs are discarded as soon as their sizes, or the overlap of their prefixes and the sizes of what is left,
+  rule the similarity out; only then are overlaps counted in full.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -27,8 +27,6 @@ from teletide.session import materialize, materialize_small
 SKETCH, SKETCH_SHARE = 1 << 20, 8
 # Rows of one column that a task compares with the same one.
 CELL_ROWS = 1 << 14
-# Rounds of comparing with one row, and the pairs a row of a column may take part in before another one.
-STAR_ROUNDS, PAIRS_PER_ROW = 4, 8
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LEVEL_BITS = 6
@@ -148,38 +146,24 @@ def _among(df: DataFrame, pairs: DataFrame) -> DataFrame:
     return df.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
 
 
-def _possible(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """The pairs that their prefixes do not rule out.
+def _possible(percent: int) -> Column:
+    """Whether the prefixes ``x`` and ``y`` of sets of ``na`` and ``nb`` n-grams leave a link possible.
 
-    Up to the smaller of their last n-grams both prefixes are complete, so what the sets share there is
-    counted; beyond it they share at most what is left of the smaller rest.
+    The prefix that ends first is counted in full: beyond it the sets share at most the rest of that set.
     """
-    some = _among(rows.select("doc_id", "n", "prefix"), pairs)
-    both = (pairs.join(some.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("prefix").alias("y")), "b")
-            .join(some.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("prefix").alias("x")), "a"))
+    rest = F.when(F.array_max("x") <= F.array_max("y"), F.col("na") - F.size("x")).otherwise(F.col("nb") - F.size("y"))
+    return (F.size(F.array_intersect("x", "y")) + rest) * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
 
-    def bounded(batches):
-        for batch in batches:
-            x, y = batch.column("x"), batch.column("y")
-            left, right = x.flatten().to_numpy(), y.flatten().to_numpy()
-            ends = [np.cumsum(np.concatenate([[0], pc.list_value_length(c).to_numpy()])).tolist() for c in (x, y)]
-            most = []
-            for i in range(batch.num_rows):
-                p, q = left[ends[0][i]:ends[0][i + 1]], right[ends[1][i]:ends[1][i + 1]]
-                upto = min(p.max(), q.max())
-                p, q = p[p <= upto], q[q <= upto]
-                most.append((len(p), len(q), len(np.intersect1d(p, q, assume_unique=True))))
-            inside = np.array(most, np.int64).reshape(-1, 3)
-            na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
-            bound = inside[:, 2] + np.minimum(na - inside[:, 0], nb - inside[:, 1])
-            keep = pa.array(bound * (100 + percent) >= (na + nb) * percent)
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
-    return both.mapInArrow(bounded, "a long, b long")
+
+def _prefixes(rows: DataFrame, name: str, size: str, prefix: str) -> DataFrame:
+    return rows.select(F.col("doc_id").alias(name), F.col("n").alias(size), F.col("prefix").alias(prefix))
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """Those of the pairs (a, b) whose sets reach the similarity, by their exact overlap."""
-    pairs = materialize(_possible(pairs, rows, percent).distinct(), "pairs")
+    some = _among(rows, pairs)
+    pairs = materialize(pairs.join(_prefixes(some, "b", "nb", "y"), "b").join(_prefixes(some, "a", "na", "x"), "a")
+                        .where(_possible(percent)).select("a", "b").distinct(), "pairs")
     sets = materialize(_full_sets(_among(docs, pairs), n), "sets")
     both = (pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("y")), "b")
             .join(sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("x")), "a"))
@@ -197,14 +181,6 @@ def _labelled(shared: DataFrame, links: DataFrame) -> DataFrame:
     return materialize(rows.join(mixed, "g", "left_semi"), "mixed")
 
 
-def _pairs_left(rows: DataFrame) -> tuple[int, int]:
-    """How many rows there are, and how many pairs of them in one column and different components."""
-    parts = rows.groupBy("g", "component").agg(F.count("*").cast("double").alias("k"))
-    lists = parts.groupBy("g").agg(F.sum("k").alias("m"), F.sum(F.col("k") * F.col("k")).alias("same"))
-    got = lists.agg(F.sum("m"), F.sum((F.col("m") * F.col("m") - F.col("same")) / 2)).first()
-    return int(got[0] or 0), int(got[1] or 0)
-
-
 def links(docs: DataFrame, rows: DataFrame, mean: float, n: int, percent: int) -> DataFrame:
     """Edges (a, b) that join the documents of each component, every one a copy or a verified link."""
     equal = (rows.where("n > 0 and doc_id is not null").groupBy("s1", "s2")
@@ -231,30 +207,16 @@ def links(docs: DataFrame, rows: DataFrame, mean: float, n: int, percent: int) -
     tested = _ordered(stars.where(_can_link("lead_n", "n", percent)), "lead", "doc_id")
     found = _verified(tested, rows, docs, n, percent)
     shared = shared.where("held > 2 or cells > 1").select("g", "doc_id", "n")  # of two rows, the one pair is tested
-    for k in range(STAR_ROUNDS):
-        mixed = _labelled(shared, found)
-        held, pairs = _pairs_left(mixed)
-        if not pairs:
-            break
-        last = pairs <= PAIRS_PER_ROW * held or k == STAR_ROUNDS - 1
-        if last:
-            x = mixed.select("g", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-            y = mixed.select("g", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-            left = (x.join(y, "g").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _can_link("na", "nb", percent))
-                    .select("a", "b"))
-        else:
-            other = Window.partitionBy("g").orderBy(F.xxhash64("doc_id", F.lit(k + 1)), "doc_id")
-            led = mixed.select("doc_id", "n", "component", *[F.first(c).over(other).alias(f"lead_{c}")
-                                                             for c in ("doc_id", "n", "component")])
-            left = _ordered(led.where((F.col("component") != F.col("lead_component")) & _can_link("lead_n", "n", percent)),
-                            "lead_doc_id", "doc_id")
-        left = left.distinct().join(tested, ["a", "b"], "left_anti")
-        left = materialize(left, "left")
-        found = materialize(found.union(_verified(left, rows, docs, n, percent)), "links")
-        if last:
-            break
-        tested = materialize(tested.union(left), "tested")
-    return copies.select("a", "b").union(found)
+    mixed = _labelled(shared, found).join(rows.select("doc_id", "prefix").dropDuplicates(["doc_id"]), "doc_id")
+    one = mixed.select("g", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("prefix").alias("x"))
+    two = mixed.select("g", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("prefix").alias("y"))
+    # A pair shares many columns; it is taken in the first of them, and only if a link is possible.
+    left = (one.join(two, "g").where(
+        (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _can_link("na", "nb", percent)
+        & (F.array_min(F.array_intersect("x", "y")) == F.col("g")) & _possible(percent))
+        .select("a", "b").join(tested, ["a", "b"], "left_anti"))
+    more = _verified(materialize(left.distinct(), "left"), rows, docs, n, percent)
+    return copies.select("a", "b").union(found).union(more)
 
 
 def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
