@@ -45,8 +45,11 @@ _NOT_RE2 = [
 
 def regex(text: Column, pattern: str) -> Column:
     """Unanchored RE2-style match."""
-    bare = re.sub(r"\\\\", "", pattern)
+    bare = re.sub(r"\\[^1-9k]", "_", pattern)  # an escaped sign is plain
     for construct, name in _NOT_RE2:
         if re.search(construct, bare):
             raise ValueError(f"{name} is not allowed in a pattern: {pattern!r}")
-    return text.rlike(pattern.replace("(?P<", "(?<"))
+    # Only a newline ends a line, and a final $ is the end of the text, not a place before a newline.
+    end = re.search(r"(?<!\\)(?:\\\\)*\$\Z", pattern) and not re.search(r"\(\?[a-z]*m", pattern)
+    body = pattern[:-1] + r"\z" if end else pattern
+    return text.rlike("(?d)" + body.replace("(?P<", "(?<"))

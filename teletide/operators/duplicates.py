@@ -21,7 +21,7 @@ def survivor(value: str = "value") -> Column:
 
 def last_wins(points: DataFrame, keys: list[str] | None = None, time: str = "point_time") -> DataFrame:
     """One value per (series, instant). A plain aggregate, so repeats vanish before the shuffle."""
-    return points.groupBy(*(keys or SERIES), time).agg(survivor().alias("value"))
+    return points.groupBy(*columns(keys or SERIES), time).agg(survivor().alias("value"))
 
 
 def resolve(points: DataFrame, policy: str, keys: list[str] | None = None,
@@ -32,17 +32,17 @@ def resolve(points: DataFrame, policy: str, keys: list[str] | None = None,
         return last_wins(points, keys, time)
     if policy != ERROR_ON_READ:
         raise ValueError(f"unknown duplicate policy {policy!r}")
-    where = F.concat_ws(" ", *[F.col(k).cast("string") for k in keys])
+    where = F.concat_ws(" ", *[c.cast("string") for c in columns(keys)])
     message = F.concat(F.lit("duplicate points for "), where, F.lit(" at "), F.col(time).cast("string"))
-    return points.groupBy(*keys, time).agg(F.max("value").alias("v"), F.count("*").alias("n")).select(
-        *keys, time, F.when(F.col("n") > 1, F.raise_error(message).cast("double")).otherwise(
+    return points.groupBy(*columns(keys), time).agg(F.max("value").alias("v"), F.count("*").alias("n")).select(
+        *columns(keys), time, F.when(F.col("n") > 1, F.raise_error(message).cast("double")).otherwise(
             F.col("v")).alias("value"))
 
 
 def duplicate_points(points: DataFrame, keys: list[str] | None = None,
                      time: str = "point_time") -> DataFrame:
     """The repeated (series, instant) pairs with their number of points."""
-    return points.groupBy(*(keys or SERIES), time).agg(F.count("*").alias("copies")).where("copies > 1")
+    return points.groupBy(*columns(keys or SERIES), time).agg(F.count("*").alias("copies")).where("copies > 1")
 
 
 def reject_duplicates(points: DataFrame, arrival: list[str], existing: DataFrame | None = None,

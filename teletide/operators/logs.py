@@ -92,20 +92,25 @@ def _slice(logs: DataFrame, q: LogQuery, after: int, limit: int) -> DataFrame:
 def positions(logs: DataFrame, q: LogQuery, name: str = "rn") -> DataFrame:
     """Every matching row with its 1-based position in the order of ``q``.
 
-    Needs one numeric tie-break column; see ``ranking.with_position`` for how the order is split.
+    The order is that of ``order_columns``; see ``ranking.with_position`` for how it is split. A hot
+    instant is cut further along the first tie-break column if that is a number, by its high bits first,
+    so that consecutive and hashed ids both spread.
     """
     sign = -1 if q.backward else 1
-    tie, time = F.col(q.tie_break[0]) * sign, F.col("time") * sign
+    time = F.col("time") * sign
     if _axis(q) == TIME:
-        blocks, key, order = [], time, [time, tie]
+        blocks, key = [], time
     else:
         # Rows without an arrival time form a second block, ordered by event time.
         key = F.coalesce("observed_time", "time") * sign
         blocks = [F.col("observed_time").isNull()]
-        order = [*blocks, key, time, tie]
     digits = [*blocks, times.floor_div(key, NS_PER_MINUTE), times.floor_div(key, NS_PER_SECOND // 100)]
-    fine = [key, time, times.floor_div(tie, 1 << 16)]
-    return with_position(filter_logs(logs, q), order, digits, name=name, fine=fine)
+    rows = filter_logs(logs, q)
+    fine = [key, time]
+    if q.tie_break and rows.schema[q.tie_break[0]].dataType.typeName() in ("long", "integer"):
+        tie = F.col(q.tie_break[0]).cast("bigint")
+        fine += [times.floor_div(tie, 1 << bits) * sign for bits in (48, 32, 16)]
+    return with_position(rows, order_columns(q), digits, name=name, fine=fine, nulls_last=True)
 
 
 def count_logs(logs: DataFrame, q: LogQuery) -> DataFrame:
@@ -152,18 +157,22 @@ def log_page(logs: DataFrame, q: LogQuery, after: int = 0) -> LogPage:
 
 
 def log_page_after(logs: DataFrame, q: LogQuery, last: dict[str, int]) -> DataFrame:
-    """The page that follows the row with the given ``time`` and tie-break values.
+    """The page that follows the row with the given axis, ``time`` and tie-break values.
 
-    Unlike an offset this costs the same however deep the page is: the bound on ``time`` reaches the
+    Unlike an offset this costs the same however deep the page is: the bound on the axis reaches the
     scan and every partition keeps at most ``q.limit`` rows.
     """
-    if _axis(q) != TIME:
-        raise ValueError("keyset paging runs along event time")
+    axis = _axis(q)
     beyond = (lambda c, v: F.col(c) < v) if q.backward else (lambda c, v: F.col(c) > v)
-    keys = [TIME, *q.tie_break]
+    keys = list(dict.fromkeys([axis, TIME, *q.tie_break]))
     after = F.lit(False)
     for i, key in enumerate(keys):
-        same = predicates.all_of([F.col(k) == last[k] for k in keys[:i]])
-        after = after | (same & beyond(key, last[key]))
-    reachable = F.col(TIME) <= last[TIME] if q.backward else F.col(TIME) >= last[TIME]
-    return query_logs(logs.where(reachable & after), q)
+        same = predicates.all_of([F.col(k).eqNullSafe(F.lit(last[k])) for k in keys[:i]])
+        # A missing value is the last of its column either way.
+        step = F.lit(False) if last[key] is None else beyond(key, last[key]) | F.col(key).isNull()
+        after = after | (same & step)
+    after = F.coalesce(after, F.lit(False))
+    if last[axis] is None:
+        return query_logs(logs.where(F.col(axis).isNull() & after), q)
+    reachable = F.col(axis) <= last[axis] if q.backward else F.col(axis) >= last[axis]
+    return query_logs(logs.where((reachable | F.col(axis).isNull()) & after), q)

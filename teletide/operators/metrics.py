@@ -48,7 +48,8 @@ def metric_points(points: DataFrame, q: PointsQuery) -> DataFrame:
     rows = times.in_range(points, "point_time", q.start, q.end).where(F.col("metric") == q.metric)
     rows = rows.where(predicates.all_of([attr(points, k) == v for k, v in q.filters.items()]))
     rows = rows.select(*POINT_COLUMNS, *VALUE_COLUMNS[q.kind])
-    return rows.orderBy("point_time").limit(q.limit) if q.limit > 0 else rows
+    rest = [c for c in rows.columns if c != "point_time"]
+    return rows.orderBy("point_time", *rest).limit(q.limit) if q.limit > 0 else rows
 
 
 def metric_range(points: DataFrame, q: MetricQuery) -> DataFrame:

@@ -64,7 +64,7 @@ def exact_quantiles(
     quantiles: dict[str, float],
     extra: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Interpolated quantiles of an integer column, one output row per group with any value.
+    """Interpolated quantiles of an integer column, one output row per group.
 
     ``quantiles`` names the output columns; ``extra`` holds further aggregates that can be added up
     (they are computed per bin and summed). Built-in ``percentile`` gathers every distinct value of a
@@ -72,7 +72,7 @@ def exact_quantiles(
     bins that hold a wanted rank (this pass runs at once, to learn how many they are); the second pass
     looks at the rows of these bins alone, in fine bins of fixed width and finally value by value. Each
     window therefore sees at most the bins of a group, the fine bins of a bin, or the values of a fine
-    bin. Group columns must not be NULL.
+    bin. A group without any value has its counts and NULL quantiles. Group columns must not be NULL.
     """
     extra = {"count": F.count("*"), **(extra or {})}
     binned = df.withColumn("_bin", _coarse_bin(F.col(value)))
@@ -89,10 +89,11 @@ def exact_quantiles(
                       for r in _ranks(q, F.col("_total"))])
     coarse = coarse.withColumn("_ranks", F.filter(
         F.array_distinct(ranks), lambda r: (r >= F.col("_base")) & (r < F.col("_base") + F.col("_n"))))
-    wanted = coarse.where(F.size("_ranks") > 0).select(*group, "_bin", "_base", "_total", *extra)
+    # A group without values is one bin, the NULL one; it is kept for its counts.
+    wanted = coarse.where((F.size("_ranks") > 0) | (F.col("_total") == 0)).select(*group, "_bin", "_base", "_total", *extra)
     # A few bins per group. When they fit, the second pass filters in the scan's own tasks.
-    wanted, fits = materialize_small(wanted, "quantile-bins")
-    wanted = F.broadcast(wanted) if fits else wanted
+    stored, fits = materialize_small(wanted, "quantile-bins")
+    wanted = F.broadcast(stored) if fits else stored
 
     # Second pass: only rows of the wanted bins, counted per value.
     values = binned.select(*group, "_bin", F.col(value).alias("_v")).join(
@@ -124,6 +125,9 @@ def exact_quantiles(
         at_rank = (F.col("_total") - 1) * F.lit(float(q))
         return low.cast("double") + (high - low) * (at_rank - F.floor(at_rank))
 
-    return picked.select(
+    found = picked.select(
         *group, *extra,
         *[interpolated(i, q).alias(name) for i, (name, q) in enumerate(quantiles.items())])
+    without = stored.where(F.col("_total") == 0).select(
+        *group, *extra, *[F.lit(None).cast("double").alias(name) for name in quantiles])
+    return found.unionByName(without)

@@ -19,7 +19,7 @@ from math import gcd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from teletide.functions import times
-from teletide.functions.attrs import labels_json, series_key
+from teletide.functions.attrs import json_text, labels_json, series_key
 from teletide.model import LOG_COLUMNS, NS_PER_MINUTE, NS_PER_SECOND
 from teletide.operators import duplicates
 from teletide.operators.logs import LogQuery, filter_logs, query_logs
@@ -230,7 +230,7 @@ def aggregate_by(series: DataFrame, by: list[str], how: str = "sum") -> DataFram
     """Combine the series of a grid result that agree on the labels ``by``."""
     combine = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max,
                "count": lambda c: F.count(c).cast("double")}[how]
-    groups = [F.coalesce(F.get_json_object("labels", f"$['{k}']"), F.lit("")).alias(f"g{i}")
+    groups = [F.coalesce(json_text(F.col("labels"), k), F.lit("")).alias(f"g{i}")
               for i, k in enumerate(by)]
     return series.groupBy("ts", *groups).agg(combine("value").alias("value")).select(
         labels_json(by).alias("labels"), "ts", "value")

@@ -18,6 +18,7 @@ def with_position(
     group: list[str] | tuple[str, ...] = (),
     name: str = "rn",
     fine: list[Column] | None = None,
+    nulls_last: bool = False,
 ) -> DataFrame:
     """Add the 1-based position of each row within its group under ``order``.
 
@@ -28,23 +29,27 @@ def with_position(
 
     ``fine`` continues the digits, down to parts of the tie-break, for cells that turn out to hold more
     than ``HOT_CELL`` rows, such as one instant shared by a large share of all rows; the counts are
-    then taken at once. With a group and no digits the cells are the groups themselves, and as long as
+    then taken at once, one digit after another for as long as a cell is hot. With a group and no digits the cells are the groups themselves, and as long as
     none is hot a plain window does. Without a group the coarsest digit is summed up in one task, so it
-    must take few values (the minutes of a retention period). Group and digit columns must not be NULL.
+    must take few values (the minutes of a retention period). NULL digits
+    come first as in an ascending order, or last with ``nulls_last``; group columns must not be NULL.
     """
+    digits = [c for d in digits for c in _null_safe(d, nulls_last)]
     keys = [*group, *[f"_d{i}" for i in range(len(digits))]]
     rows = df.withColumns(dict(zip(keys[len(group):], digits)))
     cells = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
     if fine:
         if digits:
             cells = materialize(cells, "cells")
-        hot, fits = materialize_small(cells.where(F.col("_n") > HOT_CELL).select(*keys), "hot-cells")
-        if not hot.isEmpty():
+        for i, digit in enumerate(fine):
+            hot, fits = materialize_small(cells.where(F.col("_n") > HOT_CELL).select(*keys), "hot-cells")
+            if hot.isEmpty():
+                break
             hot = hot.withColumn("_hot", F.lit(True))
             rows = rows.join(F.broadcast(hot) if fits else hot, keys, "left")
-            finer = [f"_f{i}" for i in range(len(fine))]
-            rows = rows.withColumns(
-                {f: F.when(F.col("_hot"), d).otherwise(0) for f, d in zip(finer, fine)})
+            finer = [f"_f{i}", f"_g{i}"]
+            rows = rows.withColumns({f: F.when(F.col("_hot"), d).otherwise(0) for f, d in zip(
+                finer, _null_safe(digit, nulls_last))}).drop("_hot")
             keys = [*keys, *finer]
             cells = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
 
@@ -57,6 +62,12 @@ def with_position(
     return placed.select(*columns(df.columns), name)
 
 
+def _null_safe(digit: Column, nulls_last: bool) -> list[Column]:
+    """A digit that may be NULL as two that are not: the side its NULLs are on, and its value."""
+    side = digit.isNull() if nulls_last else digit.isNotNull()
+    return [side.cast("bigint"), F.coalesce(digit.cast("bigint"), F.lit(0))]
+
+
 def _offsets(cells: DataFrame, keys: list[str], groups: int) -> DataFrame:
     """Rows of the group that lie before each cell: those before it inside its parent cell, plus the
     parent's own offset."""

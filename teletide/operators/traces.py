@@ -118,6 +118,7 @@ def search_traces(spans: DataFrame, q: TraceQuery) -> DataFrame:
     spans are summarised; if not, the predicate is aggregated along with the summary of all traces,
     which moves one partial row per trace and task and needs no join.
     """
+    spans = spans.where(F.col("trace_id").isNotNull())  # a span without one is in no trace
     ids, few = _traces_of(filter_spans(spans, q))
     if few:
         rows = spans.join(F.broadcast(ids), "trace_id", "left_semi").withColumn("_hit", F.lit(True))
@@ -141,6 +142,7 @@ def search_traces(spans: DataFrame, q: TraceQuery) -> DataFrame:
 
 def spanset_match(spans: DataFrame, q: TraceQuery, start: int = 0, end: int = 0) -> DataFrame:
     """Spans selected by ``q`` in traces that begin in [start, end): ``trace_id``, ``span_id``."""
+    spans = spans.where(F.col("trace_id").isNotNull())
     selected = filter_spans(spans, q)
     if not start and not end:
         return selected.select("trace_id", "span_id", "start_time")
@@ -153,19 +155,20 @@ def spanset_match(spans: DataFrame, q: TraceQuery, start: int = 0, end: int = 0)
 
 
 def _instants() -> list[Column]:
-    """How the spans of a hot group are cut up along their start."""
-    return [times.floor_div(F.col("start_time"), NS_PER_SECOND), F.col("start_time")]
+    """How the spans of a hot group are cut up along their start and, within an instant, their id."""
+    letters = [F.ascii(F.substring("span_id", i, 1)) for i in (1, 2, 3, 4)]
+    return [times.floor_div(F.col("start_time"), NS_PER_SECOND), F.col("start_time"), *letters]
 
 
-def spanset_lists(matches: DataFrame) -> DataFrame:
-    """One row per trace with its selected span ids, by start.
+def spanset_lists(matches: DataFrame, per_list: int = SPANS_PER_LIST) -> DataFrame:
+    """The selected span ids of each trace, by start, in lists of ``per_list`` numbered by ``part``.
 
-    A trace with more than ``SPANS_PER_LIST`` selected spans takes several rows numbered by ``part``.
+    A trace of fewer takes one row. The bound keeps the spans of a huge trace out of one buffer.
     """
     matches = materialize(matches.select("trace_id", "span_id", "start_time"), "matches")
     ranked = with_position(
         matches, [F.col("start_time"), F.col("span_id")], [], group=["trace_id"], fine=_instants())
-    part = times.floor_div(F.col("rn") - 1, SPANS_PER_LIST).alias("part")
+    part = times.floor_div(F.col("rn") - 1, per_list).alias("part")
     entry = F.array_sort(F.collect_list(F.struct("rn", "span_id")))
     return ranked.groupBy("trace_id", part).agg(entry.alias("e")).select(
         "trace_id", "part", F.col("e.span_id").alias("span_ids"))
@@ -197,8 +200,10 @@ def trace_forest(spans: DataFrame, max_rounds: int = 64) -> DataFrame:
     A span without a parent, or whose parent is missing, is a root. Spans on or below a cycle have no
     root: they keep NULL depth and ``in_cycle``. Depths come from pointer doubling: each round every
     unresolved span jumps as far as its current ancestor has already jumped, so ``k`` rounds resolve
-    depth ``2^k`` and only unresolved spans take part. Each round is written out before the next.
+    depth ``2^k``. Each round is written out before the next. Spans without a trace or span id are in no
+    tree and left out.
     """
+    spans = spans.where(F.col("trace_id").isNotNull() & F.col("span_id").isNotNull())
     kept = ["trace_id", "span_id", "parent_span_id", "start_time", "name", "service"]
     nodes = materialize(unique_spans(spans.select(*kept, "duration_ns", "status_code")).select(*kept),
                         "forest-nodes")

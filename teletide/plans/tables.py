@@ -280,7 +280,7 @@ query("fn_canonical_json", """
         || ',"z":' || user_id || '}' AS labels FROM events""")(
     lambda spark, root: warehouse.table(spark, root, "events").select("event_id", canonical_json(F.concat(
         F.lit('{"z": '), F.col("user_id").cast("string"), F.lit(', "a": "'), F.col("event_type"),
-        F.lit('", '), F.substring("props", 2, 1000))).alias("labels")))
+        F.lit('", '), F.expr("substring(props, 2)"))).alias("labels")))
 query("fn_bucket", f"SELECT record_id, time - time % {NS_PER_HOUR} AS bucket FROM logs")(
     _sql(f"SELECT record_id, time_bucket(time, {NS_PER_HOUR}) AS bucket FROM logs", "logs"))
 

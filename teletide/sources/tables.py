@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from teletide.functions import times
-from teletide.functions.attrs import SERVICE_KEYS, json_text, promoted_keys, series_key
+from teletide.functions.attrs import SERVICE_KEYS, columns, json_text, promoted_keys, series_key
 from teletide.model import METRIC_TABLES, RESERVED, SCHEMAS, time_column
 
 CODECS = ("none", "lz4", "zstd", "snappy")
@@ -25,8 +25,12 @@ def table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def promote(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Add a column per attribute key. Reserved names and the service spellings are left out."""
-    kept = [k for k in keys if k not in RESERVED and k not in SERVICE_KEYS]
+    """Add a column per attribute key. Names of the model's columns and the service spellings are left
+    out; as column names ignore case, so does this, and two keys that differ in case only are an error."""
+    taken = {c.lower() for c in [*RESERVED, *SERVICE_KEYS, *df.columns]}
+    kept = [k for k in dict.fromkeys(keys) if k.lower() not in taken]
+    if len({k.lower() for k in kept}) < len(kept):
+        raise ValueError("promoted keys differ in case only")
     return df.withColumns({k: json_text(F.col("attributes"), k) for k in kept})
 
 
@@ -51,7 +55,8 @@ def write_table(df: DataFrame, name: str, path: str, codec: str = "zstd", level:
         rows = rows.withColumn(
             "series", series_key(F.col("service"), F.col("metric"), F.col("attributes")))
     time = time_column(name)
-    ranges = [files, "day", time] if files else ["day", time]
+    tie = F.xxhash64(*columns(rows.columns))  # spreads the rows of one instant
+    ranges = [files, "day", time, tie] if files else ["day", time, tie]
     writer = rows.repartitionByRange(*ranges).sortWithinPartitions("day", time).write
     if codec == "zstd" and level is not None:
         writer = writer.option("parquet.compression.codec.zstd.level", str(level))
@@ -78,7 +83,7 @@ def read_table(spark: SparkSession, name: str, path: str,
 def export_range(df: DataFrame, name: str, start: int = 0, end: int = 0) -> DataFrame:
     """Rows of a table in [start, end) by time; 0, 0 takes everything."""
     time = time_column(name)
-    return times.in_range(df, time, start, end).orderBy(time)
+    return times.in_range(df, time, start, end).orderBy(time, F.xxhash64(*columns(df.columns)))
 
 
 def write_export(rows: DataFrame, path: str, fmt: str = "parquet") -> None:

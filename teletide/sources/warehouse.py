@@ -179,7 +179,7 @@ def metrics_sum(spark: SparkSession, root: str) -> DataFrame:
     service = _shard("svc-", c("user_id"), 5)
     upto = Window.partitionBy(service, attributes, day).orderBy(time, "event_id").rowsBetween(
         Window.unboundedPreceding, 0)
-    events = table(spark, root, "events").where(c("event_id") % 50 != 0)
+    events = table(spark, root, "events")
     return _model(
         events, "metrics_sum",
         point_time=time,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -103,11 +103,16 @@ class Telemetry:
     def metric_points(self, q: metrics.PointsQuery) -> DataFrame:
         return metrics.metric_points(self._kind(q.kind), q)
 
+    def _with_policy(self, q: metrics.MetricQuery) -> metrics.MetricQuery:
+        """The store's policy where it resolves repeats on reading; others leave the query as it is."""
+        last = self.duplicates == duplicates.LAST_WINS
+        return replace(q, duplicates=duplicates.LAST_WINS) if last else q
+
     def metric_range(self, q: metrics.MetricQuery) -> DataFrame:
-        return metrics.metric_range(self._kind("sum" if q.sum else "gauge"), q)
+        return metrics.metric_range(self._kind("sum" if q.sum else "gauge"), self._with_policy(q))
 
     def metric_instant(self, q: metrics.MetricQuery) -> DataFrame:
-        return metrics.metric_instant(self._kind("sum" if q.sum else "gauge"), q)
+        return metrics.metric_instant(self._kind("sum" if q.sum else "gauge"), self._with_policy(q))
 
     def instant_selector(self, metric: str, grid: rangeeval.Grid) -> DataFrame:
         return rangeeval.instant_selector(self._scalars(), metric, grid, policy=self.duplicates)

@@ -19,7 +19,7 @@ def reject_stream(points: DataFrame, columns: list[str], arrival: list[str],
     """The first point of each (series, instant); later repeats are dropped.
 
     There is no event-time watermark, so late or out-of-order points always pass. The guard remembers
-    the latest ``recent`` accepted instants of a series. It is split by a hash of the instant, so that
+    the latest ``recent / shards`` accepted instants of each shard of a series. It is split by a hash of the instant, so that
     the points of one busy series are checked by up to ``shards`` tasks; equal instants share a shard.
     Keep ``shards`` for the life of a checkpoint.
     ``columns`` are the columns to keep; within a micro-batch the smallest ``arrival`` comes first.
