@@ -2,48 +2,79 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from teletide.functions import times
+from teletide.functions.attrs import columns
 from teletide.model import NS_PER_DAY, time_column
-from teletide.sources.tables import read_table
+from teletide.sources import files
 
 TARGET_FILE_BYTES = 512 << 20
 _DAY_IN_PATH = r"day=(\d{4}-\d{2}-\d{2})"
 
 
 def data_files(spark: SparkSession, path: str) -> DataFrame:
-    """Path, size and day of every data file of a table folder; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+    """Path, size and day of every data file of a table folder; contents are not read. The day is NULL
+    for rows without a time."""
+    stored = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
         "pathGlobFilter", "*.parquet").load(path)
-    return files.select(
+    return stored.select(
         "path", F.col("length").alias("bytes"),
-        F.regexp_extract("path", _DAY_IN_PATH, 1).cast("date").alias("day"))
+        F.regexp_extract("path", _DAY_IN_PATH, 1).try_cast("date").alias("day"))
 
 
 def compact(spark: SparkSession, name: str, path: str, codec: str = "zstd",
             target_bytes: int = TARGET_FILE_BYTES, min_files: int = 2) -> dict[str, int]:
-    """Merge the files of every day that has ``min_files`` or more.
+    """Merge the files below half of ``target_bytes`` of every day that has ``min_files`` or more of them
+    and would have fewer afterwards; a settled day is left alone.
 
     Files written under different promoted keys are united by column name; nothing is back-filled.
-    The rows are ranged by (day, time) into as many tasks as the bytes call for, so a huge day takes
-    many tasks. Dynamic partition overwrite replaces only the days written, once all tasks are done.
+    A day that fits one file is written by one task, a larger one is ranged by time and a row hash over as
+    many tasks as its bytes call for. The new files are finished in a staging folder, the list of merged
+    files is stored beside it, and only then are the new files moved in and exactly the listed ones deleted;
+    files that another writer adds meanwhile stay. What a broken-off run left is finished first, so run one
+    compaction of a table at a time. A reader may see rows twice between the move and the deletion, never too few.
     """
-    per_day = data_files(spark, path).groupBy("day").agg(
-        F.count("*").alias("files"), F.sum("bytes").alias("bytes")).where(F.col("files") >= min_files)
-    days = per_day.collect()  # one row per day partition
-    if not days:
+    for left in files.children(spark, f"{path}/_compaction"):
+        _swap(spark, left, path)
+    small = data_files(spark, path).where(F.col("bytes") * 2 < target_bytes)
+    of_day = Window.partitionBy("day")  # a row per small file
+    chosen = small.select("path", "day", F.count("*").over(of_day).alias("files"), F.ceil(
+        F.sum("bytes").over(of_day) / target_bytes).alias("outputs")).where(
+        (F.col("files") >= max(min_files, 2)) & (F.col("outputs") < F.col("files")))
+    merged = chosen.collect()  # Spark lists the files of a scan on the driver in any case
+    if not merged:
         return {"files_merged": 0, "files_created": 0}
-    tasks = sum(-(-r["bytes"] // target_bytes) for r in days)
-    rows = read_table(spark, name, path).where(F.col("day").isin([r["day"] for r in days]))
-    time = time_column(name)
-    rows.repartitionByRange(max(tasks, 1), "day", time).sortWithinPartitions("day", time).write.mode(
-        "overwrite").option("partitionOverwriteMode", "dynamic").option(
-        "compression", codec).partitionBy("day").parquet(path)
-    left = data_files(spark, path).where(F.col("day").isin([r["day"] for r in days])).count()
-    return {"files_merged": sum(r["files"] for r in days), "files_created": left}
+    work = f"{path}/_compaction/{uuid.uuid4().hex}"
+    time, parts = time_column(name), []
+    single = [r for r in merged if r["outputs"] == 1]
+    for part, rows in (("single", single), ("ranged", [r for r in merged if r["outputs"] > 1])):
+        if not rows:
+            continue
+        df = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(*[r["path"] for r in rows])
+        tasks = sum({r["day"]: r["outputs"] for r in rows}.values())
+        df = df.repartition(tasks, "day") if rows is single else df.repartitionByRange(
+            tasks, "day", time, F.xxhash64(*columns(df.columns)))
+        df.sortWithinPartitions("day", time).write.option("compression", codec).partitionBy("day").parquet(f"{work}/{part}")
+        parts.append(part)
+    # The stored list is the point from which on a repeated run finishes the work instead of dropping it.
+    spark.createDataFrame([(r["path"],) for r in merged], "path string").write.parquet(f"{work}/merged")
+    return {"files_merged": len(merged), "files_created": _swap(spark, work, path)}
+
+
+def _swap(spark: SparkSession, work: str, path: str) -> int:
+    """Move the files of a compaction in and delete those it merged; one without its list is dropped."""
+    created = 0
+    if files.finished(spark, f"{work}/merged"):
+        for part in ("single", "ranged"):
+            created += files.publish(spark, f"{work}/{part}", path)
+        for row in spark.read.parquet(f"{work}/merged").collect():
+            files.delete(spark, row["path"])
+    files.delete(spark, work)
+    return created
 
 
 def retain_days(df: DataFrame, name: str, days: int, now: int) -> DataFrame:
@@ -51,9 +82,10 @@ def retain_days(df: DataFrame, name: str, days: int, now: int) -> DataFrame:
     return times.in_range(df, time_column(name), now - days * NS_PER_DAY)
 
 
-def days_to_drop_by_bytes(files: DataFrame, max_bytes: int) -> DataFrame:
-    """Days that exceed a byte budget when days are kept newest first: ``day``, ``bytes``."""
-    per_day = files.groupBy("day").agg(F.sum("bytes").alias("bytes"))
+def days_to_drop_by_bytes(stored: DataFrame, max_bytes: int) -> DataFrame:
+    """Days that exceed a byte budget when days are kept newest first: ``day``, ``bytes``. Rows without
+    a day stay."""
+    per_day = stored.where("day is not null").groupBy("day").agg(F.sum("bytes").alias("bytes"))
     newest_first = Window.orderBy(F.desc("day")).rowsBetween(Window.unboundedPreceding, 0)
     running = per_day.withColumn("kept", F.sum("bytes").over(newest_first))  # a row per day
     return running.where(F.col("kept") > max_bytes).select("day", "bytes")

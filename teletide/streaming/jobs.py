@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from teletide.functions import times
-from teletide.operators.logs import OBSERVED_TIME, LogQuery, query_logs
-from teletide.sources import otlp
-from teletide.sources.tables import with_day
+from teletide.operators.logs import OBSERVED_TIME, LogQuery, filter_logs, query_logs
+from teletide.sources import files, otlp
+from teletide.sources.tables import write_table
 
 
 def start(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
           partition_by: list[str] | None = None) -> StreamingQuery:
-    """Write a stream to a Parquet folder, each row exactly once.
+    """Write a stream to a Parquet folder of its own, each row exactly once. For tables that others
+    write to or maintain, use ``into_table``.
 
     The default trigger drains what is there and stops; pass e.g. ``{"processingTime": "10 seconds"}``
     to keep running.
@@ -30,11 +33,31 @@ def start(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 
 def tail_poll(logs: DataFrame, watermark: int, limit: int = 0, **filters) -> DataFrame:
     """Rows that arrived after ``watermark``, in arrival order. Feed back the largest arrival seen;
-    start with 0. Rows without an arrival time are left out of the very first poll too."""
+    start with 0. Rows without an arrival time are left out of the very first poll too. With a
+    ``limit``, rows of one arrival instant may be parted: go on with ``tail_after`` instead."""
     return query_logs(tail_stream(logs), LogQuery(
         observed_after=watermark, order_by=OBSERVED_TIME, limit=limit, **filters))
 
 
+def tail_after(logs: DataFrame, cursor: tuple[int, int | None, int | None] | None, limit: int = 0,
+               **filters) -> DataFrame:
+    """The next rows by (arrival, time, record_id) after the row that ``cursor`` names by these three
+    values; None starts. Feed back those of the last row; ties of one instant go on in the next poll.
+    As in ``query_logs`` a missing time or id comes after all others of its instant."""
+    arrival, order = F.col("observed_time"), ["time", "record_id"]
+    rows = tail_stream(logs)
+    if cursor is not None:
+        later = F.lit(False)
+        for column, value in reversed([*zip(order, cursor[1:], strict=True)]):
+            c = F.col(column)
+            beyond = F.lit(False) if value is None else c.isNull() | (c > value)
+            later = beyond | (c.eqNullSafe(F.lit(value)) & later)
+        rows = rows.where((arrival > cursor[0]) | ((arrival == cursor[0]) & later))
+    rows = filter_logs(rows, LogQuery(**filters)).orderBy(
+        arrival, *[F.col(c).asc_nulls_last() for c in order])
+    return rows.limit(limit) if limit else rows
+
+
 def tail_stream(logs: DataFrame) -> DataFrame:
     """The streaming tail: the source delivers each row once, whatever its event time; rows without
     an arrival time are skipped as in the polling form."""
@@ -83,21 +106,47 @@ def ingest_stream(spark: SparkSession, signal: str, inbox: str, files_per_trigge
         "maxFilesPerTrigger", files_per_trigger).json(inbox)
 
 
+def append_batch(batch: DataFrame, name: str, table: str, staging: str, done: str) -> None:
+    """Append one micro-batch to a table folder, once however often it is tried.
+
+    The rows are written to ``staging`` as ``write_table`` writes them, the finished files are moved into
+    the table, and the file ``done`` records the end. A repeated attempt goes on where the last one stopped.
+    """
+    spark = batch.sparkSession
+    if files.exists(spark, done):
+        return
+    if not files.finished(spark, staging):
+        write_table(batch, name, staging, mode="overwrite")
+    files.publish(spark, staging, table)
+    files.mark(spark, done)
+    files.delete(spark, staging)
+
+
+def into_table(rows: DataFrame, name: str, table: str, checkpoint: str,
+               trigger: dict | None = None) -> StreamingQuery:
+    """Append a stream of rows to a table folder that batch writers, compaction and retention may share."""
+    key = hashlib.sha1(checkpoint.encode()).hexdigest()
+
+    def append(batch: DataFrame, number: int) -> None:
+        append_batch(batch, name, table, f"{table}/_staging/{key}-{number}", f"{checkpoint}/appended/{number}")
+    return rows.writeStream.option("checkpointLocation", checkpoint).trigger(
+        **(trigger or {"availableNow": True})).foreachBatch(append).start()
+
+
 def ingest_logs(spark: SparkSession, inbox: str, table: str, checkpoint: str,
                 trigger: dict | None = None, files_per_trigger: int = 1000) -> StreamingQuery:
     """Flatten arriving logs requests into the day partitions of a table folder."""
-    rows = with_day(otlp.logs(ingest_stream(spark, "logs", inbox, files_per_trigger)), "logs")
-    return start(rows, table, checkpoint, trigger, partition_by=["day"])
+    rows = otlp.logs(ingest_stream(spark, "logs", inbox, files_per_trigger))
+    return into_table(rows, "logs", table, checkpoint, trigger)
 
 
 def ingest_spans(spark: SparkSession, inbox: str, table: str, checkpoint: str,
                  trigger: dict | None = None, files_per_trigger: int = 1000) -> StreamingQuery:
-    rows = with_day(otlp.spans(ingest_stream(spark, "traces", inbox, files_per_trigger)), "spans")
-    return start(rows, table, checkpoint, trigger, partition_by=["day"])
+    rows = otlp.spans(ingest_stream(spark, "traces", inbox, files_per_trigger))
+    return into_table(rows, "spans", table, checkpoint, trigger)
 
 
 def ingest_metrics(spark: SparkSession, name: str, inbox: str, table: str, checkpoint: str,
                    trigger: dict | None = None, files_per_trigger: int = 1000) -> StreamingQuery:
-    rows = with_day(
-        otlp.metrics(ingest_stream(spark, "metrics", inbox, files_per_trigger), name), name)
-    return start(rows, table, checkpoint, trigger, partition_by=["day"])
+    rows = otlp.metrics(ingest_stream(spark, "metrics", inbox, files_per_trigger), name)
+    return into_table(rows, name, table, checkpoint, trigger)

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from conftest import BASE, SECOND
 from teletide.model import SCHEMAS
+from teletide.operators import maintenance
 from teletide.sources import requests, tables
 from teletide.streaming import guard, jobs
 
@@ -98,3 +99,36 @@ def test_ingest_of_spans_and_metrics(spark, spans, gauge, tmp_path):
     jobs.ingest_metrics(spark, "metrics_gauge", str(tmp_path / "m"), str(tmp_path / "g"),
                         str(tmp_path / "c2")).awaitTermination()
     assert tables.read_table(spark, "metrics_gauge", str(tmp_path / "g")).first()["value"] == 1.5
+
+
+def test_streamed_batch_and_compacted_rows_share_a_table(spark, logs, tmp_path):
+    inbox, table, check = (str(tmp_path / p) for p in ("in", "table", "check"))
+    for k in range(2):
+        requests.from_logs(logs([{"body": f"s{k}"}, {"body": f"t{k}"}])).write.mode("append").text(inbox)
+        jobs.ingest_logs(spark, inbox, table, check, files_per_trigger=1).awaitTermination()
+        tables.write_table(logs([{"body": f"b{k}"}]), "logs", table)
+    maintenance.compact(spark, "logs", table)
+    rows = sorted(r["body"] for r in tables.read_table(spark, "logs", table).collect())
+    assert rows == ["b0", "b1", "s0", "s1", "t0", "t1"]
+
+
+def test_a_repeated_batch_is_appended_once(spark, logs, tmp_path, monkeypatch):
+    table, staging, done = (str(tmp_path / p) for p in ("table", "table/_staging/0", "check/appended/0"))
+    batch = logs([{"body": "a"}, {"body": "b"}])
+    with monkeypatch.context() as broken:  # lost after the files were moved, before that was recorded
+        broken.setattr(jobs.files, "mark", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            jobs.append_batch(batch, "logs", table, staging, done)
+    for _ in range(2):
+        jobs.append_batch(batch, "logs", table, staging, done)
+    assert tables.read_table(spark, "logs", table).count() == 2
+
+
+def test_tail_pages_deliver_ties_once(logs):
+    rows = logs([{"body": f"{i}", "observed_time": 5 + i // 4, "time": None if i == 2 else 1, "record_id": i}
+                 for i in range(7)] + [{"body": "never", "observed_time": None}])
+    seen, cursor = [], None
+    while page := jobs.tail_after(rows, cursor, limit=2).collect():
+        seen += [r["body"] for r in page]
+        cursor = tuple(page[-1][c] for c in ("observed_time", "time", "record_id"))
+    assert seen == ["0", "1", "3", "2", "4", "5", "6"]

@@ -45,12 +45,13 @@ def test_compaction_across_a_change_of_promoted_keys(spark, logs, tmp_path, firs
 
 def test_compaction_spreads_a_big_day_and_leaves_other_days_alone(spark, logs, tmp_path):
     path = str(tmp_path / "logs")
-    for k in range(3):
-        run(logs, spark, path, [], BASE + k * 10**6, [f"{k}-{i}" for i in range(200)], "{}")
+    for k in range(6):
+        run(logs, spark, path, [], BASE + k * 10**6, [f"{k}-{i}" for i in range(100)], "{}")
     run(logs, spark, path, [], BASE + 3 * NS_PER_DAY, ["lonely"], "{}")
     untouched = {r["path"] for r in Mt.data_files(spark, path).where("day > '2023-11-15'").collect()}
-    report = Mt.compact(spark, "logs", path, target_bytes=4000)
-    assert report["files_created"] > 1
+    big = Mt.data_files(spark, path).where("day <= '2023-11-15'").agg(F.sum("bytes")).first()[0]
+    report = Mt.compact(spark, "logs", path, target_bytes=big * 2 // 5)
+    assert report["files_merged"] == 6 and 1 < report["files_created"] < 6
     files = Mt.data_files(spark, path)
     assert {r["path"] for r in files.where("day > '2023-11-15'").collect()} == untouched
     assert tables.read_table(spark, "logs", path).count() == 601
@@ -142,3 +143,24 @@ def test_series_column_is_written_for_metrics(spark, gauge, tmp_path):
     path = str(tmp_path / "g")
     tables.write_table(gauge([{"metric": "a.b", "value": 1.0}]), "metrics_gauge", path, with_series=True)
     assert tables.read_table(spark, "metrics_gauge", path).first()["series"] == '{"__name__":"a_b","service":"web"}'
+
+
+def test_compaction_settles_keeps_undated_rows_and_finishes_a_broken_run(spark, logs, tmp_path, monkeypatch):
+    path = str(tmp_path / "logs")
+    for k in range(3):
+        tables.write_table(logs([{"body": f"{k}", "time": BASE}, {"body": f"late-{k}", "time": BASE + NS_PER_DAY},
+                                 {"body": f"undated-{k}", "time": None}]), "logs", path)
+    bodies = lambda: sorted(r["body"] for r in tables.read_table(spark, "logs", path).collect())
+    before = bodies()
+    with monkeypatch.context() as broken:
+        broken.setattr(Mt, "_swap", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            Mt.compact(spark, "logs", path)
+    assert bodies() == before
+    tables.write_table(logs([{"body": "meanwhile", "time": BASE}]), "logs", path)
+    Mt.compact(spark, "logs", path)
+    assert bodies() == sorted([*before, "meanwhile"])
+    assert Mt.compact(spark, "logs", path) == {"files_merged": 0, "files_created": 0}
+    assert Mt.data_files(spark, path).count() == 3
+    Mt.enforce_retention(spark, path, BASE + 40 * NS_PER_DAY, days=1, max_bytes=1)
+    assert bodies() == ["undated-0", "undated-1", "undated-2"]
