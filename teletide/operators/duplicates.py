@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from teletide.functions.attrs import columns
+from teletide.functions import times
+from teletide.functions.attrs import columns, series_key
 
 ERROR_ON_READ = "error_on_read"
 LAST_WINS = "last_wins"
@@ -45,24 +46,41 @@ def duplicate_points(points: DataFrame, keys: list[str] | None = None,
     return points.groupBy(*columns(keys or SERIES), time).agg(F.count("*").alias("copies")).where("copies > 1")
 
 
+def with_series(points: DataFrame) -> DataFrame:
+    """Points with ``_series``, the identity under which ingest compares them: service, name and the
+    string attributes. Points that differ in a number only are repeats."""
+    return points.withColumn("_series", series_key(F.col("service"), F.col("metric"), F.col("attributes")))
+
+
 def reject_duplicates(points: DataFrame, arrival: list[str], existing: DataFrame | None = None,
                       keys: list[str] | None = None, time: str = "point_time") -> DataFrame:
     """The first point to arrive of each (series, instant) not stored yet, with ``copies``, the
-    number of points offered for it, and ``stored``, whether it was there before."""
-    keys = [*(keys or SERIES), time]
-    rest = [c for c in points.columns if c not in keys and c not in arrival]
-    first = points.groupBy(*keys).agg(
+    number of points offered for it, and ``stored``, whether it was there before.
+
+    Without ``keys`` the series is that of ``with_series``. Of the stored points only those between
+    the first and the last instant of the batch are read.
+    """
+    if keys is None:
+        known = None if existing is None else with_series(existing)
+        found = reject_duplicates(with_series(points), arrival, known, ["_series"], time)
+        return found.select(*columns(points.columns), "copies", "stored")
+    by = [*columns(keys), F.col(time)]
+    rest = [c for c in points.columns if c not in keys and c != time and c not in arrival]
+    first = points.groupBy(*by).agg(
         F.min_by(F.struct(*arrival, *columns(rest)), F.struct(*arrival)).alias("first"),
         F.count("*").alias("copies"))
-    offered = first.select(*keys, *[F.col("first")[c].alias(c) for c in [*arrival, *rest]], "copies")
+    offered = first.select(*by, *[F.col("first")[c].alias(c) for c in [*arrival, *rest]], "copies")
     if existing is None:
         return offered.withColumn("stored", F.lit(False))
-    known = existing.groupBy(*keys).agg(F.lit(True).alias("stored"))
+    low, high = points.agg(F.min(time), F.max(time)).first()
+    known = existing.where(F.lit(False) if low is None else F.col(time).between(low, high))
+    if low is not None and "day" in existing.columns:  # prunes the partitions of a stored table
+        known = known.where(F.col("day").between(times.to_day(F.lit(low)), times.to_day(F.lit(high))))
+    names = [f"_k{i}" for i in range(len(by))]
+    renamed = known.groupBy(*[c.alias(n) for c, n in zip(by, names, strict=True)]).agg(F.lit(True).alias("stored"))
     # Series columns may be NULL (no service), so compare them NULL-safely.
-    renamed = known.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "stored")
-    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    joined = offered.join(renamed, same, "left").drop(*[f"_k{i}" for i in range(len(keys))])
-    return joined.withColumn("stored", F.coalesce("stored", F.lit(False)))
+    same = [c.eqNullSafe(F.col(n)) for c, n in zip(by, names, strict=True)]
+    return offered.join(renamed, same, "left").drop(*names).withColumn("stored", F.coalesce("stored", F.lit(False)))
 
 
 def accepted(rejected: DataFrame) -> DataFrame:

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from teletide.functions import times
 from teletide.model import NS_PER_DAY, NS_PER_HOUR, NS_PER_MINUTE
+from teletide.operators import maintenance
 from teletide.plans.logs import DAY_12
 from teletide.plans.registry import bigints, numbered, on, query
+from teletide.plans.tables import NOW
 from teletide.session import scratch_dir
 from teletide.sources import requests, tables, warehouse
 from teletide.streaming import guard, jobs
@@ -103,6 +105,37 @@ def stream_ingest(spark: SparkSession, root: str) -> DataFrame:
         F.countDistinct("attributes").alias("attribute_sets")))
 
 
+@query("ingest_append_compact", f"""
+    SELECT time - time % {NS_PER_DAY} AS day, count(*) AS rows,
+           CAST(sum(time % 1000003) AS BIGINT) AS checksum
+    FROM logs WHERE time >= {NOW - 7 * NS_PER_DAY} GROUP BY ALL""")
+def ingest_append_compact(spark: SparkSession, root: str) -> DataFrame:
+    """One table fed by a stream and by a batch writer, then compacted and cut to a week."""
+    path, logs = scratch_dir(spark, "shared"), warehouse.logs(spark, root)
+    streamed = F.col("severity_number") < 13
+    requests.from_logs(logs.where(streamed)).write.text(f"{path}/inbox")
+    jobs.ingest_logs(spark, f"{path}/inbox", f"{path}/table", f"{path}/checkpoint").awaitTermination()
+    tables.write_table(logs.where(~streamed | streamed.isNull()), "logs", f"{path}/table")
+    maintenance.compact(spark, "logs", f"{path}/table")
+    maintenance.enforce_retention(spark, f"{path}/table", NOW, days=7)
+    stored = tables.read_table(spark, "logs", f"{path}/table")
+    return stored.groupBy(times.bucket(F.col("time"), NS_PER_DAY).alias("day")).agg(
+        F.count("*").alias("rows"), F.sum(F.col("time") % 1000003).alias("checksum"))
+
+
+@query("tail_pages", f"""
+    SELECT record_id, row_number() OVER (ORDER BY observed_time, time, record_id) AS rn FROM logs
+    WHERE observed_time > {DAY_12} QUALIFY rn <= 600""")
+def tail_pages(spark: SparkSession, root: str) -> DataFrame:
+    """Two polls of a follow loop, the second from the last row of the first."""
+    logs = warehouse.logs(spark, root)
+    order = ["observed_time", "time", "record_id"]
+    first = jobs.tail_after(logs, (DAY_12, None, None), limit=300)
+    last = first.select(F.max(F.struct(*order)).alias("c")).first()["c"]
+    pages = first.unionByName(jobs.tail_after(logs, tuple(last), limit=300)) if last else first
+    return numbered(pages, *[F.col(c) for c in order]).select("record_id", "rn")
+
+
 @query("tail_order", f"""
     SELECT record_id, row_number() OVER (ORDER BY observed_time, time, record_id) AS rn FROM logs
     WHERE observed_time > {DAY_12} QUALIFY rn <= 500""")

@@ -164,6 +164,16 @@ def compact_rows(spark: SparkSession, root: str) -> DataFrame:
     return _log_rows(tables.read_table(spark, "logs", path))
 
 
+@query("compact_twice", "SELECT CAST(0 AS BIGINT) AS merged, count(*) AS rows FROM logs")
+def compact_twice(spark: SparkSession, root: str) -> DataFrame:
+    """Files that a second run merges, and the rows left: a compacted table is settled."""
+    path = _two_runs(spark, root)
+    maintenance.compact(spark, "logs", path)
+    again = maintenance.compact(spark, "logs", path)
+    return tables.read_table(spark, "logs", path).agg(
+        F.lit(again["files_merged"]).cast("bigint").alias("merged"), F.count("*").alias("rows"))
+
+
 @query("export_range", f"""
     SELECT trace_id, span_id, name, start_time, duration_ns FROM spans
     WHERE start_time >= {883_612_800_000_000_000} AND start_time < {915_148_800_000_000_000}""")

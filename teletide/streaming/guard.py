@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from teletide.operators.duplicates import SERIES
+from teletide.operators.duplicates import SERIES, with_series
 
 RECENT = 262_144
 SHARDS = 64
@@ -25,7 +25,7 @@ def reject_stream(points: DataFrame, columns: list[str], arrival: list[str],
     ``columns`` are the columns to keep; within a micro-batch the smallest ``arrival`` comes first.
     """
     kept = list(dict.fromkeys([*SERIES, "point_time", *columns]))
-    rows = points.select(*kept).withColumn(
+    rows = with_series(points.select(*kept)).withColumn(
         "_shard", F.pmod(F.xxhash64("point_time"), F.lit(shards)).cast("int"))
     bound = -(-recent // shards)
 
@@ -44,6 +44,6 @@ def reject_stream(points: DataFrame, columns: list[str], arrival: list[str],
             yield fresh
 
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*kept).schema)
-    return rows.groupBy(*SERIES, "_shard").applyInPandasWithState(
+    return rows.groupBy("_series", "_shard").applyInPandasWithState(
         guard, outputStructType=out, stateStructType="accepted array<bigint>",
         outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)

@@ -114,3 +114,15 @@ def test_names_that_collide_fail_naming_both(gauge):
         [{"metric": "a.b", "value": 1.0}, {"metric": "a_b", "value": 1.0}])})
     with pytest.raises(PySparkException, match="a.b and a_b"):
         R.resolve_names(catalog).collect()
+
+
+def test_reject_goes_by_the_series(gauge):
+    point = {"metric": "m", "service": "s", "point_time": BASE}
+    batch = gauge([{**point, "value": 1.0, "attributes": '{"host":"a","n":1}'},
+                   {**point, "value": 2.0, "attributes": '{"host":"a","n":2}'},
+                   {**point, "value": 3.0, "attributes": '{"host":"b","n":2}'}])
+    kept = D.accepted(D.reject_duplicates(batch, ["value"]))
+    assert sorted(r["value"] for r in kept.collect()) == [1.0, 3.0] and kept.columns == batch.columns
+    stored = gauge([{**point, "value": 9.0, "attributes": '{"n":7,"host":"b"}'}, {**point, "value": 9.0, "point_time": None}])
+    assert tuple(D.receipt(D.reject_duplicates(batch, ["value"], stored)).first()) == (1, 2)
+    assert D.reject_duplicates(gauge([]), ["value"], stored).count() == 0
