@@ -37,6 +37,22 @@ def otlp_logs(spark: SparkSession, root: str) -> DataFrame:
     return bigints(otlp.logs(sent).drop("record_id"))
 
 
+@query("otlp_receipt", """
+    SELECT count(*) AS records, count(*) FILTER (severity_number >= 17) AS malformed,
+           count(DISTINCT service) AS accepted_services FROM logs""")
+def otlp_receipt(spark: SparkSession, root: str) -> DataFrame:
+    """What arrives from files that hold a line broken off for each error beside the requests."""
+    inbox, logs = scratch_dir(spark, "otlp-broken"), warehouse.logs(spark, root)
+    requests.from_logs(logs).write.text(inbox)
+    broken = F.format_string('{"resourceLogs": [{"resource": %d', "record_id")
+    logs.where("severity_number >= 17").select(broken).write.mode("append").text(inbox)
+    arrived = otlp.logs(otlp.read_requests(spark, "logs", inbox)).agg(
+        F.count("*").alias("records"), F.countDistinct("service").alias("accepted_services"))
+    counts = arrived.unionByName(
+        otlp.receipt(spark, "logs", inbox).select("malformed"), allowMissingColumns=True)
+    return counts.agg(*[F.max(c).alias(c) for c in counts.columns])
+
+
 @query("otlp_spans", """
     SELECT trace_id, span_id, parent_span_id, name, kind, start_time, duration_ns, status_code,
            service, attributes FROM spans""")

@@ -65,9 +65,21 @@ METRIC_FIELDS = {
 }
 
 
-def read_requests(spark: SparkSession, signal: str, path: str) -> DataFrame:
-    """Export requests of one signal (logs, traces, metrics) from JSON-lines files."""
-    return spark.read.schema(REQUESTS[signal]).json(path)
+def read_requests(spark: SparkSession, signal: str, path: str, fail_on_malformed: bool = False) -> DataFrame:
+    """Export requests of one signal (logs, traces, metrics) from JSON-lines files. Lines that are no
+    request hold no rows; ``receipt`` counts them, ``fail_on_malformed`` makes them an error."""
+    mode = "FAILFAST" if fail_on_malformed else "PERMISSIVE"
+    return spark.read.schema(REQUESTS[signal]).option("mode", mode).json(path)
+
+
+def receipt(spark: SparkSession, signal: str, path: str) -> DataFrame:
+    """How many lines of the files are requests (``accepted``) and how many are not (``malformed``).
+    A line of white space only is neither."""
+    broken = "_malformed"
+    parsed = F.from_json("value", f"{REQUESTS[signal]}, {broken} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken})
+    lines = spark.read.text(path).where(F.trim("value") != "").select(parsed.alias("r"))
+    bad = F.col("r").isNull() | F.col("r")[broken].isNotNull()
+    return lines.agg(F.count_if(~bad).alias("accepted"), F.count_if(bad).alias("malformed"))
 
 
 # --- Attribute lists to JSON text ------------------------------------------------------------------

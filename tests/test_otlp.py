@@ -113,3 +113,13 @@ def test_requests_flatten_back_to_the_rows(spark, logs, tmp_path):
     sent = otlp.read_requests(spark, "logs", str(tmp_path / "in"))
     kept = ["time", "observed_time", "service", "severity_number", "body", "attributes"]
     assert sorted(otlp.logs(sent).select(*kept).collect(), key=str) == sorted(df.select(*kept).collect(), key=str)
+
+
+def test_broken_lines_are_counted_or_fail(spark, logs, tmp_path):
+    inbox = str(tmp_path / "in")
+    requests.from_logs(logs([{"body": "good"}])).write.text(inbox)
+    (tmp_path / "in" / "more.txt").write_text('{"resourceLogs": [{\n\n  \nnot json\n{"resourceLogs": []}\n')
+    assert tuple(otlp.receipt(spark, "logs", inbox).first()) == (2, 2)
+    assert [r["body"] for r in otlp.logs(otlp.read_requests(spark, "logs", inbox)).collect()] == ["good"]
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        otlp.logs(otlp.read_requests(spark, "logs", inbox, fail_on_malformed=True)).collect()
