@@ -204,11 +204,13 @@ def training_windows(labelled: DataFrame) -> list[tuple[str, bytes]]:
     picked by a hash of the text; TRAIN_WINDOWS places of each text, also picked by hash.
     """
     rows = labelled.select("lang", "text").where("lang is not null and text is not null and text <> ''")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    key = F.xxhash64("text")
+    # Copies are picked together, so a language's share goes by its different texts, not by its rows.
+    counts = (rows.select("lang", key.alias("key")).distinct().groupBy("lang").count()
+              .orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect())
     if not counts:
         return []
     share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, TRAIN_DOCS / r["count"]))])
-    key = F.xxhash64("text")
     last = F.greatest(F.char_length("text") - (WINDOW - 1), F.lit(1))
     places = F.transform(F.sequence(F.lit(1), F.lit(TRAIN_WINDOWS)),
                          lambda i: F.substr("text", (F.pmod(F.xxhash64("text", i), last) + 1).cast("int"), F.lit(WINDOW)))

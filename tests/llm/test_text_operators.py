@@ -274,6 +274,13 @@ def test_language(docs, odd_texts):
     assert kept.columns == df.columns and kept.where(F.col("doc_id") < 80).count() == 80
 
 
+def test_language_learns_from_rare_texts_beside_copies(spark):
+    texts = F.when(F.col("id") < 600, F.concat(F.lit("text "), "id")).otherwise("the same text")
+    rows = spark.range(60_000).select(F.lit("rare").alias("lang"), texts.alias("text"))
+    found = {w for lang, w in language.training_windows(rows) if lang == "rare"}
+    assert len({w for w in found if w.startswith(b"text ")}) > 180
+
+
 def test_queries_keep_their_columns(spark, docs, odd_texts, tmp_path):
     docs(odd_texts).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(ITEMS, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
