@@ -9,14 +9,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from teletide.llm.texts import limit_batches, raw, slices
+from teletide.session import materialize_small
 
 # Hidden units of each direction, and bytes that one window holds; the state starts anew in each window.
 UNITS, WINDOW = 4, 64
-# Training takes at most so many documents of each language, windows of each document, and languages.
-TRAIN_DOCS, TRAIN_WINDOWS, MAX_LANGUAGES = 250, 8, 64
+# Training takes about so many documents of each language, and windows of each document.
+TRAIN_DOCS, TRAIN_WINDOWS = 250, 8
 STEPS, BATCH, RATE = 120, 256, 0.03
-# Windows that run side by side.
-LANES = 8192
+# Windows that run side by side, and the languages from which fewer do, since each has scores of its own.
+LANES, MANY = 8192, 64
 UNKNOWN = "und"
 
 
@@ -168,8 +169,10 @@ def train(samples: list[tuple[str, bytes]], units: int = UNITS, steps: int = STE
     members = [np.flatnonzero(labels == k) for k in range(len(languages))]
     net = fresh(languages, units, seed)
     moments = [(np.zeros_like(a), np.zeros_like(a)) for a in net.arrays()]
+    steps *= -(-len(members) // MANY)
     for step in range(1, steps + 1):
-        pick = np.concatenate([rng.choice(m, max(1, BATCH // len(members))) for m in members])  # languages alike
+        turn = members if len(members) <= BATCH else [members[k] for k in rng.permutation(len(members))[:BATCH]]
+        pick = np.concatenate([rng.choice(m, max(1, BATCH // len(members))) for m in turn])  # languages alike
         _, grads = gradients(net, windows[:, pick], labels[pick])
         rate = RATE * min(1.0, 2 * (1 - (step - 1) / steps))
         for a, g, (m, v) in zip(net.arrays(), grads, moments, strict=True):
@@ -183,40 +186,39 @@ def pooled(net: Network, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Of each text: the mean over its positions of each language's probability, and the positions labelled so."""
     windows, owner = cut(texts)
     size, n = len(net.languages), len(texts)
-    total, labelled = np.zeros((n, size)), np.zeros(n * size, np.int64)
-    for a in range(0, len(owner), LANES):
-        part, lanes = np.ascontiguousarray(windows[:, a:a + LANES]), owner[a:a + LANES]
+    total, labelled = np.zeros((n, size)), np.zeros((n, size), np.int64)
+    side = max(1, LANES * MANY // max(MANY, size))
+    for a in range(0, len(owner), side):
+        part, lanes = np.ascontiguousarray(windows[:, a:a + side]), owner[a:a + side]
+        first, held = lanes[0], lanes[-1] - lanes[0] + 1  # the texts of these windows
+        lanes = lanes - first
         scores = position_scores(net, forward(net, both_ways(part)))
         real = part > 0
         best = (scores.argmax(axis=0) + lanes * size)[real]
-        labelled += np.bincount(best, minlength=n * size)
+        labelled[first:first + held] += np.bincount(best, minlength=held * size).reshape(held, size)
         scores *= real
         for k, sums in enumerate(scores.sum(axis=1)):
-            total[:, k] += np.bincount(lanes, sums, n)
+            total[first:first + held, k] += np.bincount(lanes, sums, held)
     # Byte 0 fills windows up and labels nothing, also where a text holds it; hence the sum, not the length.
-    return total / np.maximum(total.sum(axis=1, keepdims=True), 1e-9), labelled.reshape(n, size)
+    return total / np.maximum(total.sum(axis=1, keepdims=True), 1e-9), labelled
 
 
 def training_windows(labelled: DataFrame) -> list[tuple[str, bytes]]:
-    """A bounded sample of (lang, window) from rows with text and lang.
+    """A sample of (lang, window) from rows with text and lang, bounded for each language.
 
-    At most MAX_LANGUAGES languages, the most frequent ones, and about TRAIN_DOCS different texts of each,
-    picked by a hash of the text; TRAIN_WINDOWS places of each text, also picked by hash.
+    Every language, and about TRAIN_DOCS different texts of each, picked by a hash of the text; TRAIN_WINDOWS
+    places of each text, also picked by hash.
     """
     rows = labelled.select("lang", "text").where("lang is not null and text is not null and text <> ''")
     key = F.xxhash64("text")
     # Copies are picked together, so a language's share goes by its different texts, not by its rows.
-    counts = (rows.select("lang", key.alias("key")).distinct().groupBy("lang").count()
-              .orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect())
-    if not counts:
-        return []
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, TRAIN_DOCS / r["count"]))])
+    counts, small = materialize_small(rows.select("lang", key.alias("key")).distinct().groupBy("lang").count(), "languages")
+    picked = F.pmod(key, F.lit(1 << 40)) < F.lit(float(TRAIN_DOCS << 40)) / F.col("count")
     last = F.greatest(F.char_length("text") - (WINDOW - 1), F.lit(1))
     places = F.transform(F.sequence(F.lit(1), F.lit(TRAIN_WINDOWS)),
                          lambda i: F.substr("text", (F.pmod(F.xxhash64("text", i), last) + 1).cast("int"), F.lit(WINDOW)))
-    sample = (rows.where(F.pmod(key, F.lit(1_000_000)) < F.try_element_at(share, F.col("lang")) * 1_000_000)
-              .select("lang", key.alias("key"), places.alias("places")).dropDuplicates(["lang", "key"])
-              .orderBy("key", "lang").limit(TRAIN_DOCS * len(counts)))
+    sample = (rows.join(F.broadcast(counts) if small else counts, "lang").where(picked)
+              .select("lang", key.alias("key"), places.alias("places")).dropDuplicates(["lang", "key"]).orderBy("key", "lang"))
     return [(r["lang"], place.encode()[:WINDOW]) for r in sample.collect() for place in r["places"]]
 
 
@@ -255,7 +257,7 @@ def identify(docs: DataFrame, labelled: DataFrame, columns: list[str] | None = N
                     best = int(shares[i].argmax())
                     told.append(net.languages[best])
                     score.append(float(min(1.0, shares[i, best])))
-                    positions.append([(k, int(v)) for k, v in zip(net.languages, labelled[i], strict=True) if v])
+                    positions.append([(net.languages[k], int(labelled[i, k])) for k in np.flatnonzero(labelled[i])])
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("row"), pa.array(told, pa.string()), pa.array(score, pa.float64()),
                      pa.array(positions, pa.map_(pa.string(), pa.int64()))], names=["row", "lang_pred", "score", "positions"])

@@ -281,6 +281,14 @@ def test_language_learns_from_rare_texts_beside_copies(spark):
     assert len({w for w in found if w.startswith(b"text ")}) > 180
 
 
+def test_every_language_is_learned(docs):
+    words = lambda k, i: " ".join("".join(chr(0x4E00 + 7 * k + (i * j + c) % 5) for c in range(4)) for j in range(1, 30))
+    texts = [words(k, i) for k in range(70) for i in range(1, 5)]
+    df = docs(texts, langs=[f"l{k:02}" for k in range(70) for _ in range(4)])
+    told = language.identify(df, df.where("doc_id % 4 > 0"), ["doc_id", "lang"]).select("row.lang", "lang_pred").collect()
+    assert {r["lang"] for r in told} == {r["lang_pred"] for r in told} and sum(r[0] == r[1] for r in told) > 270
+
+
 def test_queries_keep_their_columns(spark, docs, odd_texts, tmp_path):
     docs(odd_texts).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(ITEMS, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
