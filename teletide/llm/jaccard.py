@@ -189,14 +189,15 @@ def links(docs: DataFrame, rows: DataFrame, mean: float, n: int, percent: int) -
                          .select("s1", "s2", "a", F.col("doc_id").alias("b")).distinct(), "copies")
     alone = rows.where("n > 0 and doc_id is not null").join(
         copies.select("s1", "s2", F.col("b").alias("doc_id")), ["s1", "s2", "doc_id"], "left_anti")
+    text = ["doc_id", "s1", "s2"]  # one doc_id may have several texts, each with a prefix of its own
     # A column that the sketch takes for a long one is dealt to several cells; their first rows meet again.
     level = F.shiftright("g", 64 - _LEVEL_BITS) + 2 ** (_LEVEL_BITS - 1)
     cells = F.greatest(F.lit(1), F.ceil((F.pow(F.lit(2.0), level / 2) - mean) * SKETCH_SHARE / CELL_ROWS))
-    entries = (alone.select("doc_id", "n", F.explode("prefix").alias("g"))
+    entries = (alone.select(*text, "n", F.explode("prefix").alias("g"))
                .withColumn("cell", F.pmod(F.xxhash64("doc_id"), cells)))
     run = Window.partitionBy("g", "cell").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing)
-    led = entries.select("g", "doc_id", "n", F.first("doc_id").over(run).alias("lead"), F.first("n").over(run).alias("lead_n"),
+    led = entries.select("g", *text, "n", F.first("doc_id").over(run).alias("lead"), F.first("n").over(run).alias("lead_n"),
                          F.count("*").over(run).alias("held")).withColumn("cells", cells)
     shared = materialize(led.where("held > 1 or cells > 1"), "columns")
     heads = Window.partitionBy("g").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(
@@ -206,8 +207,8 @@ def links(docs: DataFrame, rows: DataFrame, mean: float, n: int, percent: int) -
     stars = shared.select("lead", "lead_n", "doc_id", "n").unionByName(met)
     tested = _ordered(stars.where(_can_link("lead_n", "n", percent)), "lead", "doc_id")
     found = _verified(tested, rows, docs, n, percent)
-    shared = shared.where("held > 2 or cells > 1").select("g", "doc_id", "n")  # of two rows, the one pair is tested
-    mixed = _labelled(shared, found).join(rows.select("doc_id", "prefix").dropDuplicates(["doc_id"]), "doc_id")
+    shared = shared.where("held > 2 or cells > 1").select("g", *text, "n")  # of two rows, the one pair is tested
+    mixed = _labelled(shared, found).join(rows.select(*text, "prefix").dropDuplicates(text), text)
     one = mixed.select("g", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("prefix").alias("x"))
     two = mixed.select("g", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("prefix").alias("y"))
     # A pair shares many columns; it is taken in the first of them, and only if a link is possible.

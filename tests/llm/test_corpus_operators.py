@@ -74,6 +74,21 @@ def test_jaccard_odd_ids(docs):
     assert jaccard.join_components(docs([])).count() == 0
 
 
+def test_jaccard_ids_with_several_texts(docs, monkeypatch):
+    monkeypatch.setattr(jaccard, "_levels", lambda docs, n: (np.zeros(jaccard.SKETCH, np.uint8), 0.0))  # any order will do
+    rows = []
+    for k in range(40):  # a document of two texts, a link of the second one, and a document that may lead their columns
+        base = prose(500 + k, 60)
+        rows += [(3 * k, None if k % 2 else prose(700 + k, 30)), (3 * k, base), (3 * k + 1, base + " and more"), (3 * k + 2, base + " " + prose(900 + k, 40))]
+    ids = [i for i, _ in rows]
+    sets = [words_set(t) for _, t in rows]
+    pairs = [(ids[i], ids[j]) for i in range(len(rows)) for j in range(i) if sets[i] and sets[j]
+             and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    expected = union(120, pairs)
+    got = jaccard.join_components(docs([t for _, t in rows], ids)).collect()
+    assert len(got) == len(rows) and all(r["component_id"] == expected[r["doc_id"]] for r in got)
+
+
 def test_prefix_holds_a_shared_gram():
     for n in range(1, 200):
         least = -(-75 * n // 100)
