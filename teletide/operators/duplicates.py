@@ -58,7 +58,7 @@ def reject_duplicates(points: DataFrame, arrival: list[str], existing: DataFrame
     number of points offered for it, and ``stored``, whether it was there before.
 
     Without ``keys`` the series is that of ``with_series``. Of the stored points only those between
-    the first and the last instant of the batch are read.
+    the first and the last instant of the batch are read, and those without one if the batch has such.
     """
     if keys is None:
         known = None if existing is None else with_series(existing)
@@ -72,10 +72,14 @@ def reject_duplicates(points: DataFrame, arrival: list[str], existing: DataFrame
     offered = first.select(*by, *[F.col("first")[c].alias(c) for c in [*arrival, *rest]], "copies")
     if existing is None:
         return offered.withColumn("stored", F.lit(False))
-    low, high = points.agg(F.min(time), F.max(time)).first()
-    known = existing.where(F.lit(False) if low is None else F.col(time).between(low, high))
-    if low is not None and "day" in existing.columns:  # prunes the partitions of a stored table
-        known = known.where(F.col("day").between(times.to_day(F.lit(low)), times.to_day(F.lit(high))))
+    low, high, undated = points.agg(F.min(time), F.max(time), F.count_if(F.col(time).isNull())).first()
+
+    def within(column: str, low: Column, high: Column) -> Column:
+        dated = F.col(column).between(low, high)
+        return dated | F.col(column).isNull() if undated else dated
+    known = existing.where(within(time, F.lit(low), F.lit(high)))
+    if "day" in existing.columns:  # prunes the partitions of a stored table
+        known = known.where(within("day", times.to_day(F.lit(low).cast("long")), times.to_day(F.lit(high).cast("long"))))
     names = [f"_k{i}" for i in range(len(by))]
     renamed = known.groupBy(*[c.alias(n) for c, n in zip(by, names, strict=True)]).agg(F.lit(True).alias("stored"))
     # Series columns may be NULL (no service), so compare them NULL-safely.

@@ -7,6 +7,7 @@ from conftest import BASE, MINUTE, SECOND
 from teletide.operators import discovery, duplicates as D, metrics as M, rangeeval as R
 from teletide.operators.metrics import MetricQuery, PointsQuery
 from teletide.operators.rangeeval import Grid
+from teletide.sources import tables
 
 ALL = dict(start=BASE - MINUTE, end=BASE + MINUTE)
 
@@ -126,3 +127,14 @@ def test_reject_goes_by_the_series(gauge):
     stored = gauge([{**point, "value": 9.0, "attributes": '{"n":7,"host":"b"}'}, {**point, "value": 9.0, "point_time": None}])
     assert tuple(D.receipt(D.reject_duplicates(batch, ["value"], stored)).first()) == (1, 2)
     assert D.reject_duplicates(gauge([]), ["value"], stored).count() == 0
+
+
+def test_reject_finds_undated_repeats(gauge, spark, tmp_path):
+    undated = {"metric": "m", "service": "s", "value": 1.0, "point_time": None}
+    dated = {**undated, "point_time": BASE}
+    tables.write_table(gauge([undated, dated]), "metrics_gauge", str(tmp_path))
+    for stored in (gauge([undated, dated]), spark.read.parquet(str(tmp_path))):
+        receipt = lambda batch, stored=stored: tuple(D.receipt(D.reject_duplicates(gauge(batch), ["value"], stored)).first())
+        assert receipt([undated]) == (0, 1) and receipt([undated, dated]) == (0, 2)
+        assert receipt([{**undated, "service": "new"}, undated]) == (1, 1)
+        assert receipt([{**dated, "point_time": BASE + MINUTE}, undated]) == (1, 1)
