@@ -23,8 +23,8 @@ from teletide.llm.components import connected
 from teletide.llm.texts import limit_batches, map_texts, raw, slices, space_words
 from teletide.session import materialize, materialize_small
 
-# Columns of the frequency sketch, and one in how many documents it counts. It orders n-grams, no more.
-SKETCH, SKETCH_SHARE = 1 << 20, 8
+# Columns of the frequency sketch. It orders n-grams and tells long columns, no more.
+SKETCH = 1 << 20
 # Rows of one column that a task compares with the same one.
 CELL_ROWS = 1 << 14
 
@@ -90,8 +90,7 @@ def _levels(docs: DataFrame, n: int) -> tuple[np.ndarray, float]:
                     seen += np.bincount((np.concatenate(sets) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
         some = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(seen[some], pa.int64())], names=["slot", "n"])
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(SKETCH_SHARE)) == 0).select("text")
-    counts = sample.mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).where("n > 1")
+    counts = docs.select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).where("n > 1")
     table = counts.toArrow()  # at most SKETCH rows of two numbers
     out = np.zeros(SKETCH, np.int64)
     out[table.column("slot").to_numpy()] = table.column("n").to_numpy()
@@ -192,7 +191,7 @@ def links(docs: DataFrame, rows: DataFrame, mean: float, n: int, percent: int) -
     text = ["doc_id", "s1", "s2"]  # one doc_id may have several texts, each with a prefix of its own
     # A column that the sketch takes for a long one is dealt to several cells; their first rows meet again.
     level = F.shiftright("g", 64 - _LEVEL_BITS) + 2 ** (_LEVEL_BITS - 1)
-    cells = F.greatest(F.lit(1), F.ceil((F.pow(F.lit(2.0), level / 2) - mean) * SKETCH_SHARE / CELL_ROWS))
+    cells = F.greatest(F.lit(1), F.ceil((F.pow(F.lit(2.0), level / 2) - mean) / CELL_ROWS))
     entries = (alone.select(*text, "n", F.explode("prefix").alias("g"))
                .withColumn("cell", F.pmod(F.xxhash64("doc_id"), cells)))
     run = Window.partitionBy("g", "cell").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(

@@ -89,6 +89,11 @@ def test_jaccard_ids_with_several_texts(docs, monkeypatch):
     assert len(got) == len(rows) and all(r["component_id"] == expected[r["doc_id"]] for r in got)
 
 
+def test_sketch_counts_all_documents(docs):
+    levels, mean = jaccard._levels(docs(["one two three four five"] * 40, [None, *range(39)]), 5)
+    assert levels.max() == int(2 * np.log2(41)) and mean * jaccard.SKETCH == 40
+
+
 def test_prefix_holds_a_shared_gram():
     for n in range(1, 200):
         least = -(-75 * n // 100)
