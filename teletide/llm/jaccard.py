@@ -1,7 +1,7 @@
 """N-gram Jaccard join: which documents are linked by similar sets of word n-grams, and their components.
 
-The documents are rows and the n-grams columns of a sparse incidence matrix; the product of the matrix with
-its transpose counts overlaps. It is taken in blocks of columns, and sizes bound what can still be linked:
+The documents are rows and the n-grams columns of a sparse incidence matrix. Its product with the transpose is
+not accumulated: prefix columns give candidate pairs, sizes bound them, and overlaps are counted pair by pair:
 
 * Equal rows are collapsed to one first.
 * A row only enters the columns of its prefix: of any common order of n-grams, two linked rows share one of
