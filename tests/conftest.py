@@ -6,11 +6,11 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from teletide.session import configure  # noqa: E402
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from telemetry_rows import BASE, SECOND  # noqa: E402
 
-BASE = 1_700_000_000_000_000_000
-SECOND = 1_000_000_000
-MINUTE = 60 * SECOND
+from teletide.session import configure  # noqa: E402
 
 
 @pytest.fixture(scope="session")

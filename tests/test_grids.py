@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import BASE, MINUTE, SECOND
+from telemetry_rows import BASE, MINUTE, SECOND
 from teletide.operators import rangeeval as R
 from teletide.operators.rangeeval import Grid
 

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import BASE, MINUTE, SECOND
+from telemetry_rows import BASE, MINUTE, SECOND
 from teletide.operators import logs as L, ranking
 from teletide.operators.logs import LogQuery
 from teletide.operators.rangeeval import log_lines

@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.errors import PySparkException
 
-from conftest import BASE, MINUTE, SECOND
+from telemetry_rows import BASE, MINUTE, SECOND
 from teletide.operators import discovery, duplicates as D, metrics as M, rangeeval as R
 from teletide.operators.metrics import MetricQuery, PointsQuery
 from teletide.operators.rangeeval import Grid

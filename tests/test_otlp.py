@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from conftest import BASE
+from telemetry_rows import BASE
 from teletide.model import SCHEMAS
 from teletide.sources import otlp, requests
 

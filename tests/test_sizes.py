@@ -5,7 +5,7 @@ import pytest
 from teletide.operators import logs as L, quantiles, ranking, traces as T
 from teletide.operators.logs import LogQuery
 
-from conftest import BASE, SECOND
+from telemetry_rows import BASE, SECOND
 
 
 def test_group_without_values_is_kept(spark):

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.errors import PySparkException
 
-from conftest import BASE, MINUTE, SECOND
+from telemetry_rows import BASE, MINUTE, SECOND
 from teletide.operators.logs import LogQuery
 from teletide.operators.metrics import MetricQuery, PointsQuery
 from teletide.operators.rangeeval import Grid

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import BASE, SECOND
+from telemetry_rows import BASE, SECOND
 from teletide.model import SCHEMAS
 from teletide.operators import maintenance
 from teletide.sources import requests, tables

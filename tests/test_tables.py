@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import BASE, SECOND
+from telemetry_rows import BASE, SECOND
 from teletide.model import NS_PER_DAY
 from teletide.operators import maintenance as Mt
 from teletide.operators.logs import LogQuery, count_logs, filter_logs, query_logs

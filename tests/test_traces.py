@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from conftest import BASE, MINUTE, SECOND
+from telemetry_rows import BASE, MINUTE, SECOND
 from teletide.operators import traces as T
 from teletide.operators.quantiles import exact_quantiles
 from teletide.operators.traces import SpanMetricsQuery, TraceQuery
