@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from teletide.llm import (
-    bpe, chat, decontamination, embeddings, jaccard, language, licenses, linededup, pii, secret_scan,
+    bpe, chat, decontamination, embeddings, jaccard, language, licenses, linededup, periodic, pii, secret_scan, variants,
+    word_bpe,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +17,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -211,3 +213,80 @@ FROM marked GROUP BY doc_id"""
 def unique_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = linededup.kept_texts(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("row.doc_id", "n_lines", "n_dropped", _sha(F.col("kept")).alias("kept_sha256"))
+
+
+# One of the near words of each word; crc32 goes bit by bit, and words of one edit meet in what a letter's loss leaves.
+VARIANTS_SQL = r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all({lower}, '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+counted AS MATERIALIZED (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY ALL),
+coded AS (SELECT doc_id, run, n, hex(encode(concat(doc_id, ':', run))) AS digits FROM counted),
+bytes AS (SELECT doc_id, run, n, list_transform(range(1, CAST(length(digits) AS BIGINT), 2), lambda i:
+            16 * (strpos('0123456789ABCDEF', digits[i]) - 1) + strpos('0123456789ABCDEF', digits[i + 1]) - 1) AS b FROM coded),
+bits AS (SELECT doc_id, run, n, flatten(list_transform(b, lambda x: list_transform(range(8), lambda k: (x >> k) & 1))) AS b FROM bytes),
+hashed AS (SELECT doc_id, run, n, xor(4294967295, list_reduce(b, lambda c, x:
+             CASE WHEN xor(c, x) & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, 4294967295)) AS h FROM bits),
+changed AS (SELECT CASE WHEN h % 199 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n FROM hashed),
+words AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM changed WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+less AS MATERIALIZED (SELECT DISTINCT word, n, place, word[:place - 1] || word[place + 1:] AS rest
+                      FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS place FROM words)),
+shorter AS (SELECT DISTINCT word, n, rest FROM less),
+edges AS (SELECT x.word, y.word AS near, y.n AS near_n FROM less x JOIN less y USING (place, rest) WHERE x.word <> y.word
+          UNION SELECT x.word, y.word, y.n FROM shorter x JOIN words y ON x.rest = y.word
+          UNION SELECT y.word, x.word, x.n FROM shorter x JOIN words y ON x.rest = y.word),
+best AS (SELECT word, count(*) AS n_near, max(near_n) AS top FROM edges GROUP BY word),
+named AS (SELECT word, n_near, top, min(near) AS near FROM best JOIN edges USING (word) WHERE near_n = top GROUP BY ALL),
+told AS MATERIALIZED (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 5 * n THEN near END AS form,
+                             CASE WHEN top >= 5 * n THEN top END AS form_n FROM words LEFT JOIN named USING (word)),
+paths AS (SELECT word, word AS root, form FROM told
+          UNION ALL SELECT paths.word, told.word, told.form FROM paths JOIN told ON paths.form = told.word)
+SELECT word, told.form, root, n, n_near, form_n FROM told JOIN paths USING (word) WHERE paths.form IS NULL""".replace(
+    "{lower}", _LOWER.format("coalesce(text, '')"))
+
+
+def _one_lost(doc_id: Column, run: Column) -> Column:
+    """The run, without one letter where the checksum of document and run is a multiple of 199."""
+    h = F.crc32(F.concat_ws(":", doc_id.cast("string"), run).cast("binary"))
+    at = (h % F.char_length(run)).cast("int")
+    return F.when(h % 199 == 0, F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.char_length(run)))).otherwise(run)
+
+
+@_query("op11_variants", VARIANTS_SQL)
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group(_table(spark, sf_dir, "documents"), alter=_one_lost)
+
+
+def looped(docs: DataFrame) -> DataFrame:
+    """doc_id and the text, of which a tenth of the documents repeat a stretch up to their end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = F.coalesce(h % 10 == 0, F.lit(False))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    n, g = F.size("words"), F.floor(h / 10)
+    told = docs.select("doc_id", "text", F.when(chosen, words).alias("words"))
+    told = told.withColumn("a", F.when(n > 0, (g % n).cast("int")))
+    told = told.withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("int"))
+    # Zero-based places: those before a, then a + (i - a) % p.
+    again = F.transform(F.sequence(F.col("a"), n - 1), lambda i: F.element_at("words", F.col("a") + (i - F.col("a")) % F.col("p") + 1))
+    text = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), again), " ")
+    return told.select("doc_id", F.when(F.col("a").isNotNull(), text).otherwise(F.col("text")).alias("text"))
+
+
+@_query("op12_runs")
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.scan(looped(_table(spark, sf_dir, "documents")))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))), "")
+    top = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    told = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), top.alias("top"),
+                        _sha(lines).alias("runs_sha256"), _sha(F.col("collapsed")).alias("collapsed_sha256"))
+    length, period = -F.col("top.less"), F.col("top.period")
+    return told.select("doc_id", "n_runs", F.col("top.start").alias("start"), length.alias("length"), period.alias("period"),
+                       F.floor(length * 1000 / period).alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+@_query("op13_word_bpe")
+def word_encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = word_bpe.decode(word_bpe.encode(_table(spark, sf_dir, "documents"), WORD_BPE), WORD_BPE)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        _sha(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
+                        _sha(F.col("decoded")).alias("decoded_sha256"))

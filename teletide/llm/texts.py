@@ -37,8 +37,10 @@ def values(batch: pa.RecordBatch, column: str) -> pa.Array:
 
 
 def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that each piece holds about SLICE_BYTES of ``column`` or a single row."""
-    sizes = pc.fill_null(pc.binary_length(values(batch, column)), 0).to_pylist()
+    """Cut a batch so that each piece holds about SLICE_BYTES (of a list, items) of ``column`` or a single row."""
+    held_in = values(batch, column)
+    length = pc.list_value_length if pa.types.is_list(held_in.type) else pc.binary_length
+    sizes = pc.fill_null(length(held_in), 0).to_pylist()
     start = held = 0
     for i, size in enumerate(sizes):
         if i > start and held + size > SLICE_BYTES:
