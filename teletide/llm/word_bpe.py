@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
@@ -20,7 +21,7 @@ from tokenizers import Tokenizer
 from teletide.llm.texts import map_texts, plain
 
 # Words and pairs of tokens whose result a task remembers; beyond it the memory starts anew.
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 500_000
 KNOWN_PAIRS = 500_000
 # Up to here the character classes, lower case and composition of Python are those of the tokenizers library.
 _ALIKE = "˿"
@@ -277,13 +278,17 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     The file names no decoder, so the tokens are joined by one space, word ends and byte letters included. Null ids
     give an empty text; an id that the vocabulary does not have is an error.
     """
-    tokens = dict(enumerate(load(path).tokens))
+    tokens = load(path).tokens
     kind = encoded.schema["doc_id"].dataType.simpleString()
 
     def make():
         def work(batch):
             ids = batch.column("ids")
-            texts = [" ".join([tokens[i] for i in row.values.to_pylist()]) if row.is_valid else "" for row in ids]
+            flat = ids.flatten().to_numpy(zero_copy_only=False)
+            if len(flat) and flat.min() < 0:
+                raise IndexError(f"the vocabulary has no id {flat.min()}")
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)).tolist()
+            texts = [" ".join(map(tokens.__getitem__, flat[a:b].tolist())) for a, b in zip([0, *ends], ends, strict=False)]
             return pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, pa.array(texts, pa.string())],
                                               names=["doc_id", "ids", "decoded"])
         return work
