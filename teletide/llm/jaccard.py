@@ -1,15 +1,18 @@
 """N-gram Jaccard join: which documents are linked by similar sets of word n-grams, and their components.
 
-The documents are rows and the n-grams columns of a sparse incidence matrix. Its product with the transpose is
-not accumulated: prefix columns give candidate pairs, sizes bound them, and overlaps are counted pair by pair:
-
-* Equal rows are collapsed to one first.
-* A row only enters the columns of its prefix: of any common order of n-grams, two linked rows share one of
-  the first ``n - ceil(n * percent / 100) + 1``. Rare n-grams come first, so frequent ones hardly take part.
-* Rows of a column are compared with one of them, which links most of a group of near copies in one step;
-  the pairs left are those whose rows are still in different components.
-* Pairs are discarded as soon as their sizes, or the overlap of their prefixes and the sizes of what is left,
-  rule the similarity out; only then are overlaps counted in full.
+The different sets are rows and the n-grams columns of a sparse incidence matrix, whose product with its transpose holds
+the overlaps. It is formed in blocks of columns, and size bounds keep it small:
+
+* A row only enters the columns of its prefix, its first n-grams in the order of their hashes, which is chosen so long
+  that two linked rows share several columns of it (``shares``), not just one.
+* Columns with one row are dropped; so are rows that are left with fewer columns than any link needs, which are nearly
+  all rows that only quote a common passage.
+* A task multiplies the columns dealt to it, counts the overlap of each pair of rows in them and leaves out pairs of too
+  unequal sizes; the counts of all blocks are added up, and pairs whose count and sizes rule a link out are discarded.
+* Columns of more than LONG rows give only the pairs with one of them at first. Rows that are in different components
+  after that are multiplied in these columns too, if they have enough of them.
+* What is left is verified by the overlap of the whole sets, for each row first with the one it shares most with; pairs
+  that this has put into one component need no more.
 """
 
 from __future__ import annotations
@@ -20,16 +23,21 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from teletide.llm.components import connected
-from teletide.llm.texts import limit_batches, map_texts, raw, slices, space_words
+from teletide.llm.texts import map_texts, raw, space_words
 from teletide.session import materialize, materialize_small
 
-# Columns of the frequency sketch. It orders n-grams and tells long columns, no more.
-SKETCH = 1 << 20
-# Rows of one column that a task compares with the same one.
-CELL_ROWS = 1 << 14
+# Rows of a column whose pairs are all formed at once.
+LONG = 64
+# Rows of a column that one task goes through; a longer one is dealt to several.
+CELL_ROWS = 1 << 18
+# Texts looked at, about, to find such columns. It decides how work is dealt, not what is linked.
+SAMPLE_DOCS = 20_000
+# Pairs that a task counts together before they leave it.
+BLOCK_PAIRS = 1 << 20
+# Sets that a task remembers, so as to give out the prefix of each once.
+KNOWN_SETS = 1 << 20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_LEVEL_BITS = 6
 _SIGN = np.uint64(1 << 63)
 
 
@@ -66,163 +74,243 @@ class Shingler:
         return np.unique(_mixed(grams))
 
 
+def least_overlap(n: int, percent: int) -> int:
+    """How many n-grams a set of ``n`` shares at least with one it is linked to."""
+    return -(-percent * n // 100)
+
+
+def shares(n: int) -> int:
+    """How many n-grams the prefixes of two linked sets share, the smaller of both numbers."""
+    return max(1, n // 12)
+
+
 def prefix_size(n: int, percent: int) -> int:
-    """How many first n-grams, in any common order, hold one that two linked sets share.
+    """The length of a prefix that leaves out so few n-grams that ``shares`` of any link's are in it.
 
-    The overlap of linked sets is at least ``percent`` of the size of each.
+    Of two linked sets take the one whose prefix ends first: it lacks ``least_overlap - shares`` n-grams, so of
+    those in common at least ``shares`` are in it, and in the other prefix, which goes on beyond.
     """
-    return n - -(-percent * n // 100) + 1 if n else 0
+    return min(n, n - least_overlap(n, percent) + shares(n)) if n else 0
 
 
-def _levels(docs: DataFrame, n: int) -> tuple[np.ndarray, float]:
-    """About how frequent the n-grams on each column of a sketch of fixed size are, as twice the logarithm.
+def _shares(n: Column) -> Column:
+    return F.greatest(F.lit(1), F.floor(n / 12))
 
-    Also the count that a column has on average.
-    """
-    limit_batches(docs.sparkSession)
 
-    def run(batches):
-        shingler, seen = Shingler(n), np.zeros(SKETCH, np.int64)
-        for batch in batches:
-            for piece in slices(batch, "text"):
-                sets = [shingler.set_of(t) for t in raw(piece)]
-                if sets:
-                    seen += np.bincount((np.concatenate(sets) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
-        some = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(seen[some], pa.int64())], names=["slot", "n"])
-    counts = docs.select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).where("n > 1")
-    table = counts.toArrow()  # at most SKETCH rows of two numbers
-    out = np.zeros(SKETCH, np.int64)
-    out[table.column("slot").to_numpy()] = table.column("n").to_numpy()
-    return np.minimum(2 * np.log2(out + 1), 2 ** _LEVEL_BITS - 1).astype(np.uint8), float(out.mean())
-
-
-def _rows(docs: DataFrame, n: int, percent: int, levels: np.ndarray) -> DataFrame:
-    """doc_id, size of the set, its 128-bit identity and its prefix, for every row of ``docs``."""
+def _least(n: Column, percent: int) -> Column:
+    return F.ceil(n * percent / 100)
+
+
+def _rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """doc_id, size and 64-bit identity of the set of every row of ``docs``.
+
+    ``prefix`` is that of the set, where its task met the set first, else empty; ``tail`` is the last of it.
+    """
     def make():
-        shingler = Shingler(n)
+        shingler, known = Shingler(n), set()
 
         def work(batch):
-            sizes, first, second, prefixes = [], [], [], []
-            for text in raw(batch):
+            sizes, sids, tails, prefixes = [], [], [], []
+            for text, doc in zip(raw(batch), batch.column("doc_id").is_valid().to_pylist(), strict=True):
                 grams = shingler.set_of(text)
+                sid = xxhash.xxh3_64_intdigest(grams.tobytes()) - (1 << 63)
+                prefix = grams[:prefix_size(len(grams), percent)]  # sets are sorted by hash
                 sizes.append(len(grams))
-                digest = xxhash.xxh3_128_digest(grams.tobytes())
-                first.append(int.from_bytes(digest[:8], "little", signed=True))
-                second.append(int.from_bytes(digest[8:], "little", signed=True))
-                order = (levels[(grams & np.uint64(SKETCH - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(64 - _LEVEL_BITS)
-                         | grams >> np.uint64(_LEVEL_BITS))
-                keep = prefix_size(len(grams), percent)
-                first_ones = np.partition(order, keep - 1)[:keep] if keep else order
-                prefixes.append((first_ones ^ _SIGN).view(np.int64))  # signed numbers of the same order
+                sids.append(sid)
+                tails.append(int(prefix[-1]) - (1 << 63) if len(prefix) else 0)
+                new = doc and len(prefix) and sid not in known
+                if new:
+                    if len(known) >= KNOWN_SETS:
+                        known.clear()
+                    known.add(sid)
+                prefixes.append(((prefix if new else prefix[:0]) ^ _SIGN).view(np.int64))  # signed numbers of the same order
             return pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()),
-                 pa.array(prefixes, pa.list_(pa.int64()))], names=["doc_id", "n", "s1", "s2", "prefix"])
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(sids, pa.int64()), pa.array(tails, pa.int64()),
+                 pa.array(prefixes, pa.list_(pa.int64()))], names=["doc_id", "n", "sid", "tail", "prefix"])
         return work
-    return map_texts(docs, make, "doc_id long, n long, s1 long, s2 long, prefix array<long>")
+    return map_texts(docs, make, "doc_id long, n long, sid long, tail long, prefix array<long>")
 
 
 def _full_sets(docs: DataFrame, n: int) -> DataFrame:
-    """The whole set of every row."""
+    """The whole set of every row, with its identity."""
     def make():
         shingler = Shingler(n)
 
         def work(batch):
-            sets = [shingler.set_of(t).view(np.int64) for t in raw(batch)]
-            return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "grams"])
+            sets = [shingler.set_of(t) for t in raw(batch)]
+            sids = [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) for s in sets]
+            return pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
+                                              names=["sid", "grams"])
         return work
-    return map_texts(docs, make, "doc_id long, grams array<long>")
+    return map_texts(docs, make, "sid long, grams array<long>")
 
 
-def _can_link(a: str, b: str, percent: int) -> Column:
-    """Whether two sets of these sizes can reach the similarity: the smaller one lies within the larger."""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
-
+def _hot_columns(rows: DataFrame) -> DataFrame:
+    """Columns that a sample of the sets takes for longer than CELL_ROWS, with the number of cells to deal them to."""
+    sets = rows.where("size(prefix) > 0").count()
+    part = max(1, sets // SAMPLE_DOCS)
+    seen = rows.where(F.pmod("sid", F.lit(part)) == 0).select(F.explode("prefix").alias("g")).groupBy("g").count()
+    return seen.where(F.col("count") * part > CELL_ROWS).select("g", F.ceil(F.col("count") * part / CELL_ROWS).cast("int").alias("cells"))
 
-def _among(df: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose documents the pairs name."""
-    ids, small = materialize_small(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "pair-ids")
-    return df.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
 
+def _shared_entries(rows: DataFrame) -> DataFrame:
+    """The entries (g, sid) of columns with several sets, each once."""
+    hot, small = materialize_small(_hot_columns(rows), "hot-columns")
+    entries = rows.select("sid", F.explode("prefix").alias("g")).join(F.broadcast(hot) if small else hot, "g", "left")
+    entries = entries.select("g", F.when(F.col("cells").isNotNull(), F.pmod(F.xxhash64("sid"), F.col("cells"))).otherwise(
+        F.lit(-1)).cast("int").alias("cell"), "sid")
 
-def _possible(percent: int) -> Column:
-    """Whether the prefixes ``x`` and ``y`` of sets of ``na`` and ``nb`` n-grams leave a link possible.
-
-    The prefix that ends first is counted in full: beyond it the sets share at most the rest of that set.
+    def run(batches):
+        columns = [np.empty(0, np.int64)] * 3
+        linked = False  # whether the row held back is in one column with the row before it
+        for batch in batches:
+            g, cell, sid = (np.concatenate([held, batch.column(k).to_numpy()]) for k, held in enumerate(columns))
+            if not len(g):
+                continue
+            column = (g[1:] == g[:-1]) & (cell[1:] == cell[:-1])
+            fresh = np.append(True, ~column | (sid[1:] != sid[:-1]))  # copies of a set lie side by side
+            g, cell, sid = g[fresh], cell[fresh], sid[fresh]
+            column = (g[1:] == g[:-1]) & (cell[1:] == cell[:-1])
+            before = np.append(linked, column)
+            keep = before | np.append(column, False) | (cell >= 0)
+            columns, linked = [x[-1:] for x in (g, cell, sid)], bool(before[-1])
+            yield _batch(g=g[:-1][keep[:-1]], sid=sid[:-1][keep[:-1]])
+        g, cell, sid = columns
+        if len(g) and (linked or cell[0] >= 0):
+            yield _batch(g=g, sid=sid)
+    return entries.repartition("g", "cell").sortWithinPartitions("g", "cell", "sid").mapInArrow(run, "g long, sid long")
+
+
+def _batch(**columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns.values()], names=list(columns))
+
+
+def _counted(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """Equal pairs as one, with their number."""
+    a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    first = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+    return _batch(a=a[first], b=b[first], c=np.diff(np.append(first, len(a))))
+
+
+def _product(entries: DataFrame, percent: int) -> DataFrame:
+    """In how many of the columns two rows of possible sizes meet: a < b and c, by blocks of columns.
+
+    ``entries`` are g, sid, n and ``component``; rows of one component are not paired.
     """
-    rest = F.when(F.array_max("x") <= F.array_max("y"), F.col("na") - F.size("x")).otherwise(F.col("nb") - F.size("y"))
-    return (F.size(F.array_intersect("x", "y")) + rest) * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
+    def run(batches):
+        held = [np.empty(0, np.int64)] * 4
+        pairs, waiting = [], 0
+
+        def multiply(g, sid, n, component):
+            """The pairs of each column, by their distance in it."""
+            nonlocal waiting
+            here, step = np.arange(len(g)), 1
+            while len(here := here[:np.searchsorted(here, len(g) - step)]):
+                here = here[g[here + step] == g[here]]
+                a, b = here, here + step
+                ok = np.minimum(n[a], n[b]) * 100 >= np.maximum(n[a], n[b]) * percent
+                ok &= component[a] != component[b]
+                if ok.any():
+                    pairs.append((sid[a[ok]], sid[b[ok]]))
+                    waiting += int(ok.sum())
+                step += 1
+                if waiting >= BLOCK_PAIRS:
+                    yield _counted(pairs)
+                    pairs.clear()
+                    waiting = 0
+
+        for batch in batches:
+            columns = [np.concatenate([h, batch.column(k).to_numpy()]) for k, h in enumerate(held)]
+            if not len(columns[0]):
+                continue
+            cut = int(np.searchsorted(columns[0], columns[0][-1]))  # the last column may go on in the next batch
+            held = [c[cut:] for c in columns]
+            yield from multiply(*[c[:cut] for c in columns])
+        yield from multiply(*held)
+        if pairs:
+            yield _counted(pairs)
+    dealt = entries.select("g", "sid", "n", "component").repartition("g").sortWithinPartitions("g", "sid")
+    return dealt.mapInArrow(run, "a long, b long, c long").groupBy("a", "b").agg(F.sum("c").alias("c"))
+
+
+def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that sizes and counts leave possible. ``c`` is what they share at most in their prefixes."""
+    def of(name):
+        return sets.select(F.col("sid").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "tail", "long", "rep")])
+    both = pairs.join(of("a"), "a").join(of("b"), "b")
+    most = F.col("c") + F.least("long_a", "long_b")
+    enough = most >= F.least(_shares(F.col("n_a")), _shares(F.col("n_b")))
+    # The prefix that ends first is counted in full: beyond it the sets share at most the rest of that set.
+    beyond = lambda n: _least(n, percent) - _shares(n)
+    rest = F.when(F.col("tail_a") <= F.col("tail_b"), beyond(F.col("n_a"))).otherwise(beyond(F.col("n_b")))
+    possible = (most + F.greatest(rest, F.lit(0))) * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+    return both.where(_can_link("n_a", "n_b", percent) & enough & possible).select("a", "b", "c", "rep_a", "rep_b")
 
 
-def _prefixes(rows: DataFrame, name: str, size: str, prefix: str) -> DataFrame:
-    return rows.select(F.col("doc_id").alias(name), F.col("n").alias(size), F.col("prefix").alias(prefix))
+def _can_link(a: str, b: str, percent: int) -> Column:
+    """Whether two sets of these sizes can reach the similarity: the smaller one lies within the larger."""
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) whose sets reach the similarity, by their exact overlap."""
-    some = _among(rows, pairs)
-    pairs = materialize(pairs.join(_prefixes(some, "b", "nb", "y"), "b").join(_prefixes(some, "a", "na", "x"), "a")
-                        .where(_possible(percent)).select("a", "b").distinct(), "pairs")
-    sets = materialize(_full_sets(_among(docs, pairs), n), "sets")
-    both = (pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("y")), "b")
-            .join(sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("x")), "a"))
+def _verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Edges (a, b) between representatives: those pairs of sets that reach the similarity by their exact overlap."""
+    wanted, small = materialize_small(pairs.select(F.col("rep_a").alias("doc_id")).union(pairs.select("rep_b")).distinct(), "pair-ids")
+    texts = docs.join(F.broadcast(wanted) if small else wanted, "doc_id", "left_semi")
+    sets = materialize(_full_sets(texts, n), "sets")
+    both = (pairs.join(sets.select(F.col("sid").alias("b"), F.col("grams").alias("y")), "b")
+            .join(sets.select(F.col("sid").alias("a"), F.col("grams").alias("x")), "a"))
     overlap = F.size(F.array_intersect("x", "y"))
-    return materialize(both.where(overlap * 100 >= (F.size("x") + F.size("y") - overlap) * percent).select("a", "b"), "links")
-
-
-def _labelled(shared: DataFrame, links: DataFrame) -> DataFrame:
-    """The rows of columns that still hold several components, each with its own."""
-    labels = connected(links)
-    rows = (shared.join(labels.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left")
-            .withColumn("component", F.coalesce("component", "doc_id")))
-    mixed = (rows.groupBy("g").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-             .where("low <> high").select("g"))
-    return materialize(rows.join(mixed, "g", "left_semi"), "mixed")
-
-
-def links(docs: DataFrame, rows: DataFrame, mean: float, n: int, percent: int) -> DataFrame:
-    """Edges (a, b) that join the documents of each component, every one a copy or a verified link."""
-    equal = (rows.where("n > 0 and doc_id is not null").groupBy("s1", "s2")
-             .agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a <> z"))
-    copies = materialize(rows.where("n > 0").join(equal, ["s1", "s2"]).where("doc_id <> a")
-                         .select("s1", "s2", "a", F.col("doc_id").alias("b")).distinct(), "copies")
-    alone = rows.where("n > 0 and doc_id is not null").join(
-        copies.select("s1", "s2", F.col("b").alias("doc_id")), ["s1", "s2", "doc_id"], "left_anti")
-    text = ["doc_id", "s1", "s2"]  # one doc_id may have several texts, each with a prefix of its own
-    # A column that the sketch takes for a long one is dealt to several cells; their first rows meet again.
-    level = F.shiftright("g", 64 - _LEVEL_BITS) + 2 ** (_LEVEL_BITS - 1)
-    cells = F.greatest(F.lit(1), F.ceil((F.pow(F.lit(2.0), level / 2) - mean) / CELL_ROWS))
-    entries = (alone.select(*text, "n", F.explode("prefix").alias("g"))
-               .withColumn("cell", F.pmod(F.xxhash64("doc_id"), cells)))
-    run = Window.partitionBy("g", "cell").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing)
-    led = entries.select("g", *text, "n", F.first("doc_id").over(run).alias("lead"), F.first("n").over(run).alias("lead_n"),
-                         F.count("*").over(run).alias("held")).withColumn("cells", cells)
-    shared = materialize(led.where("held > 1 or cells > 1"), "columns")
-    heads = Window.partitionBy("g").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing)
-    met = (shared.where("doc_id = lead and cells > 1")
-           .select(F.first("doc_id").over(heads).alias("lead"), F.first("n").over(heads).alias("lead_n"), "doc_id", "n"))
-    stars = shared.select("lead", "lead_n", "doc_id", "n").unionByName(met)
-    tested = _ordered(stars.where(_can_link("lead_n", "n", percent)), "lead", "doc_id")
-    found = _verified(tested, rows, docs, n, percent)
-    shared = shared.where("held > 2 or cells > 1").select("g", *text, "n")  # of two rows, the one pair is tested
-    mixed = _labelled(shared, found).join(rows.select(*text, "prefix").dropDuplicates(text), text)
-    one = mixed.select("g", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("prefix").alias("x"))
-    two = mixed.select("g", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("prefix").alias("y"))
-    # A pair shares many columns; it is taken in the first of them, and only if a link is possible.
-    left = (one.join(two, "g").where(
-        (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _can_link("na", "nb", percent)
-        & (F.array_min(F.array_intersect("x", "y")) == F.col("g")) & _possible(percent))
-        .select("a", "b").join(tested, ["a", "b"], "left_anti"))
-    more = _verified(materialize(left.distinct(), "left"), rows, docs, n, percent)
-    return copies.select("a", "b").union(found).union(more)
-
-
-def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Pairs of different documents, the smaller one first, each once."""
-    return materialize(df.where(F.col(x) != F.col(y)).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct(),
-                       "tested")
+    return materialize(both.where(overlap * 100 >= (F.size("x") + F.size("y") - overlap) * percent).select(
+        F.col("rep_a").alias("a"), F.col("rep_b").alias("b")), "links")
+
+
+def _placed(sets: DataFrame, edges: DataFrame) -> DataFrame:
+    """``sets`` with the component of each one's representative so far."""
+    found = connected(edges).withColumnRenamed("id", "rep")
+    return sets.drop("component").join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+
+
+def _apart(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose sets are in different components."""
+    of = lambda x: sets.select(F.col("sid").alias(x), F.col("component").alias(f"component_{x}"))
+    return pairs.join(of("a"), "a").join(of("b"), "b").where("component_a <> component_b").drop("component_a", "component_b")
+
+
+def links(docs: DataFrame, rows: DataFrame, reps: DataFrame, n: int, percent: int) -> DataFrame:
+    """Edges (a, b) between representatives of sets that join the sets of each component, all of them verified links."""
+    shared = materialize(_shared_entries(rows), "shared")
+    needed = _shares(_least(F.col("n"), percent))  # even with the smallest set it may be linked to
+    enough = shared.groupBy("sid").agg(F.count("*").alias("m")).join(reps, "sid").where(F.col("m") >= needed)
+    enough = materialize(enough.select("sid", "n", "tail", "rep"), "candidates")
+    # Only columns in which several such rows are left take part.
+    kept = shared.join(enough.select("sid"), "sid", "left_semi")
+    size = kept.groupBy("g").agg(F.count("*").alias("k"), F.min("sid").alias("lead")).where("k > 1")
+    entries = materialize(kept.join(size, "g").withColumn("is_long", F.col("k") > LONG).join(enough, "sid"), "entries")
+    long = entries.where("is_long").groupBy("sid").agg(F.count("*").alias("long"))
+    sets = materialize(enough.join(long, "sid", "left").withColumn("long", F.coalesce("long", F.lit(0).cast("long"))), "sets")
+
+    alone = entries.where(~F.col("is_long")).withColumn("component", F.col("sid"))
+    stars = entries.where("is_long and lead <> sid").select(F.col("lead").alias("a"), F.col("sid").alias("b"), F.lit(0).cast("long").alias("c"))
+    counted = _product(alone, percent).union(stars).groupBy("a", "b").agg(F.sum("c").alias("c"))
+    pairs = materialize(_bounded(counted, sets, percent), "pairs")
+    # Each row with the one it shares most with, which joins most groups of near copies.
+    best = materialize(pairs.groupBy("b").agg(F.max_by(F.struct("a", "rep_a", "rep_b"), F.struct("c", "a")).alias("p")).select(
+        "p.a", "b", "p.rep_a", "p.rep_b"), "best")
+    found = _verified(best, docs, n, percent)
+    placed = materialize(_placed(sets, found), "placed")
+    rest = materialize(_apart(pairs.join(best, ["a", "b"], "left_anti"), placed), "pairs-left")
+    both = found if rest.isEmpty() else found.union(_verified(rest, docs, n, percent))
+    # Pairs that meet in long columns only need enough of these.
+    if entries.where("is_long").isEmpty():
+        return both
+    placed = materialize(_placed(sets, both), "placed").where(F.col("long") >= needed)
+    longs = entries.where("is_long").select("g", "sid").join(placed, "sid")
+    mixed = longs.groupBy("g").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("g")
+    unlike = _product(longs.join(mixed, "g", "left_semi"), percent)
+    last = materialize(_bounded(unlike, sets.withColumn("long", F.lit(0).cast("long")), percent).join(pairs, ["a", "b"], "left_anti"), "pairs-long")
+    return both if last.isEmpty() else both.union(_verified(last, docs, n, percent))
 
 
 def join_components(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
@@ -233,16 +321,36 @@ def join_components(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame
     ``percent`` percent of their union. Returns doc_id, n_shingles and component_id, the smallest doc_id that
     links lead to, for every row. A text that is null or has no word has an empty set and links with nothing.
     Rows of one doc_id are one document, linked by any of their texts; a row without a doc_id has no
-    component and links nothing. An empty table gives no rows; other columns are not read. N-grams are told
-    apart by 64-bit hashes, equal sets by 128 bits of their hashes.
+    component and links nothing. An empty table gives no rows; other columns are not read. N-grams and equal
+    sets are told apart by 64-bit hashes. Documents of one set are represented by the smallest doc_id of them.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    levels, mean = _levels(docs, n)
-    rows = materialize(_rows(docs, n, percent, levels), "incidence")
-    components = connected(links(docs.where("doc_id is not null"), rows, mean, n, percent))
-    return (rows.select("doc_id", F.col("n").alias("n_shingles"))
-            .join(components.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
+    rows = materialize(_rows(docs, n, percent), "incidence")
+    named = rows.where("n > 0 and doc_id is not null")
+    reps = materialize(named.groupBy("sid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("tail").alias("tail")), "reps")
+    edges = links(docs.where("doc_id is not null"), rows, reps, n, percent)
+    # A doc_id with several texts joins their sets.
+    several = named.groupBy("doc_id").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low <> high")
+    own = named.join(several.select("doc_id"), "doc_id", "left_semi").select("doc_id", "sid").distinct().join(reps, "sid")
+    edges = edges.union(own.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+    found = connected(edges).withColumnRenamed("id", "rep")
+    parts = reps.select("sid", "rep").join(found, "rep", "left").select("sid", F.coalesce("component", "rep").alias("component_id"))
+    told = rows.select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("sid")).alias("sid"))
+    told = told.join(parts, "sid", "left")
+    # An empty text of a doc_id that has others belongs to them too.
+    odd = named.select("doc_id").join(rows.where("n = 0 and doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi").distinct()
+    return _with_others(told, materialize(odd, "odd-ids"))
+
+
+def _with_others(told: DataFrame, odd: DataFrame) -> DataFrame:
+    """Fill in the component of empty rows: that of the other rows of their doc_id, else the doc_id."""
+    own = F.coalesce("component_id", "doc_id").alias("component_id")
+    if odd.isEmpty():
+        return told.select("doc_id", "n_shingles", own)
+    others = told.where("component_id is not null").join(odd, "doc_id", "left_semi").groupBy("doc_id").agg(
+        F.min("component_id").alias("other"))
+    return told.join(others, "doc_id", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component_id", "other", "doc_id").alias("component_id"))
 
 
 def drop_linked(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:

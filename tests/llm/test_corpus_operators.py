@@ -26,7 +26,9 @@ def union(n, pairs):
     return [find(i) for i in range(n)]
 
 
-def test_components(spark):
+@pytest.mark.parametrize("in_task", [0, 1000])
+def test_components(spark, monkeypatch, in_task):
+    monkeypatch.setattr(components, "EDGES_IN_TASK", in_task)
     pairs = [(i, i + 1) for i in range(40)] + [(50, k) for k in range(60, 90)] + [(95, 95), (60, 50), (50, 60)]
     got = {r["id"]: r["component"] for r in components.connected(spark.createDataFrame([*pairs, (None, 3)], "a long, b long")).collect()}
     expected = union(100, pairs)
@@ -50,8 +52,11 @@ def near_copies():
     return out
 
 
-def test_jaccard_components(docs, odd_texts, monkeypatch):
-    monkeypatch.setattr(jaccard, "CELL_ROWS", 4)  # long columns are dealt to several cells
+@pytest.mark.parametrize("cell, long", [(4, 3), (1 << 18, 64), (1 << 18, 8)])
+def test_jaccard_components(docs, odd_texts, monkeypatch, cell, long):
+    monkeypatch.setattr(jaccard, "CELL_ROWS", cell)  # small ones: columns are dealt to several cells
+    monkeypatch.setattr(jaccard, "LONG", long)  # and their pairs formed only where a star left components apart
+    monkeypatch.setattr(jaccard, "BLOCK_PAIRS", 50)
     shared = prose(9, 60)
     texts = [*odd_texts, *near_copies(), *(prose(100 + i, 25) + " " + shared for i in range(20)), "one two", "One  two\n", "two one", *near_copies()[:3]]
     sets = [words_set(t) for t in texts]
@@ -74,8 +79,7 @@ def test_jaccard_odd_ids(docs):
     assert jaccard.join_components(docs([])).count() == 0
 
 
-def test_jaccard_ids_with_several_texts(docs, monkeypatch):
-    monkeypatch.setattr(jaccard, "_levels", lambda docs, n: (np.zeros(jaccard.SKETCH, np.uint8), 0.0))  # any order will do
+def test_jaccard_ids_with_several_texts(docs):
     rows = []
     for k in range(40):  # a document of two texts, a link of the second one, and a document that may lead their columns
         base = prose(500 + k, 60)
@@ -89,15 +93,28 @@ def test_jaccard_ids_with_several_texts(docs, monkeypatch):
     assert len(got) == len(rows) and all(r["component_id"] == expected[r["doc_id"]] for r in got)
 
 
-def test_sketch_counts_all_documents(docs):
-    levels, mean = jaccard._levels(docs(["one two three four five"] * 40, [None, *range(39)]), 5)
-    assert levels.max() == int(2 * np.log2(41)) and mean * jaccard.SKETCH == 40
-
-
-def test_prefix_holds_a_shared_gram():
-    for n in range(1, 200):
-        least = -(-75 * n // 100)
-        assert jaccard.prefix_size(n, 75) + least == n + 1
+def test_prefixes_of_links_share_enough():
+    rng = np.random.default_rng(4)
+    for n in range(1, 400):
+        first = rng.choice(10 ** 9, n, replace=False)
+        kept = max(jaccard.least_overlap(n, 75), 1)
+        second = np.append(rng.permutation(first)[:kept], rng.choice(10 ** 9, int(rng.integers(0, n // 16 + 1)), replace=False))
+        both = len(np.intersect1d(first, second))
+        if 100 * both < 75 * len(np.union1d(first, second)):
+            continue
+        x, y = (np.sort(s)[:jaccard.prefix_size(len(s), 75)] for s in (first, second))
+        assert len(np.intersect1d(x, y)) >= min(jaccard.shares(len(first)), jaccard.shares(len(second)))
+
+
+def test_jaccard_links_across_long_columns_only(docs, monkeypatch):
+    # Every document is made of lines that many hold, so that no short column is left.
+    monkeypatch.setattr(jaccard, "LONG", 3)
+    lines = [prose(600 + i, 12) for i in range(14)]
+    texts = [" ".join(lines[(start + k) % 14] for k in range(length)) for length in (8, 9, 10) for start in range(14)]
+    sets = [words_set(t) for t in texts]
+    expected = union(len(texts), [(i, j) for i in range(len(texts)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])])
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.join_components(docs(texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == expected
 
 
 def plain_lines(texts, ids):
