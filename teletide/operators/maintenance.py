@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from teletide.functions import times
 from teletide.functions.attrs import columns
 from teletide.model import NS_PER_DAY, time_column
-from teletide.sources import files
+from teletide.sources import files, traceindex
 
 TARGET_FILE_BYTES = 512 << 20
 _DAY_IN_PATH = r"day=(\d{4}-\d{2}-\d{2})"
@@ -37,7 +37,10 @@ def compact(spark: SparkSession, name: str, path: str, codec: str = "zstd",
     files is stored beside it, and only then are the new files moved in and exactly the listed ones deleted;
     files that another writer adds meanwhile stay. What a broken-off run left is finished first, so run one
     compaction of a table at a time. A reader may see rows twice between the move and the deletion, never too few.
+    Spans stay on their days, so their trace index remains as it is, but for its parts being merged too.
     """
+    if name == "spans":
+        traceindex.compact(spark, path)
     for left in files.children(spark, f"{path}/_compaction"):
         _swap(spark, left, path)
     small = data_files(spark, path).where(F.col("bytes") * 2 < target_bytes)
@@ -58,7 +61,8 @@ def compact(spark: SparkSession, name: str, path: str, codec: str = "zstd",
         tasks = sum({r["day"]: r["outputs"] for r in rows}.values())
         df = df.repartition(tasks, "day") if rows is single else df.repartitionByRange(
             tasks, "day", time, F.xxhash64(*columns(df.columns)))
-        df.sortWithinPartitions("day", time).write.option("compression", codec).partitionBy("day").parquet(f"{work}/{part}")
+        writer = df.sortWithinPartitions("day", time).write.option("compression", codec).partitionBy("day")
+        (traceindex.bloom_options(writer) if name == "spans" else writer).parquet(f"{work}/{part}")
         parts.append(part)
     # The stored list is the point from which on a repeated run finishes the work instead of dropping it.
     spark.createDataFrame([(r["path"],) for r in merged], "path string").write.parquet(f"{work}/merged")
@@ -71,8 +75,7 @@ def _swap(spark: SparkSession, work: str, path: str) -> int:
     if files.finished(spark, f"{work}/merged"):
         for part in ("single", "ranged"):
             created += files.publish(spark, f"{work}/{part}", path)
-        for row in spark.read.parquet(f"{work}/merged").collect():
-            files.delete(spark, row["path"])
+        files.delete_all(spark, [r["path"] for r in spark.read.parquet(f"{work}/merged").collect()])
     files.delete(spark, work)
     return created
 
@@ -94,10 +97,7 @@ def days_to_drop_by_bytes(stored: DataFrame, max_bytes: int) -> DataFrame:
 def drop_days(spark: SparkSession, path: str, days: DataFrame) -> dict[str, int]:
     """Delete the day partitions listed in ``days`` (columns ``day`` and ``bytes``)."""
     doomed = days.collect()  # one row per day partition
-    jvm = spark.sparkContext._jvm
-    for row in doomed:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/day={row['day'].isoformat()}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    files.delete_all(spark, [f"{path}/day={r['day'].isoformat()}" for r in doomed])
     return {"days_dropped": len(doomed), "bytes_freed": sum(r["bytes"] for r in doomed)}
 
 
@@ -134,8 +134,10 @@ def segments(df: DataFrame, name: str) -> DataFrame:
 
 
 def snapshot(spark: SparkSession, path: str, target: str) -> dict[str, object]:
-    """Copy a table folder as one job that reads a fixed file listing."""
+    """Copy a table folder as one job that reads a fixed file listing; a trace index is made anew."""
     rows = spark.read.option("mergeSchema", "true").parquet(path)
     writer = rows.write.mode("errorifexists")
     (writer.partitionBy("day") if "day" in rows.columns else writer).parquet(target)
+    if traceindex.exists(spark, path):
+        traceindex.rebuild(spark, target)
     return {"dir": target, "segments": data_files(spark, target).count()}

@@ -5,10 +5,13 @@ The grid is cut into cells of width ``gcd(step, range)`` whose edges fall on eve
 window is an exact union of cells. Samples are summarised per (series, cell) first, which a partial
 aggregation does before the shuffle.
 
-A window is then described by its earliest and its newest cell: with running totals over the cells of
-a series, counts and growth are differences between the two. Each cell is the newest for a stretch of
-steps, up to the one where its successor takes over, and the earliest for another. So the work grows
-with the cells and the result, however many steps a window spans.
+A window is then described by its earliest and its newest cell. Counts of lines are differences between
+running totals over the cells of a series. Counter growth, where a large reading would swallow the small
+ones after it, is never subtracted: the cells are taken in blocks as long as a window, which so lies in two
+blocks at most, and its growth is the total from its earliest cell to the end of the one and from the
+start of the other to its newest cell. Each cell is the newest for a stretch of steps, up to the one where
+its successor takes over, and the earliest for another. So the work grows with the cells and the result,
+however many steps a window spans.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from teletide.operators.logs import LogQuery, filter_logs, query_logs
 
 LOOKBACK = 5 * NS_PER_MINUTE
 DEFAULT_LINES = 1000
-# Samples of one series within a cell are sorted together, so counter cells are kept this short.
+# Samples of one series within a cell are sorted together, so counter cells are cut into parts this short.
 COUNTER_CELL = 10 * NS_PER_MINUTE
 
 
@@ -49,28 +52,30 @@ class Grid:
         """Index of the last step."""
         return (self.end - self.start) // self.step
 
-    def width(self, window: int, at_most: int | None = None) -> int:
-        """Cell width: the common divisor of step and range, or a part of it up to ``at_most``."""
+    def width(self, window: int) -> int:
+        """Cell width: the common divisor of step and range."""
         if window <= 0:
             raise ValueError("the range must be positive")
-        widest = gcd(self.step, window)
-        if at_most is None or widest <= at_most:
-            return widest
-        fewest = -(-widest // at_most)
-        parts = (k for k in range(fewest, 1000 * fewest) if widest % k == 0)
-        return widest // next(parts, 1)
+        return gcd(self.step, window)
 
     def reachable(self, ts: Column, window: int) -> Column:
         """Samples that some window of the grid covers."""
         return (ts > self.start - window) & (ts <= self.start + self.last * self.step)
 
-    def cell(self, ts: Column, width: int) -> Column:
-        """Number of the cell holding ``ts``; cell c ends at ``start + c * width``, inclusive."""
-        return times.ceil_div(ts - F.lit(self.start), width)
+    def cell(self, ts: Column, width: int, parts: int = 1) -> Column:
+        """Number of the cell holding ``ts``; cell c ends at ``start + c * width``, inclusive.
 
-    def reaching(self, cells: DataFrame, window: int, width: int) -> DataFrame:
+        Cells cut into ``parts`` are numbered through; parts are equally long but for the first of each cell.
+        """
+        whole = times.ceil_div(ts - F.lit(self.start), width)
+        if parts == 1:
+            return whole
+        left = whole * width + F.lit(self.start) - ts  # to the end of the cell
+        return whole * parts - times.floor_div(left, -(-width // parts))
+
+    def reaching(self, cells: DataFrame, window: int, width: int, parts: int = 1) -> DataFrame:
         """Cells that lie in some window, with the first and last step (``_from``, ``_to``) they reach."""
-        per_step, per_window = self.step // width, window // width
+        per_step, per_window = self.step // width * parts, window // width * parts
         first = F.greatest(times.ceil_div(F.col("cell"), per_step), F.lit(0))
         last = F.least(times.floor_div(F.col("cell") + F.lit(per_window - 1), per_step), F.lit(self.last))
         return cells.withColumns({"_from": first, "_to": last}).where("_from <= _to")
@@ -163,14 +168,16 @@ def _counter_windows(points: DataFrame, metric: str, grid: Grid, window: int, po
     """Per series and step: sample count, first and last sample, reset-corrected growth.
 
     Growth inside a cell comes from a window over (series, cell); growth between neighbouring cells
-    is added on the summaries. A long or busy series is thus cut at the cell edges.
+    is added on the summaries. A long or busy series is thus cut at the cell edges, and its cells at the
+    edges of blocks.
     """
-    width = grid.width(window, COUNTER_CELL)
+    width = grid.width(window)
+    parts = -(-width // COUNTER_CELL)
     value = F.col("value")
     bad = F.isnan(value) | (F.abs(value) == float("inf"))
-    # Running totals must stay finite, so such samples are counted and left out of the growth.
+    # Such samples are counted and left out of the growth.
     samples = _samples(points, metric, grid, window, policy).withColumns({
-        "cell": grid.cell(F.col("point_time"), width),
+        "cell": grid.cell(F.col("point_time"), width, parts),
         "bad": bad.cast("int"), "value": F.when(~bad, value)})
     inside = Window.partitionBy("labels", "cell").orderBy("point_time")
     before = F.lag("value").over(inside)
@@ -183,21 +190,41 @@ def _counter_windows(points: DataFrame, metric: str, grid: Grid, window: int, po
         F.min_by("value", "point_time").alias("first_value"),
         F.max("point_time").alias("last_at"),
         F.max_by("value", "point_time").alias("last_value"))
-    cells = grid.reaching(cells, window, width)
+    cells = grid.reaching(cells, window, width, parts)
     previous = F.lag("last_value").over(Window.partitionBy("labels").orderBy("cell"))
     crossed = F.coalesce(_counter_delta(F.col("first_value"), previous), F.lit(0.0))
-    cells = cells.withColumn("gain", F.col("grown") + crossed)
-    cells = cells.withColumns({f"{c}_upto": _totals(c, "labels") for c in ("n", "bad", "gain")})
-    ends = _ends(grid, cells, "labels", first={
-        "first_at": F.col("first_at"), "first_value": F.col("first_value"),
-        # The first cell counts from its own first sample on.
-        "n_before": F.col("n_upto") - F.col("n"), "bad_before": F.col("bad_upto") - F.col("bad"),
-        "gain_before": F.col("gain_upto") - F.col("grown"),
-    }, last={"last_at": F.col("last_at"), "n_last": F.col("n_upto"), "bad_last": F.col("bad_upto"),
-             "gain_last": F.col("gain_upto")})
-    growth = F.when(F.col("bad_last") > F.col("bad_before"), float("nan")).otherwise(
-        F.col("gain_last") - F.col("gain_before"))
-    return ends.withColumns({"n": F.col("n_last") - F.col("n_before"), "growth": growth})
+    cells = cells.withColumns({"crossed": crossed, "block": times.floor_div(F.col("cell"), window // width * parts)})
+    ends = _ends(grid, _in_blocks(cells), "labels", first={
+        "first_at": F.col("first_at"), "first_value": F.col("first_value"), "first_block": F.col("block"),
+        "opens": F.col("opens"), **{f"{c}_from": F.col(f"{c}_from") for c in ("n", "bad", "gain")},
+    }, last={"last_at": F.col("last_at"), "last_block": F.col("block"), "entered": F.col("entered"),
+             **{f"{c}_upto": F.col(f"{c}_upto") for c in ("n", "bad", "gain")}})
+
+    def total(name: str, between: Column) -> Column:
+        """Over the window. One that begins inside a block holds the rest of it; of its earliest cell only
+        what came after its first sample counts."""
+        one = F.when(F.col("opens"), F.col(f"{name}_upto")).otherwise(F.col(f"{name}_from"))
+        return F.when(F.col("first_block") == F.col("last_block"), one).otherwise(
+            F.col(f"{name}_from") + between + F.col(f"{name}_upto"))
+    growth = F.when(total("bad", F.lit(0)) > 0, float("nan")).otherwise(total("gain", F.col("entered")))
+    return ends.withColumns({"growth": growth, "n": total("n", F.lit(0))})
+
+
+def _in_blocks(cells: DataFrame) -> DataFrame:
+    """Totals of each cell with those before it in its block (``_upto``) and those after it (``_from``).
+
+    ``opens`` marks the first cell of a block, whose growth since the cell before, ``entered``, is in neither.
+    """
+    block = Window.partitionBy("labels", "block")
+    before = block.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+    after = block.orderBy("cell").rowsBetween(1, Window.unboundedFollowing)
+    opens = F.col("cell") == F.first("cell").over(before)
+    gain = F.col("grown") + F.when(F.col("_opens"), 0.0).otherwise(F.col("crossed"))
+    cells = cells.withColumn("_opens", opens).withColumn("_gain", gain)
+    both = {f"{name}_{end}": total for name, own, all_ in (("n", "n", "n"), ("bad", "bad", "bad"), ("gain", "grown", "_gain"))
+            for end, total in (("upto", F.sum(all_).over(before)),
+                               ("from", F.col(own) + F.coalesce(F.sum(all_).over(after), F.lit(0).cast("double" if own == "grown" else "long"))))}
+    return cells.withColumns({**both, "opens": F.col("_opens"), "entered": F.first("crossed").over(before)})
 
 
 def increase(points: DataFrame, metric: str, window: int, grid: Grid,

@@ -53,6 +53,15 @@ query("prom_instant_long", f"""
         df, "events.error.value", ODD, lookback=6 * NS_PER_HOUR, policy=duplicates.LAST_WINS))))
 
 
+# The distances by which a window's growth is carried on to its edges.
+_EXTRAPOLATED = """
+    e AS (SELECT *, CAST(t1 - t0 AS DOUBLE) AS len, CAST(t1 - t0 AS DOUBLE) / (n - 1) AS gap,
+                 CAST(t0 - (ts - {window}) AS DOUBLE) AS a, CAST(ts - t1 AS DOUBLE) AS b FROM w),
+    x AS (SELECT *, CASE WHEN a >= 1.1 * gap THEN gap / 2 ELSE a END AS a2,
+                 CASE WHEN b >= 1.1 * gap THEN gap / 2 ELSE b END AS b2,
+                 CASE WHEN grown > 0 THEN len * v0 / grown END AS z FROM e)"""
+
+
 def _increase_sql(grid: Grid, window: int, divisor: str, digits: int = 6) -> str:
     """Every window computed on its own from the samples it holds."""
     return f"""
@@ -62,11 +71,7 @@ def _increase_sql(grid: Grid, window: int, divisor: str, digits: int = 6) -> str
                  sum(CASE WHEN p IS NULL THEN 0 WHEN v >= p THEN v - p ELSE v END)
                    - arg_min(CASE WHEN p IS NULL THEN 0 WHEN v >= p THEN v - p ELSE v END, t) AS grown
           FROM d JOIN ({_steps(grid)}) g ON t > ts - {window} AND t <= ts GROUP BY labels, ts HAVING count(*) >= 2),
-    e AS (SELECT *, CAST(t1 - t0 AS DOUBLE) AS len, CAST(t1 - t0 AS DOUBLE) / (n - 1) AS gap,
-                 CAST(t0 - (ts - {window}) AS DOUBLE) AS a, CAST(ts - t1 AS DOUBLE) AS b FROM w),
-    x AS (SELECT *, CASE WHEN a >= 1.1 * gap THEN gap / 2 ELSE a END AS a2,
-                 CASE WHEN b >= 1.1 * gap THEN gap / 2 ELSE b END AS b2,
-                 CASE WHEN grown > 0 THEN len * v0 / grown END AS z FROM e)
+    {_EXTRAPOLATED.format(window=window)}
     SELECT labels, ts, round(grown * (len + least(a2, coalesce(z, a2)) + b2) / len / {divisor}, {digits}) AS value FROM x"""
 
 
@@ -76,6 +81,32 @@ query("prom_rate", _increase_sql(HOURLY, 6 * NS_PER_HOUR, str(6 * 3600.0), 10))(
     on("metrics_sum", lambda df: _rounded(R.rate(df, "events_total", 6 * NS_PER_HOUR, HOURLY), 10)))
 query("prom_rate_odd", _increase_sql(ODD, 10 * NS_PER_HOUR, str(10 * 3600.0), 10))(
     on("metrics_sum", lambda df: _rounded(R.rate(df, "events_total", 10 * NS_PER_HOUR, ODD), 10)))
+
+# One reading of 1e18 in each fifty hours, so that many windows follow one closely. A rate above 1e9 is told in
+# billions, to digits that doubles of that size have.
+_SPIKE = f"point_time // {NS_PER_HOUR} % 50 = 7 AND point_time % 3 = 0"
+
+
+@query("prom_rate_spike", f"""
+    WITH s AS (SELECT {_labels('metric')} AS labels, point_time AS t,
+                      CASE WHEN {_SPIKE} THEN 1e18::DOUBLE ELSE value END AS v FROM metrics_sum),
+    d AS (SELECT labels, ts, t, v, lag(v) OVER (PARTITION BY labels, ts ORDER BY t) AS p
+          FROM s JOIN ({_steps(ODD)}) g ON t > ts - {10 * NS_PER_HOUR} AND t <= ts),
+    w AS (SELECT labels, ts, count(*) AS n, min(t) AS t0, max(t) AS t1, arg_min(v, t) AS v0,
+                 sum(CASE WHEN p IS NULL THEN 0 WHEN v >= p THEN v - p ELSE v END) AS grown
+          FROM d GROUP BY labels, ts HAVING count(*) >= 2),
+    {_EXTRAPOLATED.format(window=10 * NS_PER_HOUR)},
+    r AS (SELECT labels, ts, grown * (len + least(a2, coalesce(z, a2)) + b2) / len / 36000.0 AS value FROM x)
+    SELECT labels, ts, value > 1e9 AS spiked, CASE WHEN value > 1e9 THEN round(value / 1e9, 2) ELSE round(value, 9) END AS value FROM r""")
+def prom_rate_spike(spark, root) -> DataFrame:
+    points = warehouse.metrics_sum(spark, root)
+    spike = F.expr(f"point_time div {NS_PER_HOUR} % 50 = 7 AND point_time % 3 = 0")
+    told = R.rate(points.withColumn("value", F.when(spike, 1e18).otherwise(F.col("value"))), "events_total", 10 * NS_PER_HOUR, ODD)
+    big = F.col("value") > 1e9
+    return told.select("labels", "ts", big.alias("spiked"), F.when(big, F.round(F.col("value") / 1e9, 2)).otherwise(
+        F.round("value", 9)).alias("value"))
+
+
 query("prom_sum_by", f"""
     SELECT '{{"service":"' || json_extract_string(labels, '$.service') || '"}}' AS labels, ts,
            round(sum(value), 4) AS value

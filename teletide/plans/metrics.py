@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from teletide.functions.histogram import histogram_quantile
 from teletide.model import NS_PER_DAY, NS_PER_HOUR
@@ -105,6 +105,54 @@ def histogram_quantile_by(spark, root) -> DataFrame:
         histogram_quantile(0.5, F.col("bounds"), F.col("counts")), 9).alias("q"))
 
 
+# The yearly counts as running totals that start over in 1996; the first year of each of the two only serves the next.
+_RESTART = 820_454_400_000_000_000
+_BUCKETS = """
+    u AS (SELECT metric, service, point_time AS t, unnest(bucket_counts) AS n, unnest([10, 20, 30, 40, NULL]) AS le,
+                 unnest([1, 2, 3, 4, 5]) AS i FROM metrics_histogram)"""
+_RUNNING = f"""
+    c AS (SELECT *, sum(n) OVER (PARTITION BY metric, service, i, t >= {_RESTART} ORDER BY t) AS upto FROM u),
+    p AS (SELECT *, lag(upto) OVER (PARTITION BY metric, service, i ORDER BY t) AS before FROM c),
+    r AS (SELECT metric, service, t, bool_or(upto < before) AS restarted FROM p GROUP BY ALL),
+    gains AS (SELECT service AS g0, i, le, CAST(sum(CASE WHEN restarted THEN upto ELSE upto - before END) AS DOUBLE) AS n
+              FROM p JOIN r USING (metric, service, t) WHERE before IS NOT NULL GROUP BY ALL)"""
+
+
+def _cumulative(points: DataFrame) -> DataFrame:
+    series = Window.partitionBy("metric", "service", F.col("point_time") >= _RESTART).orderBy("point_time")
+    upto = F.array(*[F.sum(F.get("bucket_counts", i)).over(series) for i in range(5)])
+    return points.withColumns({"bucket_counts": upto, "temporality": F.lit("cumulative")})
+
+
+def _median(merged: DataFrame) -> DataFrame:
+    return merged.select("g0", F.round(histogram_quantile(0.5, F.col("bounds"), F.col("counts")), 9).alias("q"))
+
+
+query("histogram_quantile_cumulative", f"WITH {_BUCKETS}, {_RUNNING}, {_quantile_sql(0.5, 'gains', 'g0')}")(
+    on("metrics_histogram", lambda df: _median(M.histogram_merge(_cumulative(df), ["service"]))))
+query("histogram_increase", f"WITH {_BUCKETS}, {_RUNNING} SELECT g0, CAST(i AS BIGINT) AS bucket, CAST(n AS BIGINT) AS n FROM gains")(
+    on("metrics_histogram", lambda df: M.histogram_increase(_cumulative(df)).select(
+        F.col("service").alias("g0"), F.posexplode("bucket_counts").alias("i", "n")).groupBy(
+        "g0", (F.col("i") + 1).cast("bigint").alias("bucket")).agg(F.sum("n").alias("n"))))
+
+
+def _coarser(points: DataFrame) -> DataFrame:
+    """The open lines of each service with bounds 20 and 40 only."""
+    n = lambda i: F.get("bucket_counts", i)
+    open_ = F.col("metric") == "line.qty.O"
+    return points.withColumns({
+        "explicit_bounds": F.when(open_, F.array(F.lit(20.0), F.lit(40.0))).otherwise(F.col("explicit_bounds")),
+        "bucket_counts": F.when(open_, F.array(n(0) + n(1), n(2) + n(3), n(4))).otherwise(F.col("bucket_counts"))})
+
+
+query("histogram_quantile_mixed", f"""
+    WITH {_BUCKETS},
+    halves AS (SELECT service AS g0, i, le, metric, n, sum(n) OVER (PARTITION BY metric, service, t, least((i + 1) // 2, 3)) / 2 AS half FROM u),
+    b AS (SELECT g0, i, le, CAST(sum(CASE WHEN metric = 'line.qty.O' AND i < 5 THEN half ELSE n END) AS DOUBLE) AS n FROM halves GROUP BY ALL),
+    {_quantile_sql(0.5, 'b', 'g0')}""")(
+    on("metrics_histogram", lambda df: _median(M.histogram_merge(_coarser(df), ["service"]))))
+
+
 # --- Duplicates ------------------------------------------------------------------------------------
 
 query("duplicate_points", """

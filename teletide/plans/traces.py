@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from teletide.model import NS_PER_DAY
-from teletide.operators import discovery, logs as L, traces as T
+from teletide.operators import discovery, logs as L, maintenance, traces as T
 from teletide.operators.logs import LogQuery
 from teletide.operators.traces import SpanMetricsQuery, TraceQuery
 from teletide.plans.registry import bigints, joined, numbered, on, query
-from teletide.sources import warehouse
+from teletide.session import scratch_dir
+from teletide.sources import tables, warehouse
+from teletide.store import Telemetry
 
 START_1998 = 883_612_800_000_000_000
 START_1999 = 915_148_800_000_000_000
@@ -82,13 +84,13 @@ query("span_red_counts", f"""
 
 # --- Search ----------------------------------------------------------------------------------------
 
-def _search_sql(where: str, limit: str = "") -> str:
+def _search_sql(where: str, limit: str = "", source: str = "spans") -> str:
     return f"""
     SELECT trace_id, arg_min(service, (start_time, span_id)) FILTER (parent_span_id IS NULL) AS root_service,
            arg_min(name, (start_time, span_id)) FILTER (parent_span_id IS NULL) AS root_name,
            min(start_time) AS start_time, max(start_time + duration_ns) - min(start_time) AS duration_ns,
            count(*) AS span_count, bool_or(status_code = 'ERROR') AS error
-    FROM spans GROUP BY trace_id HAVING bool_or({where})
+    FROM {source} GROUP BY trace_id HAVING bool_or({where})
     {limit}"""
 
 
@@ -136,6 +138,48 @@ query("spans_of_matches", f"""
     on("spans", lambda df: T.spans_of(df, _matches(df)).select(*SPAN_COLUMNS)))
 
 
+# --- Stored tables, where the trace index narrows the second scan ------------------------------------
+
+
+# Seven years of days, each a folder, are brought together in some sixty; all starts are midnights, so nothing is lost.
+CALENDAR = 40
+
+
+def _stored(spark, root) -> Telemetry:
+    """The spans written in three batches, the first two compacted."""
+    path = scratch_dir(spark, "stored-spans")
+    spans = warehouse.spans(spark, root).withColumn("start_time", F.expr(f"start_time div {CALENDAR}"))
+    early, even = F.col("start_time") < START_1998 // CALENDAR, F.col("duration_ns") % 2000 == 0
+    tables.write_table(spans.where(early & even), "spans", f"{path}/spans", files=4)
+    tables.write_table(spans.where(early & ~even), "spans", f"{path}/spans", files=4)
+    maintenance.compact(spark, "spans", f"{path}/spans")
+    tables.write_table(spans.where(~early), "spans", f"{path}/spans", files=4)
+    return Telemetry.open(spark, path, ["spans"])
+
+
+def _at_midnight(found: DataFrame) -> DataFrame:
+    return found.withColumn("start_time", F.col("start_time") * CALENDAR)
+
+
+query("search_traces_stored", f"""
+    WITH near AS (SELECT * REPLACE (start_time // {CALENDAR} AS start_time) FROM spans)
+    {_search_sql("service = 'svc-1' AND status_code = 'ERROR' AND duration_ns >= 45000000 "
+                 f"AND start_time >= {START_1998 // CALENDAR} AND start_time < {(START_1998 + MONTH) // CALENDAR}", source="near")}""")(
+    lambda spark, root: _stored(spark, root).search_traces(TraceQuery(
+        service="svc-1", status="ERROR", min_duration_ns=45_000_000, start=START_1998 // CALENDAR,
+        end=(START_1998 + MONTH) // CALENDAR)))
+query("get_trace_stored", f"SELECT {_COLUMNS} FROM spans WHERE trace_id = '{77:032x}'")(
+    lambda spark, root: _at_midnight(_stored(spark, root).get_trace(f"{77:032x}")).select(*SPAN_COLUMNS))
+
+
+@query("spans_of_matches_stored", f"""
+    WITH m AS ({_MATCHED}) SELECT {_COLUMNS} FROM spans WHERE trace_id IN (SELECT trace_id FROM m)""")
+def spans_of_matches_stored(spark, root) -> DataFrame:
+    db = _stored(spark, root)
+    matches = T.spanset_match(db.table("spans"), _SELECTED, START_1998 // CALENDAR, START_1999 // CALENDAR, db.trace_index)
+    return _at_midnight(db.spans_of(matches)).select(*SPAN_COLUMNS)
+
+
 # --- Trees -----------------------------------------------------------------------------------------
 
 query("trace_forest", """
@@ -182,6 +226,14 @@ query("exemplar_spans", """
     lambda spark, root: T.exemplar_spans(
         discovery.metric_exemplars(warehouse.metrics_gauge(spark, root)),
         warehouse.spans(spark, root)).drop("attributes"))
+query("exemplar_spans_stored", """
+    SELECT e.metric, e.time, e.value, e.trace_id, e.span_id, n.name AS span_name, n.service AS span_service,
+           n.start_time, n.duration_ns, n.status_code
+    FROM exemplars e JOIN nodes n ON n.trace_id = e.trace_id AND n.span_id = e.span_id
+    WHERE e.metric = 'events.error.value'""")(
+    lambda spark, root: _at_midnight(T.exemplar_spans(
+        discovery.metric_exemplars(warehouse.metrics_gauge(spark, root), "events.error.value"),
+        *_stored(spark, root).spans_and_index()).drop("attributes")))
 query("trace_logs", f"""
     SELECT record_id, time, service, body, trace_id, row_number() OVER (ORDER BY time, record_id) AS rn
     FROM logs WHERE trace_id = '{8:032x}'""")(

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from teletide.functions import times
 from teletide.functions.attrs import SERVICE_KEYS, columns, json_text, promoted_keys, series_key
 from teletide.model import METRIC_TABLES, RESERVED, SCHEMAS, time_column
+from teletide.sources import files as folders, traceindex
 
 CODECS = ("none", "lz4", "zstd", "snappy")
 
@@ -40,16 +43,48 @@ def with_day(df: DataFrame, name: str) -> DataFrame:
 
 def write_table(df: DataFrame, name: str, path: str, codec: str = "zstd", level: int | None = None,
                 promote_keys: list[str] | None = None, with_series: bool = False,
-                files: int | None = None, mode: str = "append") -> None:
+                files: int | None = None, mode: str = "append", trace_index: bool = True) -> None:
     """Append rows to a table folder, one partition per UTC day.
 
     Rows are ranged by day and time first, so that files cover narrow time spans (which prunes row
     groups later), a busy day is spread over several tasks and a quiet one does not leave a file per
     task. ``files`` sets the number of ranges, by default the session's shuffle partitions with small
     ones merged. ``with_series`` stores the identity of metric series in a column of its own.
+
+    Spans are finished in a staging folder, entered in the table's trace index and then moved in, so that
+    no reader sees a span that the index does not know. Without ``trace_index`` the table has none: a table
+    that has one needs it on every write.
     """
     if codec not in CODECS:
         raise ValueError(f"unknown codec {codec!r}")
+    if name != "spans" or not trace_index:
+        _write_days(df, name, path, codec, level, promote_keys, with_series, files, mode)
+        return
+    spark = df.sparkSession
+    staging = f"{path}/_staging/{uuid.uuid4().hex}"
+    if mode == "append":
+        _write_days(df, name, staging, codec, level, promote_keys, with_series, files, mode)
+        publish_spans(spark, staging, path)
+        folders.delete(spark, staging)
+    else:
+        _write_days(df, name, path, codec, level, promote_keys, with_series, files, mode)
+        traceindex.rebuild(spark, path)
+
+
+def publish_spans(spark: SparkSession, staging: str, path: str) -> None:
+    """Enter the spans of a finished staging folder in the trace index of a table, then move them in.
+
+    Safe to repeat: entries that are there twice mean nothing, and only files not moved yet are left.
+    """
+    if any("/day=" in child for child in folders.children(spark, staging)):  # else there was no row
+        if folders.days(spark, path) and not traceindex.exists(spark, path):
+            traceindex.rebuild(spark, path)  # spans stored before the table had an index
+        traceindex.add(spark.read.parquet(staging).withColumn("day", F.col("day").cast("date")), path)
+        folders.publish(spark, staging, path)
+
+
+def _write_days(df: DataFrame, name: str, path: str, codec: str, level: int | None, promote_keys: list[str] | None,
+                with_series: bool, files: int | None, mode: str) -> None:
     rows = promote(with_day(df, name), promote_keys or [])
     if with_series and name in METRIC_TABLES:
         rows = rows.withColumn(
@@ -60,6 +95,8 @@ def write_table(df: DataFrame, name: str, path: str, codec: str = "zstd", level:
     writer = rows.repartitionByRange(*ranges).sortWithinPartitions("day", time).write
     if codec == "zstd" and level is not None:
         writer = writer.option("parquet.compression.codec.zstd.level", str(level))
+    if name == "spans":
+        writer = traceindex.bloom_options(writer)
     writer.mode(mode).partitionBy("day").option("compression", codec).parquet(path)
 
 

@@ -10,19 +10,20 @@ from teletide.functions.register import register_functions
 from teletide.model import METRIC_TABLES, SCHEMAS, time_column
 from teletide.operators import discovery, duplicates, logs, maintenance, metrics, rangeeval, traces
 from teletide.session import configure
-from teletide.sources import otlp, tables
+from teletide.sources import otlp, tables, traceindex
 
 @dataclass
 class Telemetry:
     """Telemetry tables by name. Tables left out are empty.
 
     ``duplicates`` says what reads of metric series do about repeated points (``error_on_read`` or
-    ``last_wins``).
+    ``last_wins``). ``trace_index`` is that of the stored spans; lookups of traces then read only their days.
     """
 
     spark: SparkSession
     tables: dict[str, DataFrame]
     duplicates: str = duplicates.ERROR_ON_READ
+    trace_index: DataFrame | None = None
 
     def __post_init__(self) -> None:
         configure(self.spark)
@@ -36,7 +37,10 @@ class Telemetry:
     def open(cls, spark: SparkSession, path: str, names: list[str], promoted: list[str] | None = None,
              **options) -> Telemetry:
         """The table folders ``path/<name>``."""
-        return cls(spark, {n: tables.read_table(spark, n, f"{path}/{n}", promoted) for n in names}, **options)
+        found = {n: tables.read_table(spark, n, f"{path}/{n}", promoted) for n in names}
+        if "spans" in names:  # after the spans: what they hold has its entry by then
+            options.setdefault("trace_index", traceindex.read(spark, f"{path}/spans"))
+        return cls(spark, found, **options)
 
     @classmethod
     def from_otlp(cls, spark: SparkSession, **inboxes: str) -> Telemetry:
@@ -126,17 +130,28 @@ class Telemetry:
     # Traces
 
     def get_trace(self, trace_id: str) -> DataFrame:
-        return traces.get_trace(self.tables["spans"], trace_id)
+        return traces.get_trace(self.tables["spans"], trace_id, self.trace_index)
 
     def trace_forest(self, trace_id: str | None = None) -> DataFrame:
         spans = self.get_trace(trace_id) if trace_id else self.tables["spans"]
         return traces.trace_forest(spans)
 
     def search_traces(self, q: traces.TraceQuery) -> DataFrame:
-        return traces.search_traces(self.tables["spans"], q)
+        return traces.search_traces(self.tables["spans"], q, self.trace_index)
 
     def spanset_match(self, q: traces.TraceQuery, start: int = 0, end: int = 0) -> DataFrame:
-        return traces.spanset_lists(traces.spanset_match(self.tables["spans"], q, start, end))
+        return traces.spanset_lists(traces.spanset_match(self.tables["spans"], q, start, end, self.trace_index))
+
+    def spans_and_index(self) -> tuple[DataFrame, DataFrame | None]:
+        """What the functions of ``traces`` take to look traces up."""
+        return self.tables["spans"], self.trace_index
+
+    def spans_of(self, matches: DataFrame) -> DataFrame:
+        return traces.spans_of(self.tables["spans"], matches, self.trace_index)
+
+    def exemplar_spans(self, metric: str, kind: str = "gauge") -> DataFrame:
+        """The exemplars of a metric with the spans they point to."""
+        return traces.exemplar_spans(self.metric_exemplars(metric, kind), self.tables["spans"], self.trace_index)
 
     def span_metrics(self, q: traces.SpanMetricsQuery) -> DataFrame:
         return traces.span_metrics(self.tables["spans"], q)

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from teletide.functions import times
 from teletide.operators.logs import OBSERVED_TIME, LogQuery, filter_logs, query_logs
 from teletide.sources import files, otlp
-from teletide.sources.tables import write_table
+from teletide.sources.tables import publish_spans, write_table
 
 
 def start(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
@@ -116,8 +116,8 @@ def append_batch(batch: DataFrame, name: str, table: str, staging: str, done: st
     if files.exists(spark, done):
         return
     if not files.finished(spark, staging):
-        write_table(batch, name, staging, mode="overwrite")
-    files.publish(spark, staging, table)
+        write_table(batch, name, staging, mode="overwrite", trace_index=False)
+    (publish_spans if name == "spans" else files.publish)(spark, staging, table)
     files.mark(spark, done)
     files.delete(spark, staging)
 

@@ -131,10 +131,46 @@ def test_a_window_far_wider_than_the_step(gauge, logs):
     assert len(counts) == 20_001 and counts[grid.end] == 4.0 and counts[BASE + 2500] == 3.0
 
 
-def test_cell_widths_divide_step_and_range():
+def test_cells_are_cut_into_short_parts():
     grid = Grid(0, 10**18, 3600 * SECOND)
-    assert grid.width(6 * 3600 * SECOND) == 3600 * SECOND
-    assert grid.width(6 * 3600 * SECOND, R.COUNTER_CELL) == 600 * SECOND
-    assert grid.width(5400 * SECOND, R.COUNTER_CELL) == 600 * SECOND
-    assert Grid(0, 10, 7).width(21, 3) == 1
-    assert Grid(0, 10, 10**9 + 7).width(10**9 + 7, 10**9) == 10**9 + 7  # a prime has no fitting part
+    assert grid.width(6 * 3600 * SECOND) == 3600 * SECOND and grid.width(5400 * SECOND) == 1800 * SECOND
+    with pytest.raises(ValueError):
+        grid.width(0)
+
+
+@pytest.mark.parametrize("width, parts", [(10, 3), (7, 7), (10**9 + 7, 10), (5, 1)])
+def test_parts_fill_their_cell_in_order(spark, width, parts):
+    grid = Grid(100, 100 + 4 * width, width)
+    at = [grid.start + c * width + d for c in (-1, 0, 2) for d in sorted({1, 2, width // 2, width - 1, width})]
+    df = spark.createDataFrame([(t,) for t in at], "t long").select(
+        grid.cell(F.col("t"), width).alias("whole"), grid.cell(F.col("t"), width, parts).alias("part"))
+    found = [(r["whole"], r["part"]) for r in df.collect()]
+    assert found == sorted(found)
+    assert all((whole - 1) * parts < part <= whole * parts for whole, part in found)
+
+
+@pytest.mark.parametrize("longest", [1, 4, 10**6])
+def test_growth_whatever_the_parts_of_a_cell(gauge, monkeypatch, longest):
+    monkeypatch.setattr(R, "COUNTER_CELL", longest)
+    rng = random.Random(longest)
+    samples = [(t, float(rng.randrange(100))) for t in sorted(rng.sample(range(-80, 300), 120))]
+    df = gauge([{"metric": "c", "value": v, "point_time": BASE + t} for t, v in samples])
+    for step, window in ((11, 33), (20, 50), (13, 13)):
+        grid = Grid(BASE, BASE + 250, step)
+        expected = {}
+        for ts in range(grid.start, grid.end + 1, step):
+            inside = [v for t, v in samples if ts - window < BASE + t <= ts]
+            if len(inside) >= 2:
+                expected[ts] = (len(inside), sum(b - a if b >= a else b for a, b in zip(inside, inside[1:])))
+        counted = R._counter_windows(df, "c", grid, window, "error_on_read").where("n >= 2")
+        assert {r["ts"]: (r["n"], r["growth"]) for r in counted.collect()} == expected
+
+
+def test_a_large_reading_leaves_later_windows_alone(gauge):
+    values = [0.0, 1e18, *[10.0 * i for i in range(1, 40)]]
+    df = gauge([{"metric": "c", "value": v, "point_time": BASE + i * MINUTE} for i, v in enumerate(values)])
+    for grid in (Grid(BASE + 15 * MINUTE, BASE + 35 * MINUTE, MINUTE), Grid(BASE, BASE + 40 * MINUTE, 5 * MINUTE),
+                 Grid(BASE + 20 * MINUTE, BASE + 20 * MINUTE, MINUTE)):
+        grown = {t: v for t, v in series(R.increase(df, "c", 10 * MINUTE, grid)).items()
+                 if BASE + 12 * MINUTE <= t <= BASE + 40 * MINUTE}
+        assert grown and all(v == pytest.approx(100.0) for v in grown.values())

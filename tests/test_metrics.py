@@ -82,13 +82,52 @@ def test_points(gauge):
 
 
 def test_histogram_merge_adds_buckets(make):
-    rows = [{"metric": "h", "service": s, "attributes": "{}", "point_time": BASE,
+    rows = [{"metric": "h", "service": s, "attributes": "{}", "point_time": BASE, "temporality": "delta",
              "explicit_bounds": [1.0, 2.0], "bucket_counts": c}
             for s, c in [("a", [1, 2, 3]), ("a", [10, 0, 1]), ("b", [0, 0, 5])]]
     merged = M.histogram_merge(make("metrics_histogram", rows), ["service"]).orderBy("g0").collect()
     assert [tuple(r) for r in merged] == [("a", [1.0, 2.0], [11, 2, 4]), ("b", [1.0, 2.0], [0, 0, 5])]
 
 
+def cumulative(make, rows):
+    """Points of one series as (minute, counts), with bounds 1, 2, ..."""
+    return make("metrics_histogram", [
+        {"metric": "h", "service": "a", "attributes": '{"k":"v"}', "temporality": "cumulative", **more,
+         "point_time": BASE + at * MINUTE, "explicit_bounds": [float(i + 1) for i in range(len(counts) - 1)], "bucket_counts": counts}
+        for at, counts, more in rows])
+
+
+def test_cumulative_histograms_count_by_their_gain(make):
+    merged = lambda rows: [tuple(r) for r in M.histogram_merge(cumulative(make, rows), []).collect()]
+    assert merged([(0, [10, 0], {}), (1, [10, 10], {})]) == [([1.0], [0.0, 10.0])]
+    assert merged([(0, [10, 0], {})]) == []  # one point says nothing about a gain
+    # Out of order, over an hour's edge, with a restart, spelled otherwise, and a series of its own.
+    rows = [(200, [3, 1], {}), (0, [5, 5], {}), (90, [9, 6], {"attributes": '{ "k": "v" }'}), (100, [9, 9], {}), (201, [4, 1], {}),
+            (0, [100, 100], {"attributes": '{"k":"w"}'})]
+    assert merged(rows) == [([1.0], [4.0 + 0 + 3 + 1, 1.0 + 3 + 1 + 0])]
+    # A restart is told by any bucket that falls; other bounds are a series of their own.
+    assert merged([(0, [0, 9], {}), (1, [5, 3], {}), (2, [7, 7, 7], {}), (3, [7, 8, 7], {})]) == [([1.0, 2.0], [5.0, 1.0, 3.0])]
+    both = cumulative(make, [(0, [1, 1], {}), (1, [2, 1], {}), (5, [10, 0], {"temporality": "delta"})])
+    assert [tuple(r) for r in M.histogram_merge(both, []).collect()] == [([1.0], [11.0, 0.0])]
+
+
+def test_histograms_with_other_bounds_are_carried_over(make):
+    def point(bounds, counts):
+        return {"metric": "h", "service": "a", "attributes": "{}", "point_time": BASE, "temporality": "delta",
+                "explicit_bounds": bounds, "bucket_counts": counts}
+    rows = [point([10.0], [8, 1]), point([5.0, 10.0], [1, 1, 1]), point([-1.0, 20.0], [2, 21, 4])]
+    (bounds, counts), = [tuple(r) for r in M.histogram_merge(make("metrics_histogram", rows), []).collect()]
+    assert bounds == [-1.0, 5.0, 10.0, 20.0]
+    assert counts == pytest.approx([2, 4 + 1 + 6, 4 + 1 + 5, 10, 6])
+
+
+def test_histograms_of_no_temporality_or_shape_fail(make):
+    for row, message in (({"temporality": None}, "neither delta nor cumulative"), ({"temporality": "delta", "bucket_counts": [1]}, "do not fit")):
+        with pytest.raises(PySparkException, match=message):
+            M.histogram_merge(cumulative(make, [(0, [1, 1], row)]), []).collect() if "bucket_counts" not in row else M.histogram_merge(
+                make("metrics_histogram", [{"metric": "h", "attributes": "{}", "point_time": BASE, "explicit_bounds": [1.0], **row}]), []).collect()
+
+
 def test_discovery(make, gauge, logs, spans):
     exemplar = (900, 41.5, "ab" * 16, "cd" * 8, '{"sampler":"always_on"}')
     points = gauge([{"metric": "req.latency", "value": 1.0, "exemplars": [exemplar], "attributes": '{"host":"a"}'},

@@ -148,10 +148,9 @@ def test_spanset_window_is_on_the_trace_start(spans):
 @pytest.mark.parametrize("hot_cell", [1_000_000, 3])
 def test_spanset_lists_split_a_huge_trace(spans, hot_cell, monkeypatch):
     monkeypatch.setattr("teletide.operators.ranking.HOT_CELL", hot_cell)
-    monkeypatch.setattr(T, "SPANS_PER_LIST", 4)
     df = spans([span(f"{i:02d}", start_time=BASE + (i % 3) * SECOND) for i in range(10)]
                + [span("z", trace_id="2" * 32)])
-    lists = T.spanset_lists(T.spanset_match(df, TraceQuery())).orderBy("trace_id", "part").collect()
+    lists = T.spanset_lists(T.spanset_match(df, TraceQuery()), per_list=4).orderBy("trace_id", "part").collect()
     assert [len(r["span_ids"]) for r in lists] == [4, 4, 2, 1]
     first = [s for r in lists[:3] for s in r["span_ids"]]
     assert first == [f"{i:02d}" for k in range(3) for i in range(10) if i % 3 == k]
