@@ -9,10 +9,10 @@ the overlaps. It is formed in blocks of columns, and size bounds keep it small:
   all rows that only quote a common passage.
 * A task multiplies the columns dealt to it, counts the overlap of each pair of rows in them and leaves out pairs of too
   unequal sizes; the counts of all blocks are added up, and pairs whose count and sizes rule a link out are discarded.
-* Columns of more than LONG rows give only the pairs with one of them at first. Rows that are in different components
-  after that are multiplied in these columns too, if they have enough of them.
-* What is left is verified by the overlap of the whole sets, for each row first with the one it shares most with; pairs
-  that this has put into one component need no more.
+* A few rounds multiply each column by one of its rows only, in another order each, and verify for every row the pair
+  with the largest count. That joins groups of near copies, however large, with a pair for each row instead of all.
+* The full product then only takes pairs of rows that are still in different components. Their counts are exact, so
+  every link between components is among the pairs that the bounds leave, and those are verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -26,8 +26,10 @@ from teletide.llm.components import connected
 from teletide.llm.texts import map_texts, raw, space_words
 from teletide.session import materialize, materialize_small
 
-# Rows of a column whose pairs are all formed at once.
-LONG = 64
+# Rounds that compare each row with one of every column. They decide what is compared first, not what is linked.
+ROUNDS = 3
+# Rows of a column that one task multiplies; the pairs of a longer one are formed by a join that Spark splits.
+LONG = 2048
 # Rows of a column that one task goes through; a longer one is dealt to several.
 CELL_ROWS = 1 << 18
 # Texts looked at, about, to find such columns. It decides how work is dealt, not what is linked.
@@ -174,11 +176,12 @@ def _shared_entries(rows: DataFrame) -> DataFrame:
             before = np.append(linked, column)
             keep = before | np.append(column, False) | (cell >= 0)
             columns, linked = [x[-1:] for x in (g, cell, sid)], bool(before[-1])
-            yield _batch(g=g[:-1][keep[:-1]], sid=sid[:-1][keep[:-1]])
+            yield _batch(**{k: x[:-1][keep[:-1]] for k, x in (("g", g), ("sid", sid), ("cell", cell))})
         g, cell, sid = columns
         if len(g) and (linked or cell[0] >= 0):
-            yield _batch(g=g, sid=sid)
-    return entries.repartition("g", "cell").sortWithinPartitions("g", "cell", "sid").mapInArrow(run, "g long, sid long")
+            yield _batch(g=g, sid=sid, cell=cell)
+    dealt = entries.repartition("g", "cell").sortWithinPartitions("g", "cell", "sid").mapInArrow(run, "g long, sid long, cell long")
+    return dealt.select("g", "sid", (F.col("cell") >= 0).alias("hot"))
 
 
 def _batch(**columns: np.ndarray) -> pa.RecordBatch:
@@ -194,32 +197,71 @@ def _counted(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     return _batch(a=a[first], b=b[first], c=np.diff(np.append(first, len(a))))
 
 
-def _product(entries: DataFrame, percent: int) -> DataFrame:
-    """In how many of the columns two rows of possible sizes meet: a < b and c, by blocks of columns.
+class _Pairs:
+    """Counts pairs of rows and gives them out in blocks."""
+
+    def __init__(self, percent: int):
+        self.percent, self.held, self.size = percent, [], 0
+
+    def add(self, a: np.ndarray, b: np.ndarray, sid: np.ndarray, n: np.ndarray, component: np.ndarray):
+        """Pairs of places; those of one component or of sizes that rule a link out are left aside."""
+        ok = np.minimum(n[a], n[b]) * 100 >= np.maximum(n[a], n[b]) * self.percent
+        ok &= component[a] != component[b]
+        if ok.any():
+            x, y = sid[a[ok]], sid[b[ok]]
+            self.held.append((np.minimum(x, y), np.maximum(x, y)))
+            self.size += len(x)
+        if self.size >= BLOCK_PAIRS:
+            yield from self.rest()
+
+    def rest(self):
+        if self.held:
+            yield _counted(self.held)
+        self.held, self.size = [], 0
+
 
-    ``entries`` are g, sid, n and ``component``; rows of one component are not paired.
+def _dealt(entries: DataFrame, turn: int) -> DataFrame:
+    """The entries of each column in one task, in an order of their own for each ``turn``."""
+    rows = entries.select("g", "sid", "n", "component", F.xxhash64("sid", F.lit(turn)).alias("turn"))
+    return rows.repartition("g").sortWithinPartitions("g", "turn").drop("turn")
+
+
+def _stars(entries: DataFrame, percent: int, turn: int) -> DataFrame:
+    """In how many columns the first row of the column meets another one: a < b and c.
+
+    A task keeps the first row of a column only. The first rows of hot columns are found by an aggregate.
     """
     def run(batches):
-        held = [np.empty(0, np.int64)] * 4
-        pairs, waiting = [], 0
+        pairs, first = _Pairs(percent), [np.empty(0, np.int64)] * 4
+        for batch in batches:
+            columns = [np.concatenate([f, batch.column(k).to_numpy()]) for k, f in enumerate(first)]
+            g, sid, n, component = columns
+            if not len(g):
+                continue
+            lead = np.maximum.accumulate(np.where(np.append(True, g[1:] != g[:-1]), np.arange(len(g)), 0))
+            yield from pairs.add(lead, np.arange(len(g)), sid, n, component)
+            first = [c[lead[-1:]] for c in columns]
+        yield from pairs.rest()
+    cold = _dealt(entries.where(~F.col("hot")), turn).mapInArrow(run, "a long, b long, c long")
+    hot = entries.where("hot")
+    leads = hot.groupBy("g").agg(F.min_by(F.struct("sid", "n", "component"), F.xxhash64("sid", F.lit(turn))).alias("lead"))
+    met = hot.join(leads, "g").where(_can_link("lead.n", "n", percent) & (F.col("lead.component") != F.col("component"))).select(
+        F.least("lead.sid", "sid").alias("a"), F.greatest("lead.sid", "sid").alias("b"), F.lit(1).cast("long").alias("c"))
+    return cold.unionByName(met).groupBy("a", "b").agg(F.sum("c").alias("c"))
+
+
+def _product(entries: DataFrame, percent: int) -> DataFrame:
+    """In how many of the columns two rows of different components meet: a < b and c, by blocks of columns."""
+    def run(batches):
+        pairs, held = _Pairs(percent), [np.empty(0, np.int64)] * 4
 
-        def multiply(g, sid, n, component):
+        def multiply(g, *rest):
             """The pairs of each column, by their distance in it."""
-            nonlocal waiting
             here, step = np.arange(len(g)), 1
             while len(here := here[:np.searchsorted(here, len(g) - step)]):
                 here = here[g[here + step] == g[here]]
-                a, b = here, here + step
-                ok = np.minimum(n[a], n[b]) * 100 >= np.maximum(n[a], n[b]) * percent
-                ok &= component[a] != component[b]
-                if ok.any():
-                    pairs.append((sid[a[ok]], sid[b[ok]]))
-                    waiting += int(ok.sum())
+                yield from pairs.add(here, here + step, *rest)
                 step += 1
-                if waiting >= BLOCK_PAIRS:
-                    yield _counted(pairs)
-                    pairs.clear()
-                    waiting = 0
 
         for batch in batches:
             columns = [np.concatenate([h, batch.column(k).to_numpy()]) for k, h in enumerate(held)]
@@ -229,24 +271,26 @@ def _product(entries: DataFrame, percent: int) -> DataFrame:
             held = [c[cut:] for c in columns]
             yield from multiply(*[c[:cut] for c in columns])
         yield from multiply(*held)
-        if pairs:
-            yield _counted(pairs)
-    dealt = entries.select("g", "sid", "n", "component").repartition("g").sortWithinPartitions("g", "sid")
-    return dealt.mapInArrow(run, "a long, b long, c long").groupBy("a", "b").agg(F.sum("c").alias("c"))
+        yield from pairs.rest()
+    short = _dealt(entries.where(F.col("k") <= LONG), 0).mapInArrow(run, "a long, b long, c long")
+    one, two = (entries.where(F.col("k") > LONG).select("g", *[F.col(c).alias(f"{c}_{x}") for c in ("sid", "n", "component")]) for x in "ab")
+    met = one.join(two, (one["g"] == two["g"]) & (F.col("sid_a") < F.col("sid_b")) & (F.col("component_a") != F.col("component_b"))
+                   & _can_link("n_a", "n_b", percent))
+    long = met.select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b"), F.lit(1).cast("long").alias("c"))
+    return short.unionByName(long).groupBy("a", "b").agg(F.sum("c").alias("c"))
 
 
 def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that sizes and counts leave possible. ``c`` is what they share at most in their prefixes."""
+    """The pairs that sizes and ``c``, how many columns they share in their prefixes, leave possible."""
     def of(name):
-        return sets.select(F.col("sid").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "tail", "long", "rep")])
+        return sets.select(F.col("sid").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "tail", "rep")])
     both = pairs.join(of("a"), "a").join(of("b"), "b")
-    most = F.col("c") + F.least("long_a", "long_b")
-    enough = most >= F.least(_shares(F.col("n_a")), _shares(F.col("n_b")))
+    enough = F.col("c") >= F.least(_shares(F.col("n_a")), _shares(F.col("n_b")))
     # The prefix that ends first is counted in full: beyond it the sets share at most the rest of that set.
     beyond = lambda n: _least(n, percent) - _shares(n)
     rest = F.when(F.col("tail_a") <= F.col("tail_b"), beyond(F.col("n_a"))).otherwise(beyond(F.col("n_b")))
-    possible = (most + F.greatest(rest, F.lit(0))) * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
-    return both.where(_can_link("n_a", "n_b", percent) & enough & possible).select("a", "b", "c", "rep_a", "rep_b")
+    possible = (F.col("c") + F.greatest(rest, F.lit(0))) * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+    return both.where(enough & possible).select("a", "b", "c", "rep_a", "rep_b")
 
 
 def _can_link(a: str, b: str, percent: int) -> Column:
@@ -266,16 +310,18 @@ def _verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFr
         F.col("rep_a").alias("a"), F.col("rep_b").alias("b")), "links")
 
 
-def _placed(sets: DataFrame, edges: DataFrame) -> DataFrame:
-    """``sets`` with the component of each one's representative so far."""
-    found = connected(edges).withColumnRenamed("id", "rep")
-    return sets.drop("component").join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-
+def _mixed_columns(entries: DataFrame, sets: DataFrame, edges: DataFrame | None) -> DataFrame:
+    """The entries of columns whose rows are in several components, with these and the number of rows left, ``k``.
 
-def _apart(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose sets are in different components."""
-    of = lambda x: sets.select(F.col("sid").alias(x), F.col("component").alias(f"component_{x}"))
-    return pairs.join(of("a"), "a").join(of("b"), "b").where("component_a <> component_b").drop("component_a", "component_b")
+    """
+    if edges is not None:
+        found = connected(edges).withColumnRenamed("id", "rep")
+        sets = sets.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    else:
+        sets = sets.withColumn("component", F.col("rep"))
+    placed = entries.select("g", "sid", "hot").join(sets, "sid")
+    columns = placed.groupBy("g").agg(F.count("*").alias("k"), F.min("component").alias("low"), F.max("component").alias("high"))
+    return placed.join(columns.where("low <> high").select("g", "k"), "g").select("g", "sid", "hot", "n", "component", "k")
 
 
 def links(docs: DataFrame, rows: DataFrame, reps: DataFrame, n: int, percent: int) -> DataFrame:
@@ -283,34 +329,26 @@ def links(docs: DataFrame, rows: DataFrame, reps: DataFrame, n: int, percent: in
     shared = materialize(_shared_entries(rows), "shared")
     needed = _shares(_least(F.col("n"), percent))  # even with the smallest set it may be linked to
     enough = shared.groupBy("sid").agg(F.count("*").alias("m")).join(reps, "sid").where(F.col("m") >= needed)
-    enough = materialize(enough.select("sid", "n", "tail", "rep"), "candidates")
-    # Only columns in which several such rows are left take part.
-    kept = shared.join(enough.select("sid"), "sid", "left_semi")
-    size = kept.groupBy("g").agg(F.count("*").alias("k"), F.min("sid").alias("lead")).where("k > 1")
-    entries = materialize(kept.join(size, "g").withColumn("is_long", F.col("k") > LONG).join(enough, "sid"), "entries")
-    long = entries.where("is_long").groupBy("sid").agg(F.count("*").alias("long"))
-    sets = materialize(enough.join(long, "sid", "left").withColumn("long", F.coalesce("long", F.lit(0).cast("long"))), "sets")
-
-    alone = entries.where(~F.col("is_long")).withColumn("component", F.col("sid"))
-    stars = entries.where("is_long and lead <> sid").select(F.col("lead").alias("a"), F.col("sid").alias("b"), F.lit(0).cast("long").alias("c"))
-    counted = _product(alone, percent).union(stars).groupBy("a", "b").agg(F.sum("c").alias("c"))
-    pairs = materialize(_bounded(counted, sets, percent), "pairs")
-    # Each row with the one it shares most with, which joins most groups of near copies.
-    best = materialize(pairs.groupBy("b").agg(F.max_by(F.struct("a", "rep_a", "rep_b"), F.struct("c", "a")).alias("p")).select(
-        "p.a", "b", "p.rep_a", "p.rep_b"), "best")
-    found = _verified(best, docs, n, percent)
-    placed = materialize(_placed(sets, found), "placed")
-    rest = materialize(_apart(pairs.join(best, ["a", "b"], "left_anti"), placed), "pairs-left")
-    both = found if rest.isEmpty() else found.union(_verified(rest, docs, n, percent))
-    # Pairs that meet in long columns only need enough of these.
-    if entries.where("is_long").isEmpty():
-        return both
-    placed = materialize(_placed(sets, both), "placed").where(F.col("long") >= needed)
-    longs = entries.where("is_long").select("g", "sid").join(placed, "sid")
-    mixed = longs.groupBy("g").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("g")
-    unlike = _product(longs.join(mixed, "g", "left_semi"), percent)
-    last = materialize(_bounded(unlike, sets.withColumn("long", F.lit(0).cast("long")), percent).join(pairs, ["a", "b"], "left_anti"), "pairs-long")
-    return both if last.isEmpty() else both.union(_verified(last, docs, n, percent))
+    sets = materialize(enough.select("sid", "n", "tail", "rep"), "candidates")
+    edges = tested = None
+    entries = shared
+    for turn in range(1, ROUNDS + 1):
+        entries = materialize(_mixed_columns(entries, sets, edges), "entries")
+        pairs = _bounded(_stars(entries, percent, turn), sets, percent)
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        best = pairs.groupBy("b").agg(F.max_by(F.struct("a", "rep_a", "rep_b"), F.struct("c", "a")).alias("p"))
+        best = materialize(best.select("p.a", "b", "p.rep_a", "p.rep_b"), "best")
+        if best.isEmpty():
+            break
+        found = _verified(best, docs, n, percent)
+        edges = found if edges is None else edges.union(found)
+        tested = best.select("a", "b") if tested is None else tested.union(best.select("a", "b"))
+    entries = materialize(_mixed_columns(entries, sets, edges), "entries")
+    left = _bounded(_product(entries, percent), sets, percent)
+    left = materialize(left if tested is None else left.join(tested, ["a", "b"], "left_anti"), "pairs")
+    found = _verified(left, docs, n, percent)
+    return found if edges is None else edges.union(found)
 
 
 def join_components(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:

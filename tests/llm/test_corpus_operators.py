@@ -52,10 +52,11 @@ def near_copies():
     return out
 
 
-@pytest.mark.parametrize("cell, long", [(4, 3), (1 << 18, 64), (1 << 18, 8)])
-def test_jaccard_components(docs, odd_texts, monkeypatch, cell, long):
+@pytest.mark.parametrize("cell, long, rounds", [(4, 3, 2), (1 << 18, 2048, 3), (1 << 18, 8, 0)])
+def test_jaccard_components(docs, odd_texts, monkeypatch, cell, long, rounds):
     monkeypatch.setattr(jaccard, "CELL_ROWS", cell)  # small ones: columns are dealt to several cells
-    monkeypatch.setattr(jaccard, "LONG", long)  # and their pairs formed only where a star left components apart
+    monkeypatch.setattr(jaccard, "LONG", long)  # and their pairs formed by a join
+    monkeypatch.setattr(jaccard, "ROUNDS", rounds)
     monkeypatch.setattr(jaccard, "BLOCK_PAIRS", 50)
     shared = prose(9, 60)
     texts = [*odd_texts, *near_copies(), *(prose(100 + i, 25) + " " + shared for i in range(20)), "one two", "One  two\n", "two one", *near_copies()[:3]]
@@ -106,9 +107,9 @@ def test_prefixes_of_links_share_enough():
         assert len(np.intersect1d(x, y)) >= min(jaccard.shares(len(first)), jaccard.shares(len(second)))
 
 
-def test_jaccard_links_across_long_columns_only(docs, monkeypatch):
-    # Every document is made of lines that many hold, so that no short column is left.
-    monkeypatch.setattr(jaccard, "LONG", 3)
+@pytest.mark.parametrize("rounds", [0, 1])
+def test_jaccard_of_documents_made_of_common_lines(docs, monkeypatch, rounds):
+    monkeypatch.setattr(jaccard, "ROUNDS", rounds)
     lines = [prose(600 + i, 12) for i in range(14)]
     texts = [" ".join(lines[(start + k) % 14] for k in range(length)) for length in (8, 9, 10) for start in range(14)]
     sets = [words_set(t) for t in texts]
