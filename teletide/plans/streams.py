@@ -105,6 +105,26 @@ def stream_ingest(spark: SparkSession, root: str) -> DataFrame:
         F.countDistinct("attributes").alias("attribute_sets")))
 
 
+@query("stream_dead_letters", """
+    SELECT count(*) AS stored, count(*) AS accepted, count(*) FILTER (severity_number >= 17) AS malformed,
+           count(*) FILTER (severity_number = 13) AS broken_lines,
+           count(*) FILTER (severity_number = 13 OR severity_number >= 17) AS letters FROM logs""")
+def stream_dead_letters(spark: SparkSession, root: str) -> DataFrame:
+    """The accounts of a stream with a malformed record for each error and a broken line for each warning."""
+    path, logs = scratch_dir(spark, "letters"), warehouse.logs(spark, root)
+    requests.from_logs(logs).write.text(f"{path}/inbox")
+    bad = '{"resourceLogs":[{"scopeLogs":[{"logRecords":[{"timeUnixNano":"%d ns"}]}]}]}'
+    logs.where("severity_number >= 17").select(F.format_string(bad, "record_id")).write.mode("append").text(f"{path}/inbox")
+    logs.where("severity_number = 13").select(F.format_string('{"resourceLogs": [%d', "record_id")).write.mode("append").text(
+        f"{path}/inbox")
+    jobs.ingest_logs(spark, f"{path}/inbox", f"{path}/table", f"{path}/checkpoint", files_per_trigger=4).awaitTermination()
+    stored = tables.read_table(spark, "logs", f"{path}/table").agg(F.count("*").alias("stored"))
+    counts = jobs.receipts(spark, f"{path}/table").agg(*[F.sum(c).alias(c) for c in ("accepted", "malformed", "broken_lines")])
+    letters = jobs.dead_letters(spark, f"{path}/table").agg(F.count("*").alias("letters"))
+    parts = stored.unionByName(counts, allowMissingColumns=True).unionByName(letters, allowMissingColumns=True)
+    return parts.agg(*[F.max(c).alias(c) for c in parts.columns])
+
+
 @query("ingest_append_compact", f"""
     SELECT time - time % {NS_PER_DAY} AS day, count(*) AS rows,
            CAST(sum(time % 1000003) AS BIGINT) AS checksum

@@ -53,6 +53,23 @@ def otlp_receipt(spark: SparkSession, root: str) -> DataFrame:
     return counts.agg(*[F.max(c).alias(c) for c in counts.columns])
 
 
+@query("otlp_receipt_records", """
+    SELECT count(*) AS accepted, count(*) FILTER (status_code = 'ERROR') AS malformed,
+           CAST(sum(duration_ns % 1000003) AS BIGINT) AS checksum FROM spans""")
+def otlp_receipt_records(spark: SparkSession, root: str) -> DataFrame:
+    """Records of requests in which each failed span is sent once more with an end that is no number."""
+    inbox, spans = scratch_dir(spark, "otlp-records"), warehouse.spans(spark, root)
+    requests.from_spans(spans).write.text(inbox)
+    bad = ('{"resourceSpans":[{"scopeSpans":[{"spans":[{"traceId":"%s","spanId":"%s","startTimeUnixNano":"%d",'
+           '"endTimeUnixNano":"soon"}]}]}]}')
+    spans.where("status_code = 'ERROR'").select(F.format_string(bad, "trace_id", "span_id", "start_time")).write.mode(
+        "append").text(inbox)
+    sent = otlp.read_requests(spark, "traces", inbox)
+    kept = otlp.spans(sent).agg(F.sum(F.col("duration_ns") % 1000003).alias("checksum"))
+    both = otlp.record_receipt(sent, "spans").unionByName(kept, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
 @query("otlp_spans", """
     SELECT trace_id, span_id, parent_span_id, name, kind, start_time, duration_ns, status_code,
            service, attributes FROM spans""")

@@ -6,6 +6,8 @@ strings, ids as hex, enumerations as numbers or names.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from teletide.model import METRIC_TABLES, SCHEMAS
@@ -142,7 +144,17 @@ def _text(value: Column) -> Column:
 
 def _nanos(text: Column) -> Column:
     """A 64-bit instant; zero means it was not set."""
-    return F.nullif(text.cast("bigint"), F.lit(0))
+    return F.nullif(text.try_cast("bigint"), F.lit(0))
+
+
+def _unreadable(*texts: Column) -> Column:
+    """Whether one of some 64-bit numbers, which OTLP sends as text, is there and is none."""
+    found = [F.coalesce((t != "") & t.try_cast("bigint").isNull(), F.lit(False)) for t in texts]
+    return reduce(lambda a, b: a | b, found)
+
+
+def _unreadable_in(texts: Column) -> Column:
+    return F.coalesce(F.exists(texts, lambda t: _unreadable(t)), F.lit(False))
 
 
 def _id(text: Column) -> Column:
@@ -155,6 +167,10 @@ def _enum(text: Column, names: list[str], prefix: str) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*spelled), text), F.lit(names[0]))
 
 
+def _counts(texts: Column) -> Column:
+    return F.transform(texts, lambda t: t.try_cast("bigint"))
+
+
 def _resource(df: DataFrame, lists: str, inner: str) -> DataFrame:
     """One row per scope: service, resource and scope text, and the scope's items."""
     per_resource = df.select(F.explode(lists).alias("r"))
@@ -167,23 +183,48 @@ def _resource(df: DataFrame, lists: str, inner: str) -> DataFrame:
     return per_scope.withColumn("scope", F.to_json("s.scope"))
 
 
-def _table(df: DataFrame, name: str, /, **columns: Column) -> DataFrame:
+def _table(df: DataFrame, name: str, malformed: Column, /, **columns: Column) -> DataFrame:
+    """Rows of a table, with ``_malformed`` and the record itself as ``_record``."""
     return df.select(*[
-        columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields
-    ])
+        columns.get(f.name, F.lit(None)).try_cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields
+    ], malformed.alias("_malformed"), F.to_json("x").alias("_record"))
+
+
+def _readable(records: DataFrame) -> DataFrame:
+    return records.where(~F.col("_malformed")).drop("_malformed", "_record")
 
 
 # --- Requests to rows ------------------------------------------------------------------------------
 
 
+def records(requests: DataFrame, name: str) -> DataFrame:
+    """The rows of table ``name`` that some requests hold, the malformed ones too.
+
+    A record is malformed (``_malformed``) if a number or instant it needs is text that is none; ``_record`` is its JSON.
+    """
+    if name == "logs":
+        return _log_records(requests)
+    return _span_records(requests) if name == "spans" else _points(requests, name)
+
+
+def record_receipt(requests: DataFrame, name: str) -> DataFrame:
+    """How many records of the requests are rows of a table (``accepted``) and how many are ``malformed``."""
+    return records(requests, name).agg(F.count_if(~F.col("_malformed")).alias("accepted"), F.count_if("_malformed").alias("malformed"))
+
+
 def logs(requests: DataFrame) -> DataFrame:
-    """Log records of logs requests. ``record_id`` is a content hash that makes orders repeatable."""
+    """Log records of logs requests. ``record_id`` is a content hash that makes orders repeatable. Malformed
+    records are left out, see ``records``."""
+    return _readable(_log_records(requests))
+
+
+def _log_records(requests: DataFrame) -> DataFrame:
     rows = _resource(requests, "resourceLogs", "scopeLogs").select(
         "service", "resource", "scope", F.explode("s.logRecords").alias("x"))
     x = lambda name: F.col(f"x.{name}")
     severity = F.coalesce(x("severityNumber").try_cast("int"), F.lit(0))
     return _table(
-        rows, "logs",
+        rows, "logs", _unreadable(x("timeUnixNano"), x("observedTimeUnixNano")),
         time=x("timeUnixNano"), observed_time=_nanos(x("observedTimeUnixNano")),
         service=F.col("service"), severity_number=severity, severity_text=x("severityText"),
         body=_text(x("body")), attributes=attributes_json(x("attributes")),
@@ -193,16 +234,20 @@ def logs(requests: DataFrame) -> DataFrame:
 
 
 def spans(requests: DataFrame) -> DataFrame:
-    """Spans of traces requests; the duration is end minus start."""
+    """Spans of traces requests; the duration is end minus start. Malformed ones are left out."""
+    return _readable(_span_records(requests))
+
+
+def _span_records(requests: DataFrame) -> DataFrame:
     rows = _resource(requests, "resourceSpans", "scopeSpans").select(
         "service", "resource", "scope", F.explode("s.spans").alias("x"))
     x = lambda name: F.col(f"x.{name}")
-    start = x("startTimeUnixNano").cast("bigint")
+    start = x("startTimeUnixNano").try_cast("bigint")
     return _table(
-        rows, "spans",
+        rows, "spans", _unreadable(x("startTimeUnixNano"), x("endTimeUnixNano")),
         trace_id=_id(x("traceId")), span_id=_id(x("spanId")), parent_span_id=_id(x("parentSpanId")),
         name=x("name"), kind=_enum(x("kind"), SPAN_KINDS, "SPAN_KIND_"), start_time=start,
-        duration_ns=x("endTimeUnixNano").cast("bigint") - start,
+        duration_ns=F.try_subtract(x("endTimeUnixNano").try_cast("bigint"), start),
         status_code=_enum(x("status.code"), STATUS_CODES, "STATUS_CODE_"),
         status_message=x("status.message"), service=F.col("service"),
         attributes=attributes_json(x("attributes")), resource=F.col("resource"), scope=F.col("scope"))
@@ -211,13 +256,17 @@ def spans(requests: DataFrame) -> DataFrame:
 def _exemplars(list_: Column) -> Column:
     return F.transform(list_, lambda e: F.struct(
         _nanos(e["timeUnixNano"]).alias("time"),
-        F.coalesce(e["asDouble"], e["asInt"].cast("double")).alias("value"),
+        F.coalesce(e["asDouble"], e["asInt"].try_cast("double")).alias("value"),
         _id(e["traceId"]).alias("trace_id"), _id(e["spanId"]).alias("span_id"),
         attributes_json(e["filteredAttributes"]).alias("attributes")))
 
 
 def metrics(requests: DataFrame, name: str) -> DataFrame:
-    """Points of one metric table out of metrics requests."""
+    """Points of one metric table out of metrics requests. Malformed ones are left out."""
+    return _readable(_points(requests, name))
+
+
+def _points(requests: DataFrame, name: str) -> DataFrame:
     if name not in METRIC_TABLES:
         raise ValueError(f"unknown metric table {name!r}")
     kind = METRIC_FIELDS[name]
@@ -238,19 +287,23 @@ def metrics(requests: DataFrame, name: str) -> DataFrame:
     if kind == "sum":
         columns["is_monotonic"] = F.coalesce("m.sum.isMonotonic", F.lit(False))
     if kind in ("gauge", "sum"):
-        columns["value"] = F.coalesce(x("asDouble"), x("asInt").cast("double"))
+        columns["value"] = F.coalesce(x("asDouble"), x("asInt").try_cast("double"))
+        malformed = _unreadable(x("timeUnixNano"), x("asInt"))
     else:
         columns |= {"count": x("count"), "sum": x("sum")}
+        malformed = _unreadable(x("timeUnixNano"), x("count"))
     if kind != "summary":
         columns["exemplars"] = _exemplars(x("exemplars"))
     if kind == "histogram":
         columns |= {"explicit_bounds": x("explicitBounds"),
-                    "bucket_counts": x("bucketCounts").cast("array<bigint>")}
+                    "bucket_counts": _counts(x("bucketCounts"))}
+        malformed = malformed | _unreadable_in(x("bucketCounts"))
     if kind == "exponentialHistogram":
         columns |= {"scale": x("scale"), "zero_count": F.coalesce(x("zeroCount"), F.lit("0"))}
         for side in ("positive", "negative"):
             columns[f"{side}_offset"] = F.coalesce(x(f"{side}.offset"), F.lit(0))
-            columns[f"{side}_counts"] = x(f"{side}.bucketCounts").cast("array<bigint>")
+            columns[f"{side}_counts"] = _counts(x(f"{side}.bucketCounts"))
+            malformed = malformed | _unreadable(x("zeroCount")) | _unreadable_in(x(f"{side}.bucketCounts"))
     if kind == "summary":
         columns["quantile_values"] = x("quantileValues")
-    return _table(rows, name, **columns)
+    return _table(rows, name, malformed, **columns)

@@ -100,10 +100,13 @@ def span_red(spans: DataFrame, step: str, delay: str, accuracy: int = 1000) -> D
 # --- Continuous ingest -----------------------------------------------------------------------------
 
 
+BROKEN_LINE = "_broken_line"
+
+
 def ingest_stream(spark: SparkSession, signal: str, inbox: str, files_per_trigger: int = 1000) -> DataFrame:
-    """OTLP request files appearing in ``inbox``, as a stream of requests."""
-    return spark.readStream.schema(otlp.REQUESTS[signal]).option(
-        "maxFilesPerTrigger", files_per_trigger).json(inbox)
+    """OTLP request files appearing in ``inbox``, as a stream of requests; a line that is none is in ``_broken_line``."""
+    return spark.readStream.schema(f"{otlp.REQUESTS[signal]}, {BROKEN_LINE} string").option(
+        "columnNameOfCorruptRecord", BROKEN_LINE).option("maxFilesPerTrigger", files_per_trigger).json(inbox)
 
 
 def append_batch(batch: DataFrame, name: str, table: str, staging: str, done: str) -> None:
@@ -133,20 +136,58 @@ def into_table(rows: DataFrame, name: str, table: str, checkpoint: str,
         **(trigger or {"availableNow": True})).foreachBatch(append).start()
 
 
-def ingest_logs(spark: SparkSession, inbox: str, table: str, checkpoint: str,
-                trigger: dict | None = None, files_per_trigger: int = 1000) -> StreamingQuery:
-    """Flatten arriving logs requests into the day partitions of a table folder."""
-    rows = otlp.logs(ingest_stream(spark, "logs", inbox, files_per_trigger))
-    return into_table(rows, "logs", table, checkpoint, trigger)
+def ingest(spark: SparkSession, signal: str, name: str, inbox: str, table: str, checkpoint: str,
+           trigger: dict | None = None, files_per_trigger: int = 1000) -> StreamingQuery:
+    """Flatten arriving requests into the day partitions of a table folder, and account for every record.
+
+    What cannot be stored goes to the folder ``_dead_letters`` of the table, lines that are no request as they came and
+    malformed records as JSON. ``_receipts`` has a row for each batch with how many records were stored, how many were
+    malformed, and how many lines were broken. Both are written once for each batch, however often it is tried.
+    """
+    key = hashlib.sha1(checkpoint.encode()).hexdigest()
+
+    def store(requests: DataFrame, number: int) -> None:
+        found = otlp.records(requests.where(F.col(BROKEN_LINE).isNull()), name)
+        append_batch(found.where(~F.col("_malformed")).drop("_malformed", "_record"), name, table,
+                     f"{table}/_staging/{key}-{number}", f"{checkpoint}/appended/{number}")
+        broken = requests.where(F.col(BROKEN_LINE).isNotNull() & (F.trim(BROKEN_LINE) != ""))
+        letters = broken.select(F.lit("line").alias("kind"), F.col(BROKEN_LINE).alias("text")).unionByName(
+            found.where("_malformed").select(F.lit("record").alias("kind"), F.col("_record").alias("text")))
+        letters.write.mode("overwrite").parquet(f"{table}/_dead_letters/{key}-{number}")
+        counts = found.agg(F.count_if(~F.col("_malformed")).alias("accepted"), F.count_if("_malformed").alias("malformed"))
+        lines = broken.agg(F.count("*").alias("broken_lines"))
+        both = counts.unionByName(lines, allowMissingColumns=True).agg(
+            F.lit(number).cast("bigint").alias("batch"), *[F.max(c).alias(c) for c in ("accepted", "malformed", "broken_lines")])
+        both.coalesce(1).write.mode("overwrite").parquet(f"{table}/_receipts/{key}-{number}")
+    return ingest_stream(spark, signal, inbox, files_per_trigger).writeStream.option(
+        "checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).foreachBatch(store).start()
+
+
+def receipts(spark: SparkSession, table: str) -> DataFrame:
+    """batch, accepted, malformed and broken_lines of every batch that ``ingest`` stored in a table."""
+    return _beside(spark, table, "_receipts", "batch long, accepted long, malformed long, broken_lines long")
+
+
+def dead_letters(spark: SparkSession, table: str) -> DataFrame:
+    """kind (``line`` or ``record``) and text of everything that could not be stored."""
+    return _beside(spark, table, "_dead_letters", "kind string, text string")
+
+
+def _beside(spark: SparkSession, table: str, folder: str, schema: str) -> DataFrame:
+    parts = files.children(spark, f"{table}/{folder}")
+    return spark.read.schema(schema).parquet(*parts) if parts else spark.createDataFrame([], schema)
+
+
+def ingest_logs(spark: SparkSession, inbox: str, table: str, checkpoint: str, trigger: dict | None = None,
+                files_per_trigger: int = 1000) -> StreamingQuery:
+    return ingest(spark, "logs", "logs", inbox, table, checkpoint, trigger, files_per_trigger)
 
 
-def ingest_spans(spark: SparkSession, inbox: str, table: str, checkpoint: str,
-                 trigger: dict | None = None, files_per_trigger: int = 1000) -> StreamingQuery:
-    rows = otlp.spans(ingest_stream(spark, "traces", inbox, files_per_trigger))
-    return into_table(rows, "spans", table, checkpoint, trigger)
+def ingest_spans(spark: SparkSession, inbox: str, table: str, checkpoint: str, trigger: dict | None = None,
+                 files_per_trigger: int = 1000) -> StreamingQuery:
+    return ingest(spark, "traces", "spans", inbox, table, checkpoint, trigger, files_per_trigger)
 
 
-def ingest_metrics(spark: SparkSession, name: str, inbox: str, table: str, checkpoint: str,
-                   trigger: dict | None = None, files_per_trigger: int = 1000) -> StreamingQuery:
-    rows = otlp.metrics(ingest_stream(spark, "metrics", inbox, files_per_trigger), name)
-    return into_table(rows, name, table, checkpoint, trigger)
+def ingest_metrics(spark: SparkSession, name: str, inbox: str, table: str, checkpoint: str, trigger: dict | None = None,
+                   files_per_trigger: int = 1000) -> StreamingQuery:
+    return ingest(spark, "metrics", name, inbox, table, checkpoint, trigger, files_per_trigger)

@@ -123,3 +123,23 @@ def test_broken_lines_are_counted_or_fail(spark, logs, tmp_path):
     assert [r["body"] for r in otlp.logs(otlp.read_requests(spark, "logs", inbox)).collect()] == ["good"]
     with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
         otlp.logs(otlp.read_requests(spark, "logs", inbox, fail_on_malformed=True)).collect()
+
+
+def test_a_malformed_record_leaves_the_others_alone(read):
+    at, good = str(BASE), {"timeUnixNano": str(BASE), "count": "1", "bucketCounts": ["1"], "explicitBounds": []}
+    logs = [{"timeUnixNano": t} for t in (at, "abc", "", "1.5", "99999999999999999999")]
+    sent = read("logs", {"resourceLogs": [{"scopeLogs": [{"logRecords": [*logs, {"timeUnixNano": at, "observedTimeUnixNano": "x"}]}]}]})
+    assert sorted(str(r["time"]) for r in otlp.logs(sent).collect()) == sorted([at, "None"])
+    assert tuple(otlp.record_receipt(sent, "logs").first()) == (2, 4)
+    spans = [{"startTimeUnixNano": a, "endTimeUnixNano": b} for a, b in ((at, at), ("abc", at), (at, "-"), ("-9000000000000000000", at))]
+    sent = read("traces", {"resourceSpans": [{"scopeSpans": [{"spans": spans}]}]})
+    assert sorted(str(r["duration_ns"]) for r in otlp.spans(sent).collect()) == ["0", "None"]
+    assert tuple(otlp.record_receipt(sent, "spans").first()) == (2, 2)
+    points = [good, {**good, "count": "many"}, {**good, "bucketCounts": ["1", "?"]}, {**good, "timeUnixNano": "now"}]
+    sent = read("metrics", {"resourceMetrics": [{"scopeMetrics": [{"metrics": [
+        {"name": "h", "histogram": {"dataPoints": points, "aggregationTemporality": 1}},
+        {"name": "g", "gauge": {"dataPoints": [{"timeUnixNano": at, "asInt": "7"}, {"timeUnixNano": at, "asInt": "seven"}]}}]}]}]})
+    assert tuple(otlp.record_receipt(sent, "metrics_histogram").first()) == (1, 3)
+    assert [r["value"] for r in otlp.metrics(sent, "metrics_gauge").collect()] == [7.0]
+    bad = otlp.records(sent, "metrics_gauge").where("_malformed").first()
+    assert json.loads(bad["_record"])["asInt"] == "seven"

@@ -132,3 +132,16 @@ def test_tail_pages_deliver_ties_once(logs):
         seen += [r["body"] for r in page]
         cursor = tuple(page[-1][c] for c in ("observed_time", "time", "record_id"))
     assert seen == ["0", "1", "3", "2", "4", "5", "6"]
+
+
+def test_ingest_accounts_for_what_it_cannot_store(spark, logs, tmp_path):
+    inbox, table = tmp_path / "in", str(tmp_path / "table")
+    requests.from_logs(logs([{"body": "good"}, {"body": "too"}])).write.text(str(inbox))
+    record = '{"resourceLogs":[{"scopeLogs":[{"logRecords":[{"timeUnixNano":"noon"},{"timeUnixNano":"7","body":{"stringValue":"third"}}]}]}]}'
+    (inbox / "more.txt").write_text(f'{record}\n{{"resourceLogs": [\n\n   \nno json\n')
+    jobs.ingest_logs(spark, str(inbox), table, str(tmp_path / "state")).awaitTermination()
+    assert {r["body"] for r in tables.read_table(spark, "logs", table).collect()} == {"good", "too", "third"}
+    assert [tuple(r)[1:] for r in jobs.receipts(spark, table).collect()] == [(3, 1, 2)]
+    letters = sorted((r["kind"], r["text"]) for r in jobs.dead_letters(spark, table).collect())
+    assert letters == [("line", "no json"), ("line", '{"resourceLogs": ['), ("record", '{"timeUnixNano":"noon"}')]
+    assert jobs.receipts(spark, str(tmp_path / "none")).count() == 0
