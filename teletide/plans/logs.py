@@ -136,6 +136,36 @@ def log_page_keyset(spark, root) -> DataFrame:
     return numbered(rows, F.col("time"), F.col("record_id")).select("record_id", "time", "body", "rn")
 
 
+@query("log_page_stats", """
+    WITH n AS (SELECT count(*) AS n FROM logs WHERE service = 'svc-0')
+    SELECT 80::BIGINT AS after, 40::BIGINT AS returned, 120::BIGINT AS next_offset UNION ALL
+    SELECT n - 10, 10, NULL FROM n UNION ALL SELECT n, 0, NULL FROM n""")
+def log_page_stats(spark, root) -> DataFrame:
+    """Size and successor of a full page, of the last one and of one behind it."""
+    logs, q = warehouse.logs(spark, root), LogQuery(service="svc-0", limit=40)
+    n = L.count_logs(logs, q).first()[0]
+    rows = []
+    for after in (80, n - 10, n):
+        page = L.log_page(logs, q, after)
+        page.rows.write.format("noop").mode("overwrite").save()
+        rows.append((after, page.returned, page.next_offset))
+    return spark.createDataFrame(rows, "after long, returned long, next_offset long")
+
+
+@query("log_order_unknown", """
+    SELECT 'time' AS axis, false AS refused, count(*) AS rows FROM logs UNION ALL
+    SELECT 'observed_time', false, count(*) FROM logs UNION ALL SELECT 'body', true, NULL""")
+def log_order_unknown(spark, root) -> DataFrame:
+    """Rows ordered by each axis; one that is none is refused."""
+    logs, rows = warehouse.logs(spark, root), []
+    for axis in ("time", "observed_time", "body"):
+        try:
+            rows.append((axis, False, L.query_logs(logs, LogQuery(order_by=axis)).count()))
+        except ValueError:
+            rows.append((axis, True, None))
+    return spark.createDataFrame(rows, "axis string, refused boolean, rows long")
+
+
 # --- Counts and volume -----------------------------------------------------------------------------
 
 query("count_logs", "SELECT count(*) AS count FROM logs WHERE service = 'svc-1' AND severity_number >= 13")(

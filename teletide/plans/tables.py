@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from teletide.functions import times
@@ -121,6 +123,26 @@ def otlp_histograms(spark: SparkSession, root: str) -> DataFrame:
     return plain.unionByName(exp).unionByName(summary)
 
 
+# --- Tables by name --------------------------------------------------------------------------------
+
+_NAMES = ["logs", "spans", "metrics_gauge", "metrics_sum", "metrics_histogram", "metrics_exp_histogram", "metrics_summary"]
+
+
+@query("register_tables", " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS rows, false AS refused FROM {t}" for t in _NAMES)
+       + " UNION ALL SELECT 'events', NULL, true")
+def register_tables(spark: SparkSession, root: str) -> DataFrame:
+    """Every telemetry table by its name; any other name is refused."""
+    tables.register_tables(spark, warehouse.all_tables(spark, root))
+
+    def row(name: str) -> DataFrame:
+        try:
+            found = tables.table(spark, name).agg(F.count("*").alias("rows"), F.lit(False).alias("refused"))
+        except ValueError:
+            found = spark.range(1).select(F.lit(None).cast("bigint").alias("rows"), F.lit(True).alias("refused"))
+        return found.select(F.lit(name).alias("name"), "rows", "refused")
+    return reduce(DataFrame.unionByName, [row(n) for n in [*_NAMES, "events"]])
+
+
 # --- Table folders ---------------------------------------------------------------------------------
 
 _LOG_ROWS = ("time, observed_time, service, severity_number, severity_text, body, attributes, trace_id, "
@@ -386,6 +408,9 @@ _same_sql("sql_subquery", f"""
     GROUP BY service""", "spans", "logs")
 query("sql_approx_distinct")(_sql(
     "SELECT service, approx_count_distinct(trace_id) AS traces FROM spans GROUP BY service", "spans"))
+query("sql_approx_distinct_within", "SELECT service, true AS within FROM spans GROUP BY service")(_sql(
+    "SELECT service, abs(approx_count_distinct(trace_id) - count(DISTINCT trace_id)) <= 0.15 * count(DISTINCT trace_id) AS within "
+    "FROM spans GROUP BY service", "spans"))
 query("sql_count", "SELECT count(*) AS count FROM logs WHERE time >= 0")(
     on("logs", lambda df: count_logs(df, LogQuery())))
 query("sql_histogram_quantile", """

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from teletide.functions import times
 from teletide.model import NS_PER_DAY
-from teletide.operators import discovery, logs as L, maintenance, traces as T
+from teletide.operators import discovery, logs as L, maintenance, sketches, traces as T
 from teletide.operators.logs import LogQuery
 from teletide.operators.traces import SpanMetricsQuery, TraceQuery
 from teletide.plans.registry import bigints, joined, numbered, on, query
@@ -82,6 +83,44 @@ query("span_red_counts", f"""
         df, SpanMetricsQuery(MONTH, group_by=["service"])).select("bucket", "g0", "calls", "errors")))
 
 
+QUARTER = 3 * MONTH
+
+
+def _within(spans: DataFrame, told: DataFrame, step: int, error: float) -> DataFrame:
+    """Whether the quantiles told for each step and service lie within ``error`` of all ranks around theirs."""
+    rows = spans.select(times.bucket(F.col("start_time"), step).alias("bucket"), F.col("service").alias("g0"), "duration_ns", "trace_id")
+    both = rows.join(F.broadcast(told.select("bucket", "g0", *T.LATENCIES)), ["bucket", "g0"])  # a row per step and service
+    n = F.count("*")
+    near = [((F.count_if(F.col("duration_ns") < F.col(p)) <= n * (q + error)) & (F.count_if(F.col("duration_ns") <= F.col(p)) >= n * (q - error)))
+            .alias(f"{p}_within") for p, q in T.LATENCIES.items()]
+    return both.groupBy("bucket", "g0").agg(*near, F.countDistinct("trace_id").alias("exact"))
+
+
+@query("span_red_approx_within", f"""
+    SELECT start_time - start_time % {MONTH} AS bucket, service AS g0, count(*) AS calls,
+           count(*) FILTER (status_code = 'ERROR') AS errors, true AS p50_within, true AS p95_within, true AS p99_within
+    FROM spans GROUP BY ALL""")
+def span_red_approx_within(spark, root) -> DataFrame:
+    spans = warehouse.spans(spark, root)
+    told = T.span_metrics_approx(spans, SpanMetricsQuery(MONTH, group_by=["service"]))
+    return told.drop(*T.LATENCIES).join(_within(spans, told, MONTH, 0.001).drop("exact"), ["bucket", "g0"])
+
+
+@query("span_sketches_rolled", f"""
+    SELECT start_time - start_time % {QUARTER} AS bucket, service AS g0, count(*) AS calls,
+           count(*) FILTER (status_code = 'ERROR') AS errors, true AS p50_within, true AS p95_within, true AS p99_within,
+           true AS traces_within
+    FROM spans GROUP BY ALL""")
+def span_sketches_rolled(spark, root) -> DataFrame:
+    """Monthly sketches, stored and rolled up to quarters, against the spans."""
+    spans, path = warehouse.spans(spark, root), scratch_dir(spark, "sketches")
+    sketches.span_sketches(spans, SpanMetricsQuery(MONTH, group_by=["service"])).write.parquet(path)
+    told = sketches.answers(sketches.roll_up(spark.read.parquet(path), MONTH, QUARTER))
+    checked = told.drop(*T.LATENCIES).join(_within(spans, told, QUARTER, sketches.RANK_ERROR), ["bucket", "g0"])
+    near = F.abs(F.col("traces") - F.col("exact")) <= F.greatest(F.col("exact") * sketches.COUNT_ERROR, F.lit(1.0))
+    return checked.withColumn("traces_within", near).drop("traces", "exact")
+
+
 # --- Search ----------------------------------------------------------------------------------------
 
 def _search_sql(where: str, limit: str = "", source: str = "spans") -> str:

@@ -121,7 +121,7 @@ def with_views(sql: str) -> str:
     need(sql)
     if not ordered:
         return sql
-    ctes = ",\n".join(f"{name} AS ({VIEWS[name]})" for name in ordered)
+    ctes = ",\n".join(f"{name} AS MATERIALIZED ({VIEWS[name]})" for name in ordered)
     recursive = "RECURSIVE " if sql.lstrip().upper().startswith("WITH RECURSIVE") else ""
     body = re.sub(r"^\s*WITH\s+(RECURSIVE\s+)?", "", sql, flags=re.I)
     joiner = ",\n" if body != sql else "\n"

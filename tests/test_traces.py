@@ -53,6 +53,29 @@ def test_forest_of_a_deep_chain(spans):
     assert all(got[f"s{i}"]["depth"] == i and got[f"s{i}"]["root_span_id"] == "s0" for i in range(n))
 
 
+@pytest.mark.parametrize("in_task", [0, 6])
+def test_forest_is_the_same_in_tasks_and_in_rounds(spans, in_task, monkeypatch):
+    """Traces of 1 to 12 spans with random parents: missing, repeated, in cycles."""
+    rng = random.Random(in_task)
+    rows = []
+    for t in range(25):
+        ids = rng.sample(range(40), rng.randrange(1, 13))
+        rows += [{"trace_id": f"{t:032x}", "span_id": f"{s:016x}", "start_time": rng.choice([None, BASE, BASE + 1]),
+                  "parent_span_id": rng.choice([None, "", f"{99:016x}", *[f"{x:016x}" for x in ids]])} for s in ids]
+    inputs = []
+    kept = T._open_only
+    monkeypatch.setattr(T, "_open_only", lambda targets, active: inputs.append((active, kept(targets, active))) or inputs[-1][1])
+    whole = sorted(map(str, T.trace_forest(spans(rows)).collect()))
+    assert not inputs and sorted(map(str, T.trace_forest(spans(rows), in_task=in_task).collect())) == whole
+    assert len(inputs) > 1
+    sizes = []
+    for active, targets in inputs:  # a round joins the spans of traces that still have open ones, no others
+        open_ = {r["trace_id"] for r in active.select("trace_id").collect()}
+        assert {r["trace_id"] for r in targets.select("trace_id").collect()} == open_
+        sizes.append(targets.count())
+    assert sizes == sorted(sizes, reverse=True) and sizes[-1] < sizes[0]
+
+
 def test_forest_of_nothing(spans):
     assert T.trace_forest(spans([])).collect() == []
 
