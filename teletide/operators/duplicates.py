@@ -25,6 +25,21 @@ def last_wins(points: DataFrame, keys: list[str] | None = None, time: str = "poi
     return points.groupBy(*columns(keys or SERIES), time).agg(survivor().alias("value"))
 
 
+def last_wins_by_series(points: DataFrame, also: list[str] | None = None) -> DataFrame:
+    """One point per (series, instant), the series being that of ``with_series``: metric, service, attributes, the
+    columns ``also``, point_time and value of the survivor.
+
+    Points that agree in all attributes are collapsed first, so that a key is made for each of those left only.
+    """
+    also = also or []
+    left = with_series(last_wins(points, [*SERIES, *also]))
+    v = F.col("value")
+    rank = F.struct(F.coalesce(~F.isnan(v), F.lit(False)), v, "attributes")
+    best = left.groupBy("_series", "metric", "service", "point_time").agg(
+        F.max_by(F.struct("attributes", *columns(also), "value"), rank).alias("best"))
+    return best.select("metric", "service", "best.attributes", *[F.col("best")[c].alias(c) for c in also], "point_time", "best.value")
+
+
 def resolve(points: DataFrame, policy: str, keys: list[str] | None = None,
             time: str = "point_time") -> DataFrame:
     """Points with one value per (series, instant), or a failing read that names the repeated one."""
@@ -42,8 +57,17 @@ def resolve(points: DataFrame, policy: str, keys: list[str] | None = None,
 
 def duplicate_points(points: DataFrame, keys: list[str] | None = None,
                      time: str = "point_time") -> DataFrame:
-    """The repeated (series, instant) pairs with their number of points."""
-    return points.groupBy(*columns(keys or SERIES), time).agg(F.count("*").alias("copies")).where("copies > 1")
+    """The repeated (series, instant) pairs with their number of points.
+
+    Without ``keys`` the series is that of ``with_series``, as for the step-grid reads and at ingest; of the
+    attributes of one, the first in order are given.
+    """
+    if keys:
+        return points.groupBy(*columns(keys), time).agg(F.count("*").alias("copies")).where("copies > 1")
+    raw = points.groupBy(*columns(SERIES), time).agg(F.count("*").alias("copies"))
+    return with_series(raw).groupBy("_series", "metric", "service", time).agg(
+        F.min("attributes").alias("attributes"), F.sum("copies").alias("copies")).where("copies > 1").select(
+        *columns(SERIES), time, "copies")
 
 
 def with_series(points: DataFrame) -> DataFrame:

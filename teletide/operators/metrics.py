@@ -55,13 +55,13 @@ def metric_points(points: DataFrame, q: PointsQuery) -> DataFrame:
 def metric_range(points: DataFrame, q: MetricQuery) -> DataFrame:
     """Mean (gauge) or sum per step and label set: ``bucket``, ``g0..gN``, ``v``.
 
-    Under ``last_wins`` repeated points are collapsed first; under ``error_on_read``, which guards
+    Under ``last_wins`` repeated points of a series (metric, service and string attributes) are collapsed first; under ``error_on_read``, which guards
     only the step-grid reads, both count.
     """
     rows = times.in_range(points, "point_time", q.start, q.end).where(F.col("metric") == q.metric)
     if q.duplicates == duplicates.LAST_WINS:
         promoted = [k for k in q.group_by if k in promoted_keys(rows)]
-        rows = duplicates.last_wins(rows, [*duplicates.SERIES, *promoted])
+        rows = duplicates.last_wins_by_series(rows, promoted)
     elif q.duplicates != duplicates.ERROR_ON_READ:
         raise ValueError(f"unknown duplicate policy {q.duplicates!r}")
     combine = F.sum if q.sum else F.avg

@@ -130,6 +130,18 @@ def named(metric: str) -> Column:
     return F.col("metric").isin(spellings)
 
 
+def _unambiguous(rows: DataFrame, metric: str) -> DataFrame:
+    """``rows`` of a metric asked for with underscores; a read that meets two stored names for it fails, naming both.
+
+    The names are told by a subquery that reads no other column than the metric and what the rows are filtered by.
+    """
+    if "_" not in metric:
+        return rows
+    low, high = (rows.select(f("metric").alias("metric")).scalar() for f in (F.min, F.max))
+    clash = F.raise_error(F.concat(F.lit("metrics "), low, F.lit(" and "), high, F.lit(" share one query name")))
+    return rows.where(F.when(low < high, clash.cast("boolean")).otherwise(True))
+
+
 def labelled(points: DataFrame) -> DataFrame:
     """Points with their series identity as canonical JSON in ``labels``.
 
@@ -145,7 +157,7 @@ def labelled(points: DataFrame) -> DataFrame:
 def _samples(points: DataFrame, metric: str, grid: Grid, window: int, policy: str) -> DataFrame:
     """One value per (series, instant) of a metric, given by stored or underscored name."""
     rows = times.in_range(points, "point_time", grid.start - window + 1, grid.end + 1)
-    rows = labelled(rows.where(named(metric) & grid.reachable(F.col("point_time"), window)))
+    rows = labelled(_unambiguous(rows.where(named(metric) & grid.reachable(F.col("point_time"), window)), metric))
     return duplicates.resolve(rows, policy, ["labels"])
 
 

@@ -163,6 +163,15 @@ query("last_wins", """
     on("metrics_gauge", duplicates.last_wins))
 
 
+query("last_wins_by_series", """
+    SELECT metric, service, json_extract_string(attributes, '$.host') AS host, point_time, max(value) AS value
+    FROM metrics_gauge GROUP BY ALL""")(
+    # A number that differs from point to point is no part of the series.
+    on("metrics_gauge", lambda df: duplicates.last_wins_by_series(df.withColumn("attributes", F.regexp_replace(
+        "attributes", F.lit("[}]$"), F.concat(F.lit(',"n":'), F.col("value").cast("string"), F.lit("}"))))).select(
+        "metric", "service", F.get_json_object("attributes", "$.host").alias("host"), "point_time", "value")))
+
+
 def _offered(spark, root) -> tuple[DataFrame, DataFrame]:
     """The first half of the clicks as stored points, all gauge points as the batch."""
     gauge = warehouse.metrics_gauge(spark, root)

@@ -156,6 +156,30 @@ def test_names_that_collide_fail_naming_both(gauge):
         R.resolve_names(catalog).collect()
 
 
+def test_a_read_that_meets_two_names_fails_naming_both(gauge):
+    df = gauge([{"metric": m, "value": v, "service": m, "point_time": BASE + i} for i, (m, v) in enumerate([("a.b", 1.0), ("a_b", 9.0), ("c.d", 2.0)])])
+    grid = R.Grid(BASE, BASE + SECOND, SECOND)
+    for read in (R.instant_selector, lambda d, m, g: R.rate(d, m, MINUTE, g)):
+        with pytest.raises(Exception, match="a.b and a_b share one query name"):
+            read(df, "a_b", grid).collect()
+    assert {r["value"] for r in R.instant_selector(df, "a.b", grid).collect()} == {1.0}
+    assert {r["value"] for r in R.instant_selector(df, "c_d", grid).collect()} == {2.0}
+    # Other instants of the other name do not count.
+    assert R.instant_selector(df.where(f"metric <> 'a.b' OR point_time > {BASE + MINUTE}"), "a_b", grid).count() == 1
+    assert R.instant_selector(df, "no_such", grid).count() == 0
+
+
+def test_typed_reads_and_the_report_go_by_the_series(gauge):
+    point = {"metric": "m", "service": "s", "point_time": BASE}
+    df = gauge([{**point, "value": v, "attributes": a} for v, a in [
+        (1.0, '{"host":"a","n":1}'), (5.0, '{"n":2,"host":"a"}'), (float("nan"), '{"host":"a","n":3}'), (2.0, '{"host":"b"}')]])
+    q = MetricQuery("m", SECOND, sum=True, group_by=["host"], duplicates=D.LAST_WINS)
+    assert sorted((r["g0"], r["v"]) for r in M.metric_range(df, q).collect()) == [("a", 5.0), ("b", 2.0)]
+    assert [(r["attributes"], r["copies"]) for r in D.duplicate_points(df).collect()] == [('{"host":"a","n":1}', 3)]
+    only = gauge([{**point, "value": float("nan")}, {**point, "value": float("nan")}])
+    assert [str(r["value"]) for r in D.last_wins_by_series(only).collect()] == ["nan"]
+
+
 def test_reject_goes_by_the_series(gauge):
     point = {"metric": "m", "service": "s", "point_time": BASE}
     batch = gauge([{**point, "value": 1.0, "attributes": '{"host":"a","n":1}'},
