@@ -5,8 +5,9 @@ the overlaps. It is formed in blocks of columns, and size bounds keep it small:
 
 * A row only enters the columns of its prefix, its first n-grams in the order of their hashes, which is chosen so long
   that two linked rows share several columns of it (``shares``), not just one.
-* Columns with one row are dropped; so are rows that are left with fewer columns than any link needs, which are nearly
-  all rows that only quote a common passage.
+* Columns with one row are dropped; so are rows that are left with fewer columns than any link needs. The rows left are
+  looked at in all their columns: one with too few that it shares with any other row is dropped too. What remains are
+  near copies and rows made of common passages, not those that quote one.
 * A task multiplies the columns dealt to it, counts the overlap of each pair of rows in them and leaves out pairs of too
   unequal sizes; the counts of all blocks are added up, and pairs whose count and sizes rule a link out are discarded.
 * A few rounds multiply each column by one of its rows only, in another order each, and verify for every row the pair
@@ -298,11 +299,10 @@ def _can_link(a: str, b: str, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) between representatives: those pairs of sets that reach the similarity by their exact overlap."""
-    wanted, small = materialize_small(pairs.select(F.col("rep_a").alias("doc_id")).union(pairs.select("rep_b")).distinct(), "pair-ids")
-    texts = docs.join(F.broadcast(wanted) if small else wanted, "doc_id", "left_semi")
-    sets = materialize(_full_sets(texts, n), "sets")
+    wanted, small = materialize_small(pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct(), "pair-ids")
+    sets = whole.join(F.broadcast(wanted) if small else wanted, "sid", "left_semi")
     both = (pairs.join(sets.select(F.col("sid").alias("b"), F.col("grams").alias("y")), "b")
             .join(sets.select(F.col("sid").alias("a"), F.col("grams").alias("x")), "a"))
     overlap = F.size(F.array_intersect("x", "y"))
@@ -310,6 +310,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFr
         F.col("rep_a").alias("a"), F.col("rep_b").alias("b")), "links")
 
 
+def _enough(entries: DataFrame, sets: DataFrame, needed: Column) -> DataFrame:
+    """The sets with at least ``needed`` of some entries (g, sid)."""
+    held = entries.groupBy("sid").agg(F.count("*").alias("m"))
+    return sets.join(held, "sid").where(F.col("m") >= needed).select("sid", "n", "tail", "rep")
+
+
 def _mixed_columns(entries: DataFrame, sets: DataFrame, edges: DataFrame | None) -> DataFrame:
     """The entries of columns whose rows are in several components, with these and the number of rows left, ``k``.
 
@@ -327,9 +333,12 @@ def _mixed_columns(entries: DataFrame, sets: DataFrame, edges: DataFrame | None)
 def links(docs: DataFrame, rows: DataFrame, reps: DataFrame, n: int, percent: int) -> DataFrame:
     """Edges (a, b) between representatives of sets that join the sets of each component, all of them verified links."""
     shared = materialize(_shared_entries(rows), "shared")
-    needed = _shares(_least(F.col("n"), percent))  # even with the smallest set it may be linked to
-    enough = shared.groupBy("sid").agg(F.count("*").alias("m")).join(reps, "sid").where(F.col("m") >= needed)
-    sets = materialize(enough.select("sid", "n", "tail", "rep"), "candidates")
+    least = _least(F.col("n"), percent)
+    sets = materialize(_enough(shared, reps, _shares(least)), "candidates")  # even with the smallest set it may be linked to
+    ids, small = materialize_small(sets.select(F.col("rep").alias("doc_id")).distinct(), "candidate-ids")
+    whole = materialize(_full_sets(docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi"), n), "whole-sets")
+    # A link covers the least part of a set, so that much of it is in columns with another one.
+    sets = materialize(_enough(_shared_entries(whole.withColumnRenamed("grams", "prefix")), sets, least), "candidates")
     edges = tested = None
     entries = shared
     for turn in range(1, ROUNDS + 1):
@@ -341,13 +350,13 @@ def links(docs: DataFrame, rows: DataFrame, reps: DataFrame, n: int, percent: in
         best = materialize(best.select("p.a", "b", "p.rep_a", "p.rep_b"), "best")
         if best.isEmpty():
             break
-        found = _verified(best, docs, n, percent)
+        found = _verified(best, whole, percent)
         edges = found if edges is None else edges.union(found)
         tested = best.select("a", "b") if tested is None else tested.union(best.select("a", "b"))
     entries = materialize(_mixed_columns(entries, sets, edges), "entries")
     left = _bounded(_product(entries, percent), sets, percent)
     left = materialize(left if tested is None else left.join(tested, ["a", "b"], "left_anti"), "pairs")
-    found = _verified(left, docs, n, percent)
+    found = _verified(left, whole, percent)
     return found if edges is None else edges.union(found)
 
 
