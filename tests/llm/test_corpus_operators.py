@@ -244,4 +244,4 @@ def test_pipeline(spark, docs, odd_texts, tmp_path):
     rows = {r["doc_id"]: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert set(rows) == set(kept["benchmark_decontamination"])
     assert all(r["decoded_sha256"] == hashlib.sha256(after[i].encode()).hexdigest() for i, r in rows.items())
-    assert queries.QUERIES.keys() == {q for q in queries.QUERIES if q.startswith("op")} and len(queries.QUERIES) == 10
+    assert queries.QUERIES.keys() == {q for q in queries.QUERIES if q.startswith("op")} and len(queries.QUERIES) == 13
