@@ -8,12 +8,11 @@ the overlaps. It is formed in blocks of columns, and size bounds keep it small:
 * Columns with one row are dropped; so are rows that are left with fewer columns than any link needs. The rows left are
   looked at in all their columns: one with too few that it shares with any other row is dropped too. What remains are
   near copies and rows made of common passages, not those that quote one.
-* A task multiplies the columns dealt to it, counts the overlap of each pair of rows in them and leaves out pairs of too
-  unequal sizes; the counts of all blocks are added up, and pairs whose count and sizes rule a link out are discarded.
-* A few rounds multiply each column by one of its rows only, in another order each, and verify for every row the pair
-  with the largest count. That joins groups of near copies, however large, with a pair for each row instead of all.
-* The full product then only takes pairs of rows that are still in different components. Their counts are exact, so
-  every link between components is among the pairs that the bounds leave, and those are verified on the whole sets.
+* The rows left are dealt into blocks, rows with the same smallest n-gram side by side, and a task multiplies one block
+  with another or with itself, over the columns that both hold. It accumulates the overlaps of their rows in one matrix
+  of bounded size, leaves out pairs of too unequal sizes and those below the overlap that their sizes require, and gives
+  out a forest of the links instead of all of them. A column of k rows sends an entry to as many tasks as blocks hold the
+  column, so what is shuffled grows by k * k / BLOCK_ROWS at most, and no pair leaves a task that is not a link.
 """
 
 from __future__ import annotations
@@ -27,16 +26,14 @@ from teletide.llm.components import connected
 from teletide.llm.texts import map_texts, raw, space_words
 from teletide.session import materialize, materialize_small
 
-# Rounds that compare each row with one of every column. They decide what is compared first, not what is linked.
-ROUNDS = 3
-# Rows of a column that one task multiplies; the pairs of a longer one are formed by a join that Spark splits.
-LONG = 2048
+# Rows and entries of a block, about.
+BLOCK_ROWS, BLOCK_ENTRIES = 1024, 1 << 20
+# Pairs of entries that a task adds to its matrix at once.
+PAIRS_AT_ONCE = 1 << 22
 # Rows of a column that one task goes through; a longer one is dealt to several.
 CELL_ROWS = 1 << 18
 # Texts looked at, about, to find such columns. It decides how work is dealt, not what is linked.
 SAMPLE_DOCS = 20_000
-# Pairs that a task counts together before they leave it.
-BLOCK_PAIRS = 1 << 20
 # Sets that a task remembers, so as to give out the prefix of each once.
 KNOWN_SETS = 1 << 20
 
@@ -107,20 +104,19 @@ def _least(n: Column, percent: int) -> Column:
 def _rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """doc_id, size and 64-bit identity of the set of every row of ``docs``.
 
-    ``prefix`` is that of the set, where its task met the set first, else empty; ``tail`` is the last of it.
+    ``prefix`` is that of the set, where its task met the set first, else empty.
     """
     def make():
         shingler, known = Shingler(n), set()
 
         def work(batch):
-            sizes, sids, tails, prefixes = [], [], [], []
+            sizes, sids, prefixes = [], [], []
             for text, doc in zip(raw(batch), batch.column("doc_id").is_valid().to_pylist(), strict=True):
                 grams = shingler.set_of(text)
                 sid = xxhash.xxh3_64_intdigest(grams.tobytes()) - (1 << 63)
                 prefix = grams[:prefix_size(len(grams), percent)]  # sets are sorted by hash
                 sizes.append(len(grams))
                 sids.append(sid)
-                tails.append(int(prefix[-1]) - (1 << 63) if len(prefix) else 0)
                 new = doc and len(prefix) and sid not in known
                 if new:
                     if len(known) >= KNOWN_SETS:
@@ -128,10 +124,10 @@ def _rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     known.add(sid)
                 prefixes.append(((prefix if new else prefix[:0]) ^ _SIGN).view(np.int64))  # signed numbers of the same order
             return pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(sids, pa.int64()), pa.array(tails, pa.int64()),
-                 pa.array(prefixes, pa.list_(pa.int64()))], names=["doc_id", "n", "sid", "tail", "prefix"])
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(sids, pa.int64()),
+                 pa.array(prefixes, pa.list_(pa.int64()))], names=["doc_id", "n", "sid", "prefix"])
         return work
-    return map_texts(docs, make, "doc_id long, n long, sid long, tail long, prefix array<long>")
+    return map_texts(docs, make, "doc_id long, n long, sid long, prefix array<long>")
 
 
 def _full_sets(docs: DataFrame, n: int) -> DataFrame:
@@ -182,182 +178,153 @@ def _shared_entries(rows: DataFrame) -> DataFrame:
         if len(g) and (linked or cell[0] >= 0):
             yield _batch(g=g, sid=sid, cell=cell)
     dealt = entries.repartition("g", "cell").sortWithinPartitions("g", "cell", "sid").mapInArrow(run, "g long, sid long, cell long")
-    return dealt.select("g", "sid", (F.col("cell") >= 0).alias("hot"))
+    return dealt.select("g", "sid")
 
 
 def _batch(**columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns.values()], names=list(columns))
 
 
-def _counted(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    """Equal pairs as one, with their number."""
-    a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    first = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
-    return _batch(a=a[first], b=b[first], c=np.diff(np.append(first, len(a))))
-
-
-class _Pairs:
-    """Counts pairs of rows and gives them out in blocks."""
-
-    def __init__(self, percent: int):
-        self.percent, self.held, self.size = percent, [], 0
-
-    def add(self, a: np.ndarray, b: np.ndarray, sid: np.ndarray, n: np.ndarray, component: np.ndarray):
-        """Pairs of places; those of one component or of sizes that rule a link out are left aside."""
-        ok = np.minimum(n[a], n[b]) * 100 >= np.maximum(n[a], n[b]) * self.percent
-        ok &= component[a] != component[b]
-        if ok.any():
-            x, y = sid[a[ok]], sid[b[ok]]
-            self.held.append((np.minimum(x, y), np.maximum(x, y)))
-            self.size += len(x)
-        if self.size >= BLOCK_PAIRS:
-            yield from self.rest()
-
-    def rest(self):
-        if self.held:
-            yield _counted(self.held)
-        self.held, self.size = [], 0
-
-
-def _dealt(entries: DataFrame, turn: int) -> DataFrame:
-    """The entries of each column in one task, in an order of their own for each ``turn``."""
-    rows = entries.select("g", "sid", "n", "component", F.xxhash64("sid", F.lit(turn)).alias("turn"))
-    return rows.repartition("g").sortWithinPartitions("g", "turn").drop("turn")
+def _enough(entries: DataFrame, sets: DataFrame, needed: Column) -> DataFrame:
+    """The sets with at least ``needed`` of some entries (g, sid)."""
+    held = entries.groupBy("sid").agg(F.count("*").alias("m"))
+    return sets.join(held, "sid").where(F.col("m") >= needed).select("sid", "n", "rep")
 
 
-def _stars(entries: DataFrame, percent: int, turn: int) -> DataFrame:
-    """In how many columns the first row of the column meets another one: a < b and c.
+def _placed(entries: DataFrame, sets: DataFrame) -> DataFrame:
+    """The entries with the block of their row and its place in there.
 
-    A task keeps the first row of a column only. The first rows of hot columns are found by an aggregate.
+    Rows with the same smallest n-gram are in one block, or spread over several where they fill a quarter of one.
     """
-    def run(batches):
-        pairs, first = _Pairs(percent), [np.empty(0, np.int64)] * 4
-        for batch in batches:
-            columns = [np.concatenate([f, batch.column(k).to_numpy()]) for k, f in enumerate(first)]
-            g, sid, n, component = columns
-            if not len(g):
-                continue
-            lead = np.maximum.accumulate(np.where(np.append(True, g[1:] != g[:-1]), np.arange(len(g)), 0))
-            yield from pairs.add(lead, np.arange(len(g)), sid, n, component)
-            first = [c[lead[-1:]] for c in columns]
-        yield from pairs.rest()
-    cold = _dealt(entries.where(~F.col("hot")), turn).mapInArrow(run, "a long, b long, c long")
-    hot = entries.where("hot")
-    leads = hot.groupBy("g").agg(F.min_by(F.struct("sid", "n", "component"), F.xxhash64("sid", F.lit(turn))).alias("lead"))
-    met = hot.join(leads, "g").where(_can_link("lead.n", "n", percent) & (F.col("lead.component") != F.col("component"))).select(
-        F.least("lead.sid", "sid").alias("a"), F.greatest("lead.sid", "sid").alias("b"), F.lit(1).cast("long").alias("c"))
-    return cold.unionByName(met).groupBy("a", "b").agg(F.sum("c").alias("c"))
-
-
-def _product(entries: DataFrame, percent: int) -> DataFrame:
-    """In how many of the columns two rows of different components meet: a < b and c, by blocks of columns."""
-    def run(batches):
-        pairs, held = _Pairs(percent), [np.empty(0, np.int64)] * 4
-
-        def multiply(g, *rest):
-            """The pairs of each column, by their distance in it."""
-            here, step = np.arange(len(g)), 1
-            while len(here := here[:np.searchsorted(here, len(g) - step)]):
-                here = here[g[here + step] == g[here]]
-                yield from pairs.add(here, here + step, *rest)
-                step += 1
+    held = entries.groupBy("sid").agg(F.min("g").alias("low"), F.count("*").alias("m"))
+    rows = materialize(sets.join(held, "sid"), "block-rows")
+    count, size = rows.agg(F.count("*"), F.coalesce(F.sum("m"), F.lit(0))).first()
+    blocks = max(1, -(-count // BLOCK_ROWS), -(-size // BLOCK_ENTRIES))
+    full = F.greatest(F.count("*") * 4 / BLOCK_ROWS, F.sum("m") * 4 / BLOCK_ENTRIES)
+    groups = rows.groupBy("low").agg(F.ceil(full).alias("parts"))
+    rows = rows.join(groups, "low").withColumn("block", F.pmod(F.xxhash64("low", F.pmod(F.xxhash64("sid"), F.col("parts"))), F.lit(blocks)))
+    place = F.row_number().over(Window.partitionBy("block").orderBy("sid")) - 1
+    return entries.join(rows.select("sid", "n", "rep", "block", place.cast("long").alias("place")), "sid").drop("sid")
+
+
+def _forest(a: np.ndarray, b: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that join what the edges (a, b) between ``size`` nodes join: a node and the smallest of its component."""
+    label = np.arange(size)
+    while True:
+        before = label.copy()
+        low = np.minimum(label[a], label[b])
+        np.minimum.at(label, before[a], low)
+        np.minimum.at(label, before[b], low)
+        while (label[label] != label).any():
+            label = label[label]
+        if (label == before).all():
+            node = np.flatnonzero(label != np.arange(size))
+            return node, label[node]
+
+
+class _Product:
+    """The product of one block of rows with another, or with itself: overlaps by the places of the rows."""
+
+    def __init__(self, key: tuple[int, int]):
+        self.key, self.same = key, key[0] == key[1]
+        self.counts = np.zeros((0, 0), np.int32)
+        self.about = [np.zeros((0, 2), np.int64), np.zeros((0, 2), np.int64)]  # n and rep of the rows of each side
+
+    def add(self, g: np.ndarray, right: np.ndarray, place: np.ndarray, n: np.ndarray, rep: np.ndarray) -> None:
+        """Whole columns, sorted by column, then side, the left one first."""
+        for side in (0,) if self.same else (0, 1):
+            here = slice(None) if self.same else right == side
+            rows = place[here]
+            if len(rows) and rows.max() >= len(self.about[side]):
+                self.about[side] = np.pad(self.about[side], ((0, int(rows.max()) + 1 - len(self.about[side])), (0, 0)))
+            self.about[side][rows] = np.stack([n[here], rep[here]], 1)
+        height, width = len(self.about[0]), len(self.about[0 if self.same else 1])
+        old = self.counts.shape
+        if old != (height, width):
+            self.counts = np.pad(self.counts, ((0, height - old[0]), (0, width - old[1])))
+        first = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
+        ends = np.append(first[1:], len(g))
+        middle = first if self.same else first + np.add.reduceat(~right, first)
+        left = np.arange(len(g)) if self.same else np.flatnonzero(~right)
+        column = np.searchsorted(first, left, "right") - 1
+        times = ends[column] - middle[column]
+        upto = np.cumsum(times)
+        at = 0
+        while at < len(left):
+            stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS_AT_ONCE, "right")))
+            t = times[at:stop]
+            steps = np.arange(t.sum()) - np.repeat(np.cumsum(t) - t, t)
+            cells = np.repeat(place[left[at:stop]] * width, t) + place[np.repeat(middle[column[at:stop]], t) + steps]
+            if len(cells) * 16 > height * width:
+                self.counts += np.bincount(cells, minlength=height * width).reshape(height, width).astype(np.int32)
+            else:
+                np.add.at(self.counts.reshape(-1), cells, 1)
+            at = stop
+
+    def links(self, percent: int) -> pa.RecordBatch:
+        """A forest of the links, in reps."""
+        a, b = np.nonzero(np.triu(self.counts, 1) if self.same else self.counts)
+        left, right = self.about[0], self.about[0 if self.same else 1]
+        shared, x, y = self.counts[a, b].astype(np.int64), left[a, 0], right[b, 0]
+        ok = np.minimum(x, y) * 100 >= np.maximum(x, y) * percent
+        ok &= shared * 100 >= (x + y - shared) * percent
+        reps = left[:, 1] if self.same else np.concatenate([left[:, 1], right[:, 1]])
+        node, root = _forest(a[ok], b[ok] + (0 if self.same else len(left)), len(reps))
+        return _batch(a=reps[node], b=reps[root])
+
+
+def _multiplied(placed: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) between representatives that join the rows of each component: the product by pairs of blocks."""
+    held = placed.groupBy("g", F.col("block").alias("other")).agg(F.count("*").alias("k"))
+    met = placed.join(held, "g").where((F.col("block") != F.col("other")) | (F.col("k") > 1)).select(
+        F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "g",
+        (F.col("block") > F.col("other")).cast("long").alias("side"), "place", "n", "rep")
 
+    def run(batches):
+        product, held = None, [np.empty(0, np.int64)] * 7
         for batch in batches:
             columns = [np.concatenate([h, batch.column(k).to_numpy()]) for k, h in enumerate(held)]
-            if not len(columns[0]):
+            low, high, g = columns[:3]
+            if not len(g):
                 continue
-            cut = int(np.searchsorted(columns[0], columns[0][-1]))  # the last column may go on in the next batch
-            held = [c[cut:] for c in columns]
-            yield from multiply(*[c[:cut] for c in columns])
-        yield from multiply(*held)
-        yield from pairs.rest()
-    short = _dealt(entries.where(F.col("k") <= LONG), 0).mapInArrow(run, "a long, b long, c long")
-    one, two = (entries.where(F.col("k") > LONG).select("g", *[F.col(c).alias(f"{c}_{x}") for c in ("sid", "n", "component")]) for x in "ab")
-    met = one.join(two, (one["g"] == two["g"]) & (F.col("sid_a") < F.col("sid_b")) & (F.col("component_a") != F.col("component_b"))
-                   & _can_link("n_a", "n_b", percent))
-    long = met.select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b"), F.lit(1).cast("long").alias("c"))
-    return short.unionByName(long).groupBy("a", "b").agg(F.sum("c").alias("c"))
-
-
-def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that sizes and ``c``, how many columns they share in their prefixes, leave possible."""
-    def of(name):
-        return sets.select(F.col("sid").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "tail", "rep")])
-    both = pairs.join(of("a"), "a").join(of("b"), "b")
-    enough = F.col("c") >= F.least(_shares(F.col("n_a")), _shares(F.col("n_b")))
-    # The prefix that ends first is counted in full: beyond it the sets share at most the rest of that set.
-    beyond = lambda n: _least(n, percent) - _shares(n)
-    rest = F.when(F.col("tail_a") <= F.col("tail_b"), beyond(F.col("n_a"))).otherwise(beyond(F.col("n_b")))
-    possible = (F.col("c") + F.greatest(rest, F.lit(0))) * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
-    return both.where(enough & possible).select("a", "b", "c", "rep_a", "rep_b")
-
-
-def _can_link(a: str, b: str, percent: int) -> Column:
-    """Whether two sets of these sizes can reach the similarity: the smaller one lies within the larger."""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
-
-
-def _verified(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) between representatives: those pairs of sets that reach the similarity by their exact overlap."""
-    wanted, small = materialize_small(pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct(), "pair-ids")
-    sets = whole.join(F.broadcast(wanted) if small else wanted, "sid", "left_semi")
-    both = (pairs.join(sets.select(F.col("sid").alias("b"), F.col("grams").alias("y")), "b")
-            .join(sets.select(F.col("sid").alias("a"), F.col("grams").alias("x")), "a"))
-    overlap = F.size(F.array_intersect("x", "y"))
-    return materialize(both.where(overlap * 100 >= (F.size("x") + F.size("y") - overlap) * percent).select(
-        F.col("rep_a").alias("a"), F.col("rep_b").alias("b")), "links")
-
-
-def _enough(entries: DataFrame, sets: DataFrame, needed: Column) -> DataFrame:
-    """The sets with at least ``needed`` of some entries (g, sid)."""
-    held = entries.groupBy("sid").agg(F.count("*").alias("m"))
-    return sets.join(held, "sid").where(F.col("m") >= needed).select("sid", "n", "tail", "rep")
-
-
-def _mixed_columns(entries: DataFrame, sets: DataFrame, edges: DataFrame | None) -> DataFrame:
-    """The entries of columns whose rows are in several components, with these and the number of rows left, ``k``.
-
-    """
-    if edges is not None:
-        found = connected(edges).withColumnRenamed("id", "rep")
-        sets = sets.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    else:
-        sets = sets.withColumn("component", F.col("rep"))
-    placed = entries.select("g", "sid", "hot").join(sets, "sid")
-    columns = placed.groupBy("g").agg(F.count("*").alias("k"), F.min("component").alias("low"), F.max("component").alias("high"))
-    return placed.join(columns.where("low <> high").select("g", "k"), "g").select("g", "sid", "hot", "n", "component", "k")
+            # The last column may go on in the next batch.
+            cuts = np.flatnonzero((low[1:] != low[:-1]) | (high[1:] != high[:-1])) + 1
+            column = np.flatnonzero(np.append(True, (g[1:] != g[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])))
+            end = int(column[-1])
+            held = [c[end:] for c in columns]
+            starts = [0, *cuts[cuts < end].tolist(), end]
+            for i, j in zip(starts, starts[1:], strict=False):
+                if i < j:
+                    key = int(low[i]), int(high[i])
+                    if product and product.key != key:
+                        yield product.links(percent)
+                        product = None
+                    product = product or _Product(key)
+                    product.add(g[i:j], columns[3][i:j] > 0, *[c[i:j] for c in columns[4:]])
+        if len(held[0]):
+            key = int(held[0][0]), int(held[1][0])
+            if product and product.key != key:
+                yield product.links(percent)
+                product = None
+            product = product or _Product(key)
+            product.add(held[2], held[3] > 0, *held[4:])
+        if product:
+            yield product.links(percent)
+    dealt = met.repartition("low", "high").sortWithinPartitions("low", "high", "g", "side", "place")
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def links(docs: DataFrame, rows: DataFrame, reps: DataFrame, n: int, percent: int) -> DataFrame:
-    """Edges (a, b) between representatives of sets that join the sets of each component, all of them verified links."""
+    """Edges (a, b) between representatives of sets that join the sets of each component."""
     shared = materialize(_shared_entries(rows), "shared")
     least = _least(F.col("n"), percent)
     sets = materialize(_enough(shared, reps, _shares(least)), "candidates")  # even with the smallest set it may be linked to
     ids, small = materialize_small(sets.select(F.col("rep").alias("doc_id")).distinct(), "candidate-ids")
-    whole = materialize(_full_sets(docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi"), n), "whole-sets")
+    whole = _full_sets(docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi"), n)
+    entries = materialize(_shared_entries(materialize(whole.withColumnRenamed("grams", "prefix"), "whole-sets")), "entries")
     # A link covers the least part of a set, so that much of it is in columns with another one.
-    sets = materialize(_enough(_shared_entries(whole.withColumnRenamed("grams", "prefix")), sets, least), "candidates")
-    edges = tested = None
-    entries = shared
-    for turn in range(1, ROUNDS + 1):
-        entries = materialize(_mixed_columns(entries, sets, edges), "entries")
-        pairs = _bounded(_stars(entries, percent, turn), sets, percent)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        best = pairs.groupBy("b").agg(F.max_by(F.struct("a", "rep_a", "rep_b"), F.struct("c", "a")).alias("p"))
-        best = materialize(best.select("p.a", "b", "p.rep_a", "p.rep_b"), "best")
-        if best.isEmpty():
-            break
-        found = _verified(best, whole, percent)
-        edges = found if edges is None else edges.union(found)
-        tested = best.select("a", "b") if tested is None else tested.union(best.select("a", "b"))
-    entries = materialize(_mixed_columns(entries, sets, edges), "entries")
-    left = _bounded(_product(entries, percent), sets, percent)
-    left = materialize(left if tested is None else left.join(tested, ["a", "b"], "left_anti"), "pairs")
-    found = _verified(left, whole, percent)
-    return found if edges is None else edges.union(found)
+    sets = _enough(entries, sets, least)
+    return materialize(_multiplied(materialize(_placed(entries, sets), "placed"), percent), "links")
 
 
 def join_components(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
@@ -374,7 +341,7 @@ def join_components(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = materialize(_rows(docs, n, percent), "incidence")
     named = rows.where("n > 0 and doc_id is not null")
-    reps = materialize(named.groupBy("sid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("tail").alias("tail")), "reps")
+    reps = materialize(named.groupBy("sid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")), "reps")
     edges = links(docs.where("doc_id is not null"), rows, reps, n, percent)
     # A doc_id with several texts joins their sets.
     several = named.groupBy("doc_id").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low <> high")

@@ -52,12 +52,11 @@ def near_copies():
     return out
 
 
-@pytest.mark.parametrize("cell, long, rounds", [(4, 3, 2), (1 << 18, 2048, 3), (1 << 18, 8, 0)])
-def test_jaccard_components(docs, odd_texts, monkeypatch, cell, long, rounds):
+@pytest.mark.parametrize("cell, block, pairs", [(4, 8, 50), (1 << 18, 1024, 1 << 22), (1 << 18, 3, 1)])
+def test_jaccard_components(docs, odd_texts, monkeypatch, cell, block, pairs):
     monkeypatch.setattr(jaccard, "CELL_ROWS", cell)  # small ones: columns are dealt to several cells
-    monkeypatch.setattr(jaccard, "LONG", long)  # and their pairs formed by a join
-    monkeypatch.setattr(jaccard, "ROUNDS", rounds)
-    monkeypatch.setattr(jaccard, "BLOCK_PAIRS", 50)
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", block)  # and rows to many blocks
+    monkeypatch.setattr(jaccard, "PAIRS_AT_ONCE", pairs)
     shared = prose(9, 60)
     texts = [*odd_texts, *near_copies(), *(prose(100 + i, 25) + " " + shared for i in range(20)), "one two", "One  two\n", "two one", *near_copies()[:3]]
     sets = [words_set(t) for t in texts]
@@ -107,9 +106,25 @@ def test_prefixes_of_links_share_enough():
         assert len(np.intersect1d(x, y)) >= min(jaccard.shares(len(first)), jaccard.shares(len(second)))
 
 
-@pytest.mark.parametrize("rounds", [0, 1])
-def test_jaccard_of_documents_made_of_common_lines(docs, monkeypatch, rounds):
-    monkeypatch.setattr(jaccard, "ROUNDS", rounds)
+def test_block_product_counts_whatever_the_batches():
+    rng = np.random.default_rng(8)
+    for same in (True, False):
+        left, right = rng.random((17, 60)) < 0.4, rng.random((23, 60)) < 0.4
+        product = jaccard._Product((0, 0 if same else 1))
+        for low in range(0, 60, 7):
+            parts = [(g, side, place) for g in range(low, min(60, low + 7)) for side, m in enumerate((left,) if same else (left, right))
+                     for place in np.flatnonzero(m[:, g])]
+            if parts:
+                g, side, place = (np.array(x) for x in zip(*parts, strict=True))
+                product.add(g, side > 0, place, np.full(len(g), 24), place + 100 * side)
+        expected = left.astype(int) @ (left if same else right).T.astype(int)
+        assert (product.counts == expected[:product.counts.shape[0], :product.counts.shape[1]]).all()
+        assert not np.any(expected[product.counts.shape[0]:])
+
+
+@pytest.mark.parametrize("block", [5, 1024])
+def test_jaccard_of_documents_made_of_common_lines(docs, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", block)
     lines = [prose(600 + i, 12) for i in range(14)]
     texts = [" ".join(lines[(start + k) % 14] for k in range(length)) for length in (8, 9, 10) for start in range(14)]
     sets = [words_set(t) for t in texts]
