@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -12,8 +14,8 @@ from pyspark.sql import DataFrame, functions as F
 from teletide.llm.texts import map_texts, plain
 
 KINDS = ("email", "ip", "card", "phone")
-# Digit groups that one entity may have, and letters of a mail address on either side that are looked at.
-MOST_GROUPS, MOST_CHARS = 8, 64
+# Digit groups that one entity may have, and letters that are stepped back over at once.
+MOST_GROUPS, STEP = 8, 64
 # Stretches of text that the weights are fitted to, and passes over them.
 TRAIN_REGIONS, PASSES = 1500, 60
 SPANS = "array<struct<kind:string,start:bigint,end:bigint,base:boolean>>"
@@ -54,7 +56,7 @@ def _emails(text: str) -> list[tuple[int, int]]:
         floor = max(before, part)
         # The local part is everything that may stand in one, back to the break.
         if start > floor:
-            tail = re.search(r"[A-Za-z0-9._%+-]*\Z", text[floor:at]) if at - floor <= MOST_CHARS else None
+            tail = re.search(r"[A-Za-z0-9._%+-]*\Z", text[floor:at]) if at - floor <= STEP else None
             start = floor + tail.start() if tail else _back(text, floor, at)
         if start < at and (domain := _DOMAIN.match(text, at + 1)):
             out.append((start, domain.end()))
@@ -68,7 +70,7 @@ def _back(text: str, floor: int, at: int) -> int:
     """Where the run of local characters that ends at ``at`` begins, not before ``floor``."""
     start = at
     while start > floor:
-        low = max(floor, start - MOST_CHARS)
+        low = max(floor, start - STEP)
         size = len(_LOCAL.match(text[low:start][::-1])[0]) if _LOCAL.match(text[start - 1]) else 0
         start -= size
         if size < start + size - low or not size:
@@ -148,9 +150,8 @@ def regions(text: str):
         yield groups, segments
     at = text.find("@")
     while at >= 0:
-        low = max(0, at - MOST_CHARS)
-        start = low + re.search(r"[A-Za-z0-9._%+-]*\Z", text[low:at]).start()
-        host = _HOST.match(text, at + 1, at + 1 + 2 * MOST_CHARS)
+        start = _back(text, 0, at)
+        host = _HOST.match(text, at + 1)
         if start < at and host:
             name = host[0]
             row = _vector(mail=True, mail_dotted="." in name, mail_start=text[start].isalnum(),
@@ -300,7 +301,7 @@ def train(contexts: list[str]) -> Field:
     examples = []
     for context in sorted(contexts):
         examples += labelled_regions(context) + variants(context)
-    # A long table of numbers teaches no more than a short one.
+    # A long table of numbers teaches no more than a short one: the fit, not the scan, leaves out regions of over 32 atoms.
     examples = [e for e in examples if len(e[0]) <= 4 * MOST_GROUPS]
     alike = {}  # most regions look the same to the features
     for e in examples:
@@ -317,12 +318,12 @@ def find(text: str, field: Field) -> list[tuple[str, int, int, bool]]:
     out = [(*s, True) for s in base]
     if _MARK.search(text):
         taken = sorted((a, b) for _, a, b in base)
-        starts = [a for a, _ in taken]
+        starts, ends = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
         for atoms, segments in regions(text):
             for s in field.best(atoms, segments):
                 a, b = s[4], atoms[s[1] - 1][1]
-                near = int(np.searchsorted(starts, b))
-                if all(y <= a for _, y in taken[max(0, near - 4):near]):
+                near = bisect_left(starts, b)  # base spans that begin before the end
+                if not near or ends[near - 1] <= a:
                     out.append((KINDS[s[2]], a, b, False))
     return sorted(set(out), key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 

@@ -127,6 +127,32 @@ PERSONAL = ["mail a.b@c.de, +1 (187) 555-8851 and 10.0.0.7", "é 4532 0151 1283
             "+1234567 +12345678 a%x@b.c%d@e.f", "call (187) 555-8851", "9" * 3000 + "@" * 50 + "." * 50]
 
 
+def test_pii_addresses_of_any_length_stay_whole():
+    class Every(pii.Field):
+        """Takes each candidate of a mail address."""
+
+        def best(self, atoms, segments):
+            return [s for s in segments if s[2] == 0]
+
+    local, host = "a" * 300, "h" * 500
+    for text in (f"to {local}@{host} now", f"{local}@{host}", f"to {local}@{local}@{host} now"):
+        spans = [s[1:3] for s in pii.find(text, Every()) if not s[3]]
+        assert spans and all(a == 0 or text[a - 1] in " @" for a, _ in spans)
+        assert all(b == len(text) or text[b] in " @" for _, b in spans)
+
+
+def test_pii_added_spans_meet_no_base_span():
+    class Every(pii.Field):
+        def best(self, atoms, segments):
+            return [(0, len(atoms), 3, None, atoms[0][0])]
+
+    # One long base span that holds many shorter ones of another kind.
+    text = "+1 (" + ".".join(["1.2.3.4"] * 2) + ") and a@b.c" + " 77 1.2.3.4" * 9
+    found = pii.find(text, Every())
+    base = [s for s in found if s[3]]
+    assert base and all(y <= a or b <= x for _, a, b, added in found if not added for _, x, y, _ in base)
+
+
 def test_pii_base_spans(docs, odd_texts):
     texts = [*odd_texts, *PERSONAL]
     rows = {r["doc_id"]: r["spans"] for r in pii.scan(docs(texts)).collect()}
