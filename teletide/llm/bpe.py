@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections import defaultdict
 from itertools import count, islice
 
@@ -16,9 +17,9 @@ from pyspark.sql import DataFrame, functions as F
 from teletide.llm.texts import limit_batches, map_texts, raw, slices
 
 # Distinct words whose encoding a task remembers; beyond it the memory starts anew.
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 200_000
 # Text whose distinct words are merged together.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 # The first byte of the characters that may be classed differently, see Splitter.
 _ODD_BYTE = 0xD5
 
@@ -65,23 +66,24 @@ class Merges:
     """The vocabulary as arrays: which neighbouring tokens merge, and into what."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks, self.tokens = ranks, {r: t for t, r in ranks.items()}
+        self.ranks = ranks
         size = max(ranks.values()) + 1
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.length = np.zeros(size, np.int32)
-        rows = []
+        rows = array("q")
         for token, rank in ranks.items():
             self.length[rank] = len(token)
             for i in range(1, len(token)):
                 a, b = ranks.get(token[:i]), ranks.get(token[i:])
                 if a is not None and b is not None:
-                    rows.append((a, b, rank))
-        a, b, rank = np.array(sorted(rows) or [(0, 0, -1)], np.int64).T
-        self.keys, self.made, self.size = a * size + b, rank, size
+                    rows.extend((a * size + b, rank))
+        keys, made = np.array(rows or (0, -1), np.int64).reshape(-1, 2).T
+        order = np.argsort(keys)
+        self.keys, self.made, self.size = keys[order], made[order], size
         # The earliest merge that a token can take part in; normally later than the token itself.
         self.earliest = np.full(size, size, np.int64)
-        np.minimum.at(self.earliest, a, rank)
-        np.minimum.at(self.earliest, b, rank)
+        np.minimum.at(self.earliest, keys // size, made)
+        np.minimum.at(self.earliest, keys % size, made)
 
     def pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The rank that each pair of tokens merges into, -1 if none."""
@@ -177,7 +179,7 @@ class Coder:
     def cut(self, text: bytes) -> np.ndarray:
         """The words of a text as numbers."""
         number = self.number
-        return np.array([number[w] for w in self.split(text)], np.int64)
+        return np.array([number[w] for w in self.split(text)], np.int32)
 
     def encode(self, texts: list[np.ndarray]) -> list[bytes]:
         """The ids of cut texts as little-endian unsigned 32-bit integers."""
@@ -186,10 +188,6 @@ class Coder:
         ids = self.ids
         return [b"".join([ids[w] for w in words.tolist()]) for words in texts]
 
-    def decode(self, ids: bytes) -> bytes:
-        tokens = self.merges.tokens
-        return b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
-
 
 def encode(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
     """Each document's token ids.
@@ -239,12 +237,15 @@ def decode(encoded: DataFrame, rank_file: str) -> DataFrame:
     ranks = load_ranks(rank_file)
 
     def make():
-        coder = Coder(ranks, "")
+        tokens = {r: t for t, r in ranks.items()}  # all that decoding needs
+
+        def text(ids: bytes) -> bytes:
+            return b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
         def work(batch):
             return pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("ids"),
-                 pa.array([coder.decode(i) for i in raw(batch, "ids")], pa.binary())], names=["doc_id", "ids", "decoded"])
+                 pa.array([text(i) for i in raw(batch, "ids")], pa.binary())], names=["doc_id", "ids", "decoded"])
         return work
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return map_texts(encoded.select("doc_id", "ids"), make, f"doc_id {kind}, ids binary, decoded binary", "ids")
