@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from telemetry_rows import BASE, MINUTE, SECOND
 from teletide.operators import sketches as K
@@ -36,3 +37,14 @@ def test_sketches_of_nothing_and_of_missing_durations(spans):
     for step, coarser in ((60, 90), (0, 60), (60, -60)):
         with pytest.raises(ValueError, match="multiple"):
             K.roll_up(spans([]), step, coarser)
+
+
+def test_rolled_up_counts_keep_their_bound_in_an_unlucky_group(spark, spans):
+    """The worst of 3,000 groups of 20,000 ids: sketches of 12 bits miss its number of traces by 5.9 %."""
+    ids = spark.range(461 * 20_000, 462 * 20_000)
+    rows = spans([{}]).drop("trace_id", "start_time").crossJoin(ids.select(
+        F.lpad(F.lower(F.hex("id")), 32, "0").alias("trace_id"), (F.lit(BASE) + F.col("id") % 2 * MINUTE).alias("start_time")))
+    rolled = K.roll_up(K.span_sketches(rows, SpanMetricsQuery(MINUTE)), MINUTE, 1000 * MINUTE)
+    (told,) = K.answers(rolled).collect()
+    assert told["calls"] == 20_000
+    assert told["traces"] == pytest.approx(20_000, rel=K.COUNT_ERROR)
