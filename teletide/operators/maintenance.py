@@ -12,7 +12,8 @@ from teletide.functions.attrs import columns
 from teletide.model import NS_PER_DAY, time_column
 from teletide.sources import files, traceindex
 
-TARGET_FILE_BYTES = 512 << 20
+# A file is sorted in memory by the task that writes it, where spans take some twenty times their bytes in the file.
+TARGET_FILE_BYTES = 64 << 20
 _DAY_IN_PATH = r"day=(\d{4}-\d{2}-\d{2})"
 
 
@@ -32,7 +33,7 @@ def compact(spark: SparkSession, name: str, path: str, codec: str = "zstd",
     and would have fewer afterwards; a settled day is left alone.
 
     Files written under different promoted keys are united by column name; nothing is back-filled.
-    A day that fits one file is written by one task, a larger one is ranged by time and a row hash over as
+    A day that fits one file is written by a task of its own, a larger one is ranged by time and a row hash over as
     many tasks as its bytes call for. The new files are finished in a staging folder, the list of merged
     files is stored beside it, and only then are the new files moved in and exactly the listed ones deleted;
     files that another writer adds meanwhile stay. What a broken-off run left is finished first, so run one
@@ -59,7 +60,7 @@ def compact(spark: SparkSession, name: str, path: str, codec: str = "zstd",
             continue
         df = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(*[r["path"] for r in rows])
         tasks = sum({r["day"]: r["outputs"] for r in rows}.values())
-        df = df.repartition(tasks, "day") if rows is single else df.repartitionByRange(
+        df = _by_day(df, [r["day"] for r in rows]) if rows is single else df.repartitionByRange(
             tasks, "day", time, F.xxhash64(*columns(df.columns)))
         writer = df.sortWithinPartitions("day", time).write.option("compression", codec).partitionBy("day")
         (traceindex.bloom_options(writer) if name == "spans" else writer).parquet(f"{work}/{part}")
@@ -69,6 +70,13 @@ def compact(spark: SparkSession, name: str, path: str, codec: str = "zstd",
     return {"files_merged": len(merged), "files_created": _swap(spark, work, path)}
 
 
+def _by_day(df: DataFrame, days: list) -> DataFrame:
+    """Each of the days, one of which may be None, in a task of its own; a hash would put several into one."""
+    task_of = df.sparkSession.createDataFrame([(d, i) for i, d in enumerate(dict.fromkeys(days))], "_day date, _task int")
+    dealt = df.join(F.broadcast(task_of), F.col("day").cast("date").eqNullSafe(F.col("_day")))
+    return dealt.repartitionById(len(set(days)), "_task").drop("_day", "_task")
+
+
 def _swap(spark: SparkSession, work: str, path: str) -> int:
     """Move the files of a compaction in and delete those it merged; one without its list is dropped."""
     created = 0

@@ -185,14 +185,14 @@ CALENDAR = 40
 
 
 def _stored(spark, root) -> Telemetry:
-    """The spans written in three batches, the first two compacted."""
+    """The spans written in three batches, the first two compacted; by as many tasks as the session deals rows to."""
     path = scratch_dir(spark, "stored-spans")
     spans = warehouse.spans(spark, root).withColumn("start_time", F.expr(f"start_time div {CALENDAR}"))
     early, even = F.col("start_time") < START_1998 // CALENDAR, F.col("duration_ns") % 2000 == 0
-    tables.write_table(spans.where(early & even), "spans", f"{path}/spans", files=4)
-    tables.write_table(spans.where(early & ~even), "spans", f"{path}/spans", files=4)
+    tables.write_table(spans.where(early & even), "spans", f"{path}/spans")
+    tables.write_table(spans.where(early & ~even), "spans", f"{path}/spans")
     maintenance.compact(spark, "spans", f"{path}/spans")
-    tables.write_table(spans.where(~early), "spans", f"{path}/spans", files=4)
+    tables.write_table(spans.where(~early), "spans", f"{path}/spans")
     return Telemetry.open(spark, path, ["spans"])
 
 

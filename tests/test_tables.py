@@ -164,3 +164,32 @@ def test_compaction_settles_keeps_undated_rows_and_finishes_a_broken_run(spark,
     assert Mt.data_files(spark, path).count() == 3
     Mt.enforce_retention(spark, path, BASE + 40 * NS_PER_DAY, days=1, max_bytes=1)
     assert bodies() == ["undated-0", "undated-1", "undated-2"]
+
+
+def test_compaction_gives_each_day_a_task_of_its_own(spark, logs, tmp_path, monkeypatch):
+    path, dealt = str(tmp_path / "logs"), []
+    rows = [{"time": BASE + day * NS_PER_DAY + i if day else None, "record_id": day * 10 + i} for day in range(12) for i in range(3)]
+    for _ in range(2):
+        tables.write_table(logs(rows), "logs", path)
+    by_day = Mt._by_day
+
+    def seen(df, days):
+        dealt.append(by_day(df, days))
+        assert dealt[0].columns == df.columns
+        return dealt[0]
+    monkeypatch.setattr(Mt, "_by_day", seen)
+    monkeypatch.setattr(Mt, "_swap", lambda *_: 0)  # the files stay, so that the rows can be looked at
+    Mt.compact(spark, "logs", path)
+    tasks = dealt[0].groupBy(F.spark_partition_id().alias("task")).agg(F.countDistinct("day").alias("days"), F.count("*").alias("rows"))
+    assert sorted((r["days"], r["rows"]) for r in tasks.collect()) == [(0, 6)] + [(1, 6)] * 11
+
+
+def test_a_stored_table_is_written_by_as_many_tasks_as_the_session_deals(spark, monkeypatch):
+    from teletide.plans import traces
+    given = []
+    monkeypatch.setattr(tables, "_write_days", lambda df, name, path, codec, level, keys, series, files, mode: given.append(files))
+    monkeypatch.setattr(tables, "publish_spans", lambda *_: None)
+    monkeypatch.setattr(Mt, "compact", lambda *_: None)
+    monkeypatch.setattr(traces.Telemetry, "open", lambda *_: None)
+    traces._stored(spark, "/root/testdata/sf0.001")
+    assert given == [None] * 3  # a fixed number of ranges would grow with the table
