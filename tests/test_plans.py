@@ -2,8 +2,6 @@
 
 import re
 
-from pyspark.sql import functions as F
-
 from teletide.plans.catalog import QUERIES
 
 ROOT = "/root/testdata/sf0.001"
@@ -20,3 +18,9 @@ def test_subqueries_do_not_deal_the_spans_by_service(spark):
         assert "SortMergeJoin" not in plan_of(QUERIES["sql_subquery"](spark, ROOT))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_no_sketch_is_kept_for_every_trace(spark):
+    plan = plan_of(QUERIES["sql_approx_distinct_within"](spark, ROOT))
+    sketched = re.findall(r"Aggregate\(keys=\[([^\]]*)\], functions=\[[^\n]*approx_count_distinct", plan)
+    assert sketched and not any("trace_id" in keys for keys in sketched)
