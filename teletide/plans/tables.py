@@ -27,7 +27,7 @@ NOW = EPOCH_2024 + 30 * NS_PER_DAY
 def _sent(payloads: DataFrame, signal: str) -> DataFrame:
     spark = payloads.sparkSession
     inbox = scratch_dir(spark, f"otlp-{signal}")
-    payloads.write.text(inbox)
+    requests.write(payloads, inbox)
     return otlp.read_requests(spark, signal, inbox)
 
 
@@ -45,9 +45,9 @@ def otlp_logs(spark: SparkSession, root: str) -> DataFrame:
 def otlp_receipt(spark: SparkSession, root: str) -> DataFrame:
     """What arrives from files that hold a line broken off for each error beside the requests."""
     inbox, logs = scratch_dir(spark, "otlp-broken"), warehouse.logs(spark, root)
-    requests.from_logs(logs).write.text(inbox)
+    requests.write(requests.from_logs(logs), inbox)
     broken = F.format_string('{"resourceLogs": [{"resource": %d', "record_id")
-    logs.where("severity_number >= 17").select(broken).write.mode("append").text(inbox)
+    requests.write(logs.where("severity_number >= 17").select(broken), inbox)
     arrived = otlp.logs(otlp.read_requests(spark, "logs", inbox)).agg(
         F.count("*").alias("records"), F.countDistinct("service").alias("accepted_services"))
     counts = arrived.unionByName(
@@ -61,11 +61,10 @@ def otlp_receipt(spark: SparkSession, root: str) -> DataFrame:
 def otlp_receipt_records(spark: SparkSession, root: str) -> DataFrame:
     """Records of requests in which each failed span is sent once more with an end that is no number."""
     inbox, spans = scratch_dir(spark, "otlp-records"), warehouse.spans(spark, root)
-    requests.from_spans(spans).write.text(inbox)
+    requests.write(requests.from_spans(spans), inbox)
     bad = ('{"resourceSpans":[{"scopeSpans":[{"spans":[{"traceId":"%s","spanId":"%s","startTimeUnixNano":"%d",'
            '"endTimeUnixNano":"soon"}]}]}]}')
-    spans.where("status_code = 'ERROR'").select(F.format_string(bad, "trace_id", "span_id", "start_time")).write.mode(
-        "append").text(inbox)
+    requests.write(spans.where("status_code = 'ERROR'").select(F.format_string(bad, "trace_id", "span_id", "start_time")), inbox)
     sent = otlp.read_requests(spark, "traces", inbox)
     kept = otlp.spans(sent).agg(F.sum(F.col("duration_ns") % 1000003).alias("checksum"))
     both = otlp.record_receipt(sent, "spans").unionByName(kept, allowMissingColumns=True)

@@ -39,6 +39,12 @@ def _requests(records: DataFrame, chunk: list[str], outer: str, scope: str, inne
     return grouped.select(F.to_json(request).alias("value"))
 
 
+def write(payloads: DataFrame, inbox: str) -> None:
+    """Add requests, one a line, to a folder of gzip files; plain, the same names and keys in every record would make
+    most of the bytes. A reader takes such a file whole, so it is as large as one task's requests."""
+    payloads.write.mode("append").option("compression", "gzip").text(inbox)
+
+
 def _text(name: str) -> Column:
     return F.col(name).cast("string")
 

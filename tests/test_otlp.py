@@ -143,3 +143,13 @@ def test_a_malformed_record_leaves_the_others_alone(read):
     assert [r["value"] for r in otlp.metrics(sent, "metrics_gauge").collect()] == [7.0]
     bad = otlp.records(sent, "metrics_gauge").where("_malformed").first()
     assert json.loads(bad["_record"])["asInt"] == "seven"
+
+
+def test_sent_requests_take_a_fraction_of_their_text(spark, spans, tmp_path, monkeypatch):
+    from teletide.plans import tables as plans
+    monkeypatch.setattr(plans, "scratch_dir", lambda _, purpose: str(tmp_path / purpose))
+    payloads = requests.from_spans(spans([{"duration_ns": i * 1000} for i in range(3000)])).cache()
+    sent = otlp.spans(plans._sent(payloads, "traces"))
+    assert (sent.count(), sent.selectExpr("sum(duration_ns)").first()[0]) == (3000, 3000 * 2999 // 2 * 1000)
+    stored = sum(f.stat().st_size for f in (tmp_path / "otlp-traces").iterdir())
+    assert stored * 5 < payloads.selectExpr("sum(length(value))").first()[0]
