@@ -34,6 +34,11 @@ def _span_stream(spark: SparkSession, root: str) -> DataFrame:
         warehouse.spans_from_lines(warehouse.stream(spark, root, "lineitem")))
 
 
+def _batch_files(spark: SparkSession) -> int:
+    """Files of a batch: some for every core, as a batch of a few leaves the others idle however many files wait."""
+    return 4 * spark.sparkContext.defaultParallelism
+
+
 query("tail_poll", f"""
     SELECT record_id, time, observed_time, service, body FROM logs
     WHERE observed_time > {DAY_12} AND service = 'svc-1'""")(
@@ -95,9 +100,9 @@ def stream_span_red(spark: SparkSession, root: str) -> DataFrame:
 def stream_ingest(spark: SparkSession, root: str) -> DataFrame:
     """Requests arrive as files and end up in a day-partitioned table."""
     path = scratch_dir(spark, "ingest")
-    requests.from_logs(warehouse.logs(spark, root)).write.text(f"{path}/inbox")
+    requests.write(requests.from_logs(warehouse.logs(spark, root)), f"{path}/inbox")
     jobs.ingest_logs(spark, f"{path}/inbox", f"{path}/table", f"{path}/checkpoint",
-                     files_per_trigger=4).awaitTermination()
+                     files_per_trigger=_batch_files(spark)).awaitTermination()
     stored = tables.read_table(spark, "logs", f"{path}/table")
     return bigints(stored.groupBy(times.bucket(F.col("time"), NS_PER_DAY).alias("day"), "service",
                                   "severity_number").agg(
@@ -112,12 +117,12 @@ def stream_ingest(spark: SparkSession, root: str) -> DataFrame:
 def stream_dead_letters(spark: SparkSession, root: str) -> DataFrame:
     """The accounts of a stream with a malformed record for each error and a broken line for each warning."""
     path, logs = scratch_dir(spark, "letters"), warehouse.logs(spark, root)
-    requests.from_logs(logs).write.text(f"{path}/inbox")
+    requests.write(requests.from_logs(logs), f"{path}/inbox")
     bad = '{"resourceLogs":[{"scopeLogs":[{"logRecords":[{"timeUnixNano":"%d ns"}]}]}]}'
-    logs.where("severity_number >= 17").select(F.format_string(bad, "record_id")).write.mode("append").text(f"{path}/inbox")
-    logs.where("severity_number = 13").select(F.format_string('{"resourceLogs": [%d', "record_id")).write.mode("append").text(
-        f"{path}/inbox")
-    jobs.ingest_logs(spark, f"{path}/inbox", f"{path}/table", f"{path}/checkpoint", files_per_trigger=4).awaitTermination()
+    requests.write(logs.where("severity_number >= 17").select(F.format_string(bad, "record_id")), f"{path}/inbox")
+    requests.write(logs.where("severity_number = 13").select(F.format_string('{"resourceLogs": [%d', "record_id")), f"{path}/inbox")
+    jobs.ingest_logs(spark, f"{path}/inbox", f"{path}/table", f"{path}/checkpoint",
+                     files_per_trigger=_batch_files(spark)).awaitTermination()
     stored = tables.read_table(spark, "logs", f"{path}/table").agg(F.count("*").alias("stored"))
     counts = jobs.receipts(spark, f"{path}/table").agg(*[F.sum(c).alias(c) for c in ("accepted", "malformed", "broken_lines")])
     letters = jobs.dead_letters(spark, f"{path}/table").agg(F.count("*").alias("letters"))
@@ -133,7 +138,7 @@ def ingest_append_compact(spark: SparkSession, root: str) -> DataFrame:
     """One table fed by a stream and by a batch writer, then compacted and cut to a week."""
     path, logs = scratch_dir(spark, "shared"), warehouse.logs(spark, root)
     streamed = F.col("severity_number") < 13
-    requests.from_logs(logs.where(streamed)).write.text(f"{path}/inbox")
+    requests.write(requests.from_logs(logs.where(streamed)), f"{path}/inbox")
     jobs.ingest_logs(spark, f"{path}/inbox", f"{path}/table", f"{path}/checkpoint").awaitTermination()
     tables.write_table(logs.where(~streamed | streamed.isNull()), "logs", f"{path}/table")
     maintenance.compact(spark, "logs", f"{path}/table")

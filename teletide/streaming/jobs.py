@@ -148,6 +148,14 @@ def ingest(spark: SparkSession, signal: str, name: str, inbox: str, table: str,
 
     def store(requests: DataFrame, number: int) -> None:
         found = otlp.records(requests.where(F.col(BROKEN_LINE).isNull()), name)
+        # Read five times below, so parsed once; the text of a record is wanted of the malformed ones only.
+        found = found.withColumn("_record", F.when(F.col("_malformed"), F.col("_record"))).persist()
+        try:
+            store_parsed(requests, found, number)
+        finally:
+            found.unpersist()
+
+    def store_parsed(requests: DataFrame, found: DataFrame, number: int) -> None:
         append_batch(found.where(~F.col("_malformed")).drop("_malformed", "_record"), name, table,
                      f"{table}/_staging/{key}-{number}", f"{checkpoint}/appended/{number}")
         broken = requests.where(F.col(BROKEN_LINE).isNotNull() & (F.trim(BROKEN_LINE) != ""))

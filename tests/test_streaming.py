@@ -145,3 +145,22 @@ def test_ingest_accounts_for_what_it_cannot_store(spark, logs, tmp_path):
     letters = sorted((r["kind"], r["text"]) for r in jobs.dead_letters(spark, table).collect())
     assert letters == [("line", "no json"), ("line", '{"resourceLogs": ['), ("record", '{"timeUnixNano":"noon"}')]
     assert jobs.receipts(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_a_batch_is_parsed_once_and_has_files_for_every_core(spark, monkeypatch):
+    from teletide.plans import streams
+    plans, given, append, ingest = [], [], jobs.append_batch, jobs.ingest_logs
+
+    def appended(batch, *place):
+        plans.append(batch._jdf.queryExecution().executedPlan().toString())
+        append(batch, *place)
+
+    def ingested(*args, files_per_trigger):
+        given.append(files_per_trigger)
+        return ingest(*args, files_per_trigger=files_per_trigger)
+    monkeypatch.setattr(jobs, "append_batch", appended)
+    monkeypatch.setattr(jobs, "ingest_logs", ingested)
+    (row,) = streams.stream_dead_letters(spark, "/root/testdata/sf0.001").collect()
+    assert row["stored"] == row["accepted"] == 1000 and row["letters"] == row["malformed"] + row["broken_lines"] > 0
+    assert plans and all("InMemoryTableScan" in p for p in plans)
+    assert given[0] >= spark.sparkContext.defaultParallelism
