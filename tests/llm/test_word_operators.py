@@ -5,6 +5,7 @@ import hashlib
 import os
 import random
 import re
+import time
 import zlib
 
 import public_tokenizers
@@ -95,6 +96,45 @@ def test_variants_of_long_repeated_and_missing_words(docs, odd_texts):
         variants.group(docs(["x"]), ratio=1)
 
 
+def test_long_words_are_compared_in_time(docs):
+    rng = random.Random(6)
+    base = "".join(rng.choice("abcdefghijklmnop") for _ in range(200_000))
+    near = [f"x{base}", base[:-1], f"{base[:70_000]}z{base[70_001:]}"]
+    began = time.monotonic()
+    got = grouped(variants.group(docs([base] * 25 + near * 5)))
+    assert time.monotonic() - began < 100  # by levenshtein() a single pair takes longer
+    assert got == {base: (None, base, 25, 3, None), **{w: (base, base, 5, 1, 25) for w in near}}
+
+
+def test_words_around_the_length_of_long_ones(docs):
+    rng = random.Random(7)
+    counts = collections.Counter()
+    for k in range(12):
+        stem = "".join(rng.choice("aabcé") for _ in range(variants.LONG - 3 + k % 6))
+        i, j = rng.randrange(len(stem) - 1), len(stem) - 1
+        for w in (stem, stem[:i] + stem[i + 1:], f"{stem}é", f"a{stem}", f"{stem[:j]}x", f"x{stem[1:]}", stem[:i] + stem[i + 1] + stem[i] + stem[i + 2:]):
+            counts[w] = rng.choice([5, 6, 25, 30])
+    texts = [w for w, n in counts.items() for _ in range(n)]
+    expected = plain_variants(counts)
+    assert grouped(variants.group(docs(texts))) == expected and any(v[3] > 2 for v in expected.values())
+
+
+def test_bits_of_letters_are_never_further_apart_than_the_letters():
+    rng = random.Random(8)
+    number = lambda w: [x % 2**64 for x in variants._marks("".join(sorted(w)))]
+    for _ in range(3_000):
+        word = "".join(rng.choice("aabcdeéÿz") for _ in range(rng.randrange(6, 300)))
+        i, c = rng.randrange(len(word)), rng.choice("abyéÿ")
+        for other in (word[:i] + word[i + 1:], word[:i] + c + word[i + 1:], word[:i] + c + word[i:]):
+            assert sum((x ^ y).bit_count() for x, y in zip(number(word), number(other), strict=True)) <= 2
+            assert all(-2**63 <= x < 2**63 for x in variants._marks("".join(sorted(other))))
+
+
+def test_lines_of_a_text_are_taken_apart(docs):
+    texts = ["kessel\nkessel\r\nkessel", "\nKESSEL\n\n", "kessel", None, "", "\n"]
+    assert grouped(variants.group(docs(texts))) == {"kessel": (None, "kessel", 5, 0, None)}
+
+
 @needs_tables
 def test_variants_of_the_table(spark):
     counts = collections.Counter()
